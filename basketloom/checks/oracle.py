@@ -231,7 +231,7 @@ def _draw(seed: int, *names: str) -> str:
     return f"md5('{seed}|' || " + " || '|' || ".join(names) + ")"
 
 
-def _counts(table: str, pool: str = "") -> str:
+def _counts(table: str) -> str:
     return f"""
         SELECT count(*) AS total, count(*) FILTER (cand_is_new = 1) AS n_new,
                count(*) FILTER (cand_is_new = 0) AS n_repeat,
@@ -267,7 +267,6 @@ ROW = "kiosk_id, anchor_product_id, candidate_product_id"
 FEATURE_LIST = f"""{ROW}, round(cooc_cosine_sim, 9) AS cooc_cosine_sim, pop_store, pop_global, kiosk_product_cnt,
                    cand_is_new"""
 ORDER_RANK = f"row_number() OVER (ORDER BY order_dt, {_draw(0, 'order_id', 'product_id')}, quantity)"
-RAW_RANK = f"row_number() OVER (ORDER BY orderdt, {_draw(0, 'orderid', 'productid')}, quantity"
 
 QUERIES: dict[str, str] = {
     "sample_orders_head": f"""
@@ -304,9 +303,9 @@ QUERIES: dict[str, str] = {
     "split_feature_label": """
         SELECT train.*, CASE WHEN order_dt < start THEN 'feature' ELSE 'label' END AS part
         FROM train, (SELECT order_dt AS start
-            FROM (SELECT order_dt, row_number() OVER (ORDER BY order_dt) - 1 AS at, count(*) OVER () AS n
+            FROM (SELECT order_dt, row_number() OVER (ORDER BY order_dt) - 1 AS place, count(*) OVER () AS n
                   FROM (SELECT DISTINCT order_dt FROM train))
-            WHERE at = least(greatest(1, CAST(floor(n * (CAST(1 AS DOUBLE) - CAST(0.3 AS DOUBLE))) AS BIGINT)), n - 1))""",
+            WHERE place = least(greatest(1, CAST(floor(n * (CAST(1 AS DOUBLE) - CAST(0.3 AS DOUBLE))) AS BIGINT)), n - 1))""",
     "build_baskets": "SELECT kiosk_id, order_id, products FROM baskets",
     "basket_size_stats": """
         SELECT min(n) AS min_size, round(avg(n), 6) AS mean_size, round(quantile_cont(n, 0.5), 6) AS median_size,

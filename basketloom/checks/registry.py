@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketloom.checks import model_queries
-from basketloom.checks.stages import CATALOG_K, LABEL_DAYS, MIN_COOC, TOP_K, Stages
+from basketloom.checks.stages import CATALOG_K, LABEL_DAYS, MIN_COOC, REPORT_K, Stages
 from basketloom.functions.scaling import minmax_scale_to_range, value_range
 from basketloom.operators import baskets as bk
 from basketloom.operators import candidates as cd
@@ -25,7 +25,6 @@ from basketloom.operators import training_set as ts
 from basketloom.schema import QUERY_KEYS, ROW_KEYS
 from basketloom.sources import files
 
-REPORT_K = 5
 EVAL_KS = [5, 10, 20, 50]
 SCORE_RANGE = (-8.0, 4.0)
 
@@ -69,13 +68,9 @@ def _requests(s: Stages) -> DataFrame:
     return s.orders.select(F.col("product_id").alias("anchor_id"), "kiosk_id").distinct().withColumn("limit", limit)
 
 
-def _catalog(s: Stages) -> DataFrame:
-    return ct.predictions_catalog(s.scored, s.info, CATALOG_K)
-
-
 def _fallback_answers(s: Stages) -> DataFrame:
     return lk.recommend_with_fallback(
-        _requests(s), lk.build_lookup(_catalog(s)), ct.anchor_fallback(s.topk, s.info, SCORE_RANGE, CATALOG_K),
+        _requests(s), lk.build_lookup(s.catalog), ct.anchor_fallback(s.topk, s.info, SCORE_RANGE, CATALOG_K),
         ct.category_fallback(s.orders, s.info, SCORE_RANGE, CATALOG_K),
         ct.global_fallback(s.orders, s.info, SCORE_RANGE, CATALOG_K), ct.product_info(s.tables.all_products()))
 
@@ -85,7 +80,7 @@ def _labeled_part(s: Stages) -> DataFrame:
     from basketloom.plans.training import TrainingParams, build_labeled_split
     return build_labeled_split(
         query_orders=s.test, label_orders=s.test, feature_orders=s.train, topk=s.topk, products=s.products,
-        commerces=s.active[1], params=TrainingParams(), keep_good=True, draw_negatives=True)
+        commerces=s.active[1], params=TrainingParams(), keep_good=True, draw_negatives=True, durable=True)
 
 
 def _incomplete(s: Stages) -> DataFrame:
@@ -98,6 +93,7 @@ KINDS = ["channel", "region"]
 
 
 def _with_category(s: Stages) -> DataFrame:
+    """Judged rows with the candidate's category, where it is known."""
     kinds = s.info.select(F.col("product_id").alias("candidate_product_id"),
                           F.col("category").alias("candidate_category"))
     return s.judged.join(kinds, "candidate_product_id", "left")
@@ -118,24 +114,24 @@ BUILDERS: dict[str, Callable[[Stages], DataFrame]] = {
         ["order_dt", "quantity"])),
     "filter_active_kiosks": lambda s: s.active[0],
     "blocked_product_ids": lambda s: cl.blocked_product_ids(s.tables.all_products()),
-    "filter_blocked_products": lambda s: s.orders,
-    "inference_window": lambda s: s.recent,
+    "filter_blocked_products": lambda s: s.kept_orders,
+    "inference_window": lambda s: cl.inference_window(s.orders, 90),
     "orders_profile": lambda s: cl.orders_profile({"all": s.orders, **s.split.named()}),
     # splits
     "split_orders_by_time": lambda s: s.split.tagged(),
     "split_orders_by_rows": _row_split,
     "split_feature_label": _feature_label,
     # baskets and candidates
-    "build_baskets": lambda s: joined(s.baskets, "products"),
-    "basket_size_stats": lambda s: rounded(bk.basket_size_stats(s.baskets)),
+    "build_baskets": lambda s: joined(s.lazy_baskets, "products"),
+    "basket_size_stats": lambda s: rounded(bk.basket_size_stats(s.lazy_baskets)),
     "basket_filter_counts": lambda s: bk.basket_filter_counts(s.train, 2, 5),
     "explode_baskets": lambda s: s.items,
     "product_basket_counts": lambda s: bk.product_basket_counts(s.items),
     "frequent_products": lambda s: bk.frequent_products(s.items, 40),
     "pair_cooccurrence": lambda s: cd.pair_cooccurrence(s.baskets, MIN_COOC),
     "generate_candidates": lambda s: rounded(s.candidates, 9),
-    "select_top_k_candidates": lambda s: rounded(s.topk, 9),
-    "topk_candidate_stats": lambda s: rounded(cd.topk_candidate_stats(s.topk, 30)),
+    "select_top_k_candidates": lambda s: rounded(s.lazy_topk, 9),
+    "topk_candidate_stats": lambda s: rounded(cd.topk_candidate_stats(s.lazy_topk, 30)),
     # queries and features
     "kiosk_anchor_queries": lambda s: s.queries,
     "add_query_id": lambda s: ft.add_query_id(s.queries),
@@ -162,12 +158,12 @@ BUILDERS: dict[str, Callable[[Stages], DataFrame]] = {
     "label_pairs_same_order": lambda s: lb.label_pairs_same_order(s.test),
     "label_pairs_window": lambda s: lb.label_pairs_window(s.test, window_days=LABEL_DAYS),
     "build_label_pairs": lambda s: lb.build_label_pairs(s.orders, window_days=30, min_cooc_label=2),
-    "build_labels": lambda s: rounded(s.labeled, 9),
+    "build_labels": lambda s: rounded(s.lazy_labeled, 9),
     "queries_with_positives": lambda s: lb.queries_with_positives(s.queries, s.pairs),
     "filter_good_queries": lambda s: rounded(ts.filter_good_queries(s.labeled), 9),
     "sample_negatives": lambda s: rounded(ts.sample_negatives(s.labeled, 20), 9),
     "shuffle_within_query": lambda s: ts.shuffle_within_query(s.rows.select(*ROW_KEYS)),
-    "label_stats": lambda s: rounded(ts.label_stats(s.labeled)),
+    "label_stats": lambda s: rounded(ts.label_stats(s.lazy_labeled)),
     "split_summary": lambda s: rounded(ts.split_summary(
         {"good": ts.filter_good_queries(s.labeled), "test": s.labeled})),
     "build_labeled_split": lambda s: rounded(_labeled_part(s), 9),
@@ -189,34 +185,34 @@ BUILDERS: dict[str, Callable[[Stages], DataFrame]] = {
     # catalog
     "product_info": lambda s: s.info,
     "score_stats": lambda s: rounded(ct.score_stats(s.scored)),
-    "predictions_catalog": lambda s: rounded(_catalog(s), 9),
-    "catalog_coverage": lambda s: rounded(ct.catalog_coverage(_catalog(s), cl.active_kiosk_ids(s.commerces))),
+    "predictions_catalog": lambda s: rounded(s.catalog, 9),
+    "catalog_coverage": lambda s: rounded(ct.catalog_coverage(s.catalog, cl.active_kiosk_ids(s.commerces))),
     "anchor_fallback": lambda s: rounded(
         ct.anchor_fallback(s.topk, s.info, value_range(s.scored, "score"), CATALOG_K)),
     "category_fallback": lambda s: rounded(ct.category_fallback(s.orders, s.info, SCORE_RANGE, CATALOG_K)),
     "global_fallback": lambda s: rounded(ct.global_fallback(s.orders, s.info, SCORE_RANGE, CATALOG_K)),
     "minmax_scale_to_range": lambda s: rounded(minmax_scale_to_range(s.topk, "cooc_cosine_sim", SCORE_RANGE)),
     # lookups
-    "build_lookup": lambda s: joined(lk.build_lookup(_catalog(s)), "recs"),
+    "build_lookup": lambda s: joined(lk.build_lookup(s.catalog), "recs"),
     "recommend_requests": lambda s: lk.recommend_requests(
-        lk.valid_limits(_requests(s)), lk.build_lookup(_catalog(s))).drop("recommendation_date"),
+        lk.valid_limits(_requests(s)), lk.build_lookup(s.catalog)).drop("recommendation_date"),
     "recommend_multi": lambda s: joined(
-        lk.recommend_multi(_requests(s), lk.build_lookup(_catalog(s))).drop("recommendation_date"), "recs"),
+        lk.recommend_multi(_requests(s), lk.build_lookup(s.catalog)).drop("recommendation_date"), "recs"),
     "recommend_with_fallback": _fallback_answers,
     # reports
     "top_k_per_query": lambda s: rounded(pz.top_k_per_query(s.scored.select(*ROW_KEYS, "score"), REPORT_K), 9),
-    "personalization_totals": lambda s: pz.personalization_totals(pz.top_k_per_query(s.scored, REPORT_K)),
-    "kiosk_rec_sets": lambda s: pz.kiosk_rec_sets(pz.top_k_per_query(s.scored, REPORT_K)),
+    "personalization_totals": lambda s: pz.personalization_totals(s.top),
+    "kiosk_rec_sets": lambda s: pz.kiosk_rec_sets(s.top),
     "anchor_list_diversity": lambda s: rounded(
-        pz.anchor_list_diversity(pz.top_k_per_query(s.scored, REPORT_K), REPORT_K)),
+        pz.anchor_list_diversity(s.top, REPORT_K)),
     "anchor_diversity_summary": lambda s: rounded(pz.anchor_diversity_summary(
-        pz.anchor_list_diversity(pz.top_k_per_query(s.scored, REPORT_K), REPORT_K))),
-    "global_baseline_topk": lambda s: pz.global_baseline_topk(pz.top_k_per_query(s.scored, REPORT_K), REPORT_K),
+        pz.anchor_list_diversity(s.top, REPORT_K))),
+    "global_baseline_topk": lambda s: pz.global_baseline_topk(s.top, REPORT_K),
     "baseline_overlap": lambda s: rounded(
-        pz.baseline_overlap(pz.top_k_per_query(s.scored, REPORT_K), REPORT_K)),
+        pz.baseline_overlap(s.top, REPORT_K)),
     "pairwise_jaccard": lambda s: rounded(
-        pz.pairwise_jaccard(pz.top_k_per_query(s.scored, REPORT_K), REPORT_K)),
-    "example_recs": lambda s: pz.example_recs(pz.top_k_per_query(s.scored, REPORT_K), s.products, REPORT_K),
+        pz.pairwise_jaccard(s.top, REPORT_K)),
+    "example_recs": lambda s: pz.example_recs(s.top, s.products, REPORT_K),
     "new_vs_repeat_totals": lambda s: rounded(nv.new_vs_repeat_totals(s.scored, REPORT_K)),
     "new_share_by_position": lambda s: rounded(nv.new_share_by_position(s.scored, REPORT_K)),
     "new_vs_repeat_pool": lambda s: rounded(nv.new_vs_repeat_pool(s.scored)),

@@ -7,8 +7,11 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketloom.functions.durable import materialize
 from basketloom.operators import baskets, candidates, cleaning, features, labels, splits
-from basketloom.operators.catalog import product_info
+from basketloom.operators.catalog import predictions_catalog, product_info
+from basketloom.operators.personalization import top_k_per_query
+from basketloom.schema import ROW_KEYS
 from basketloom.sources.star import StarTables
 
 MIN_COOC = 2
@@ -16,10 +19,16 @@ MIN_LIFT = 1.2
 TOP_K = 100
 LABEL_DAYS = 7
 CATALOG_K = 20
+REPORT_K = 5
 
 
 class Stages:
-    """Lazy DataFrames of each stage; nothing is cached between queries."""
+    """Tables of each stage, built on demand for one query.
+
+    Stages that later steps read several times are written once (cleaned
+    orders, baskets, candidates, label pairs, judged rows), as a plan over a
+    real order history would; the rest is lazy.
+    """
 
     def __init__(self, spark: SparkSession, directory: str, min_lift: float = MIN_LIFT):
         self.spark = spark
@@ -46,11 +55,15 @@ class Stages:
     def active(self) -> tuple[DataFrame, DataFrame]:
         return cleaning.filter_active_kiosks(self.clean, self.commerces)
 
-    @cached_property
-    def orders(self) -> DataFrame:
+    @property
+    def kept_orders(self) -> DataFrame:
         blocked = cleaning.blocked_product_ids(self.tables.all_products())
         return cleaning.filter_blocked_products(self.active[0], blocked)
 
+    @cached_property
+    def orders(self) -> DataFrame:
+        return materialize(self.kept_orders)
+
     @cached_property
     def split(self) -> splits.OrderSplit:
         return splits.split_orders_by_time(self.orders, train_ratio=0.8, val_ratio=0.1, test_ratio=0.1)
@@ -63,9 +76,13 @@ class Stages:
     def test(self) -> DataFrame:
         return self.split.test
 
+    @property
+    def lazy_baskets(self) -> DataFrame:
+        return baskets.build_baskets(self.train)
+
     @cached_property
     def baskets(self) -> DataFrame:
-        return baskets.build_baskets(self.train)
+        return materialize(self.lazy_baskets)
 
     @cached_property
     def items(self) -> DataFrame:
@@ -77,6 +94,10 @@ class Stages:
 
     @cached_property
     def topk(self) -> DataFrame:
+        return materialize(self.lazy_topk)
+
+    @property
+    def lazy_topk(self) -> DataFrame:
         return candidates.select_top_k_candidates(self.candidates, TOP_K, self.min_lift)
 
     @cached_property
@@ -99,6 +120,10 @@ class Stages:
 
     @cached_property
     def labeled(self) -> DataFrame:
+        return materialize(self.lazy_labeled)
+
+    @property
+    def lazy_labeled(self) -> DataFrame:
         return labels.label_rows(self.rows, self.pairs)
 
     @cached_property
@@ -118,13 +143,18 @@ class Stages:
     @cached_property
     def judged(self) -> DataFrame:
         """Test rows with label and score."""
-        return labels.label_rows(self.scored, self.pairs).select(
-            "kiosk_id", "anchor_product_id", "candidate_product_id", "label", "score")
+        return materialize(labels.label_rows(self.with_score(self.popular_rows), self.pairs).select(
+            *ROW_KEYS, "label", "score"))
 
     @cached_property
     def info(self) -> DataFrame:
         return product_info(self.products)
 
     @cached_property
-    def recent(self) -> DataFrame:
-        return cleaning.inference_window(self.orders, 90)
+    def top(self) -> DataFrame:
+        """The report lists, which most reports read twice."""
+        return materialize(top_k_per_query(self.scored.select(*ROW_KEYS, "score"), REPORT_K))
+
+    @cached_property
+    def catalog(self) -> DataFrame:
+        return predictions_catalog(self.scored, self.info, CATALOG_K)

@@ -91,32 +91,40 @@ def _before(digits: list[Column], spot: Spot) -> Column:
     return test
 
 
-def slice_rows(df: DataFrame, digits: list[Column], ties: list[Column], start: int, stop: int,
-               *, leaf_rows: int = 100_000) -> DataFrame:
-    """Rows at positions ``start .. stop - 1`` in the order ``digits, ties``.
+def cut_rows(df: DataFrame, digits: list[Column], ties: list[Column], cuts: list[int], total: int,
+             *, leaf_rows: int = 100_000) -> list[DataFrame]:
+    """Rows between neighbouring positions of ``cuts`` in the order ``digits, ties``, one table each."""
+    spots = {at: Spot((), 0) if total <= leaf_rows else locate(df, digits, at, leaf_rows=leaf_rows)
+             for at in set(cuts) if 0 < at < total}
+    return [_between(df, digits, ties, low, min(high, total), total, spots) for low, high in zip(cuts, cuts[1:])]
+
+
+def _between(df: DataFrame, digits: list[Column], ties: list[Column], start: int, stop: int, total: int,
+             spots: dict[int, Spot]) -> DataFrame:
+    """Rows at positions ``start .. stop - 1``.
 
     All but the rows of the two edge groups are chosen by a plain filter, so
     nothing is sorted or shuffled as a whole.
     """
-    total = df.count()
-    stop = min(stop, total)
     if start >= stop:
         return df.limit(0)
     if start <= 0 and stop == total:
         return df
-    low = locate(df, digits, start, leaf_rows=leaf_rows) if start > 0 else None
-    high = locate(df, digits, stop, leaf_rows=leaf_rows) if stop < total else None
-
-    between = F.lit(True)
-    if low is not None:
-        between = between & ~_before(digits, low) & ~_inside(digits, low)
-    if high is not None:
-        between = between & _before(digits, high)
-    out = df.filter(between)
-
+    low, high = spots.get(start), spots.get(stop)
+    parts = []
+    if low is None or high is None or low != high:
+        between = F.lit(True)
+        if low is not None:
+            between = between & ~_before(digits, low) & ~_inside(digits, low)
+        if high is not None:
+            between = between & _before(digits, high)
+        if not any(spot is not None and not spot.prefix for spot in (low, high)):
+            parts.append(df.filter(between))
     for spot in {spot for spot in (low, high) if spot is not None}:
         place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*digits, *ties))
         edge = df.filter(_inside(digits, spot)).withColumn("_at", place + F.lit(spot.before - 1))
-        edge = edge.filter((F.col("_at") >= start) & (F.col("_at") < stop)).drop("_at")
-        out = out.unionByName(edge)
+        parts.append(edge.filter((F.col("_at") >= start) & (F.col("_at") < stop)).drop("_at"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
     return out

@@ -15,19 +15,24 @@ def pair_cooccurrence(baskets: DataFrame, min_cooc: int = 2) -> DataFrame:
     """Ordered product pairs that meet in at least ``min_cooc`` orders.
 
     Orders meet on ``order_id`` alone. An id used by one basket (the normal
-    case) gives its pairs straight from the array, without a join; an id shared
-    by several stores is counted over all of its baskets by the block join.
-    Pairs are counted once per unordered pair and mirrored after the filter.
+    case) gives its pairs straight from the array, without a join or shuffle;
+    an id shared by several stores is counted over all of its baskets by the
+    block join, planned only where such ids exist (a look at the id column, so
+    pass a written table). Pairs are counted once per unordered pair and
+    mirrored after the filter.
     """
     require_columns(baskets, ["order_id", "products"])
     shared = baskets.groupBy("order_id").agg(F.count("*").alias("n")).filter("n > 1").select("order_id")
-    single = half_pairs(baskets.join(shared, "order_id", "left_anti"), [])
-    items = (explode_baskets(baskets.join(shared, "order_id", "left_semi"))
-             .groupBy("order_id", "product_id").agg(F.count("*").alias("times")))
-    several = half_pairs_of_large_groups(items, ["order_id"], "product_id", "times")
-    together = single.withColumn("weight", F.lit(1).cast("bigint")).unionByName(
-        several.select("left", "right", "weight"))
-    counted = together.groupBy("left", "right").agg(F.sum("weight").alias("cooc_count"))
+    if shared.isEmpty():
+        counted = half_pairs(baskets, []).groupBy("left", "right").agg(F.count("*").alias("cooc_count"))
+    else:
+        single = half_pairs(baskets.join(shared, "order_id", "left_anti"), [])
+        items = (explode_baskets(baskets.join(shared, "order_id", "left_semi"))
+                 .groupBy("order_id", "product_id").agg(F.count("*").alias("times")))
+        several = half_pairs_of_large_groups(items, ["order_id"], "product_id", "times")
+        together = single.withColumn("weight", F.lit(1).cast("bigint")).unionByName(
+            several.select("left", "right", "weight"))
+        counted = together.groupBy("left", "right").agg(F.sum("weight").alias("cooc_count"))
     return mirrored(counted.filter(F.col("cooc_count") >= min_cooc), [])
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketloom.functions.hashing import category_code, draw_key, hex_digits
-from basketloom.functions.ranking import slice_rows
+from basketloom.functions.ranking import cut_rows
 from basketloom.operators.baskets import kiosk_anchor_queries
 from basketloom.schema import MISSING_CATEGORY, QUERY_KEYS, ROW_KEYS, require_columns
 
@@ -24,7 +24,7 @@ def add_query_id(df: DataFrame) -> DataFrame:
 def _sample_by_hash(df: DataFrame, keys: list[str], n: int, seed: int, leaf_rows: int) -> DataFrame:
     key = draw_key(seed, *keys)
     ties = [key] + [F.col(name) for name in keys]
-    return slice_rows(df, hex_digits(key), ties, 0, n, leaf_rows=leaf_rows)
+    return cut_rows(df, hex_digits(key), ties, [0, n], df.count(), leaf_rows=leaf_rows)[0]
 
 
 def sample_queries(queries: DataFrame, n: int, seed: int = 42, *, leaf_rows: int = 100_000) -> DataFrame:

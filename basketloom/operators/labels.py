@@ -19,11 +19,12 @@ def label_pairs_same_order(orders: DataFrame, *, array_items: int = 200) -> Data
     """
     small = half_pairs(build_baskets(orders, 2, array_items), ["kiosk_id"])
     lines = orders.select(*BASKET_KEYS, "product_id").distinct()
-    sizes = lines.groupBy(*BASKET_KEYS).agg(F.count("*").alias("n"))
-    large = lines.join(sizes.filter(F.col("n") > array_items), BASKET_KEYS, "left_semi")
-    many = half_pairs_of_large_groups(large.withColumn("one", F.lit(1).cast("bigint")),
-                                      BASKET_KEYS, "product_id", "one")
-    both = small.unionByName(many.select("kiosk_id", "left", "right"))
+    large = lines.groupBy(*BASKET_KEYS).agg(F.count("*").alias("n")).filter(F.col("n") > array_items)
+    both = small
+    if not large.isEmpty():
+        items = lines.join(large, BASKET_KEYS, "left_semi").withColumn("one", F.lit(1).cast("bigint"))
+        many = half_pairs_of_large_groups(items, BASKET_KEYS, "product_id", "one")
+        both = small.unionByName(many.select("kiosk_id", "left", "right"))
     counted = both.groupBy("kiosk_id", "left", "right").agg(F.count("*").alias("cooc_count"))
     return mirrored(counted, ["kiosk_id"])
 
@@ -108,15 +109,19 @@ def label_pairs_window(orders: DataFrame, *, window_days: int = 7, dt_col: str =
     Counts line pairs; same-instant lines of different products count. Stores
     with more than ``busy_bucket`` (product, instant) points in any one window
     take the tree form, all others the interval join, so no join key holds
-    more than ``2 * busy_bucket`` points.
+    more than ``2 * busy_bucket`` points. Whether such stores exist is looked
+    up first, so pass a written table.
     """
     require_columns(orders, [dt_col])
     width = window_days * DAY_MICROS
     events = _window_events(orders, dt_col, width)
     busy = (events.groupBy("kiosk_id", "bucket").agg(F.count("*").alias("points"))
             .filter(F.col("points") > busy_bucket).select("kiosk_id").distinct())
-    pairs = _bucket_pairs(events.join(busy, "kiosk_id", "left_anti"), width).unionByName(
-        _tree_pairs(events.join(busy, "kiosk_id", "left_semi"), width))
+    if busy.isEmpty():
+        pairs = _bucket_pairs(events, width)
+    else:
+        pairs = _bucket_pairs(events.join(busy, "kiosk_id", "left_anti"), width).unionByName(
+            _tree_pairs(events.join(busy, "kiosk_id", "left_semi"), width))
     return pairs.groupBy(*ROW_KEYS).agg(F.sum("pairs").alias("cooc_count"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from basketloom.functions.ranking import locate
 from basketloom.functions.times import instant, time_digits
 from basketloom.schema import require_columns
-from basketloom.sources.files import order_slice
+from basketloom.sources.files import cut_orders
 
 
 @dataclass(frozen=True)
@@ -41,8 +41,7 @@ def split_orders_by_rows(orders: DataFrame, *, train_ratio: float, val_ratio: fl
     total = orders.count()
     first = int(total * train_ratio)
     second = first + int(total * val_ratio)
-    bounds = [(0, first), (first, second), (second, total)]
-    return OrderSplit(*[order_slice(orders, low, high, leaf_rows=leaf_rows) for low, high in bounds])
+    return OrderSplit(*cut_orders(orders, [0, first, second, total], total, leaf_rows=leaf_rows))
 
 
 def time_cutoffs(low: datetime, high: datetime, train_ratio: float, val_ratio: float) -> tuple[datetime, datetime]:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketloom.functions.hashing import draw_key, hex_digits
-from basketloom.functions.ranking import slice_rows
+from basketloom.functions.ranking import cut_rows
 from basketloom.functions.times import time_digits
 from basketloom.schema import COMMERCE_TYPES, PRODUCT_TYPES, RAW_ORDER_NUMBERS
 
@@ -79,19 +79,18 @@ def _order_digits(df: DataFrame):
 
 
 def first_orders(orders: DataFrame, n: int, *, leaf_rows: int = 100_000) -> DataFrame:
-    digits, ties = _order_digits(orders)
-    return slice_rows(orders, digits, ties, 0, n, leaf_rows=leaf_rows)
+    return cut_orders(orders, [0, n], orders.count(), leaf_rows=leaf_rows)[0]
 
 
 def last_orders(orders: DataFrame, n: int, *, leaf_rows: int = 100_000) -> DataFrame:
-    digits, ties = _order_digits(orders)
     total = orders.count()
-    return slice_rows(orders, digits, ties, max(0, total - n), total, leaf_rows=leaf_rows)
+    return cut_orders(orders, [max(0, total - n), total], total, leaf_rows=leaf_rows)[0]
 
 
-def order_slice(orders: DataFrame, start: int, stop: int, *, leaf_rows: int = 100_000) -> DataFrame:
+def cut_orders(orders: DataFrame, cuts: list[int], total: int, *, leaf_rows: int = 100_000) -> list[DataFrame]:
+    """Order lines between neighbouring row positions, in time order."""
     digits, ties = _order_digits(orders)
-    return slice_rows(orders, digits, ties, start, stop, leaf_rows=leaf_rows)
+    return cut_rows(orders, digits, ties, cuts, total, leaf_rows=leaf_rows)
 
 
 def read_orders_parquet(spark: SparkSession, path: str) -> DataFrame:
