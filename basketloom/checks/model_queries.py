@@ -1 +1,63 @@
-BUILDERS = {}
+"""Queries whose result depends on a trained model; they have no SQL counterpart."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from basketloom.checks.stages import LABEL_DAYS, MIN_COOC, MIN_LIFT, TOP_K, Stages
+from basketloom.operators import catalog as ct
+from basketloom.operators.ranker import Ranker, RankerParams, predict_scores
+from basketloom.plans.scoring import ScoringParams, build_catalog
+from basketloom.plans.training import TrainingParams, labeled_splits, train_and_evaluate
+
+PARAMS = TrainingParams(
+    min_cooc=MIN_COOC, min_lift=MIN_LIFT, top_k=TOP_K, label_window_days=LABEL_DAYS, max_neg_per_group=20,
+    eval_ks=[5, 10, 20],
+    ranker=RankerParams(learning_rate=0.2, max_depth=4, min_data_in_leaf=20, num_boost_round=4,
+                        early_stopping_rounds=2, eval_ks=(10,)))
+
+# One trained model per application and directory: the queries below share it.
+_trained: dict[tuple[str, str], tuple] = {}
+
+
+def trained(s: Stages):
+    key = (s.spark.sparkContext.applicationId, s.tables.directory)
+    if key not in _trained:
+        splits = labeled_splits(s.orders, s.products, s.active[1], PARAMS)
+        _trained[key] = (splits, train_and_evaluate(splits, PARAMS))
+    return _trained[key]
+
+
+def _ranker(s: Stages) -> Ranker:
+    return trained(s)[1].ranker
+
+
+def _stopping(s: Stages) -> DataFrame:
+    """Validation NDCG per round, and the round kept."""
+    best = F.lit(_ranker(s).best_iteration)
+    curve = _ranker(s).eval_curve(s.spark).filter(F.col("dataset") == "valid")
+    return curve.select("iteration", "value", (F.col("iteration") == best).alias("kept"))
+
+
+def _scored(s: Stages) -> DataFrame:
+    return predict_scores(trained(s)[0].test, _ranker(s))
+
+
+def _model_catalog(s: Stages) -> DataFrame:
+    tables = build_catalog(s.clean, s.tables.all_products(), s.commerces, _ranker(s),
+                           ScoringParams(last_n_days=365, min_cooc=MIN_COOC, min_lift=1.0, catalog_top_k=20))
+    return tables.predictions
+
+
+BUILDERS = {
+    "train_ranker": lambda s: _ranker(s).node_table(s.spark),
+    "ranker_early_stopping": _stopping,
+    "ranker_eval_curve": lambda s: _ranker(s).eval_curve(s.spark),
+    "feature_importance": lambda s: _ranker(s).feature_importance(s.spark),
+    "predict_scores": _scored,
+    "ranker_test_metrics": lambda s: trained(s)[1].metrics,
+    "ranker_split_summary": lambda s: trained(s)[1].summary,
+    "model_catalog": _model_catalog,
+    "model_score_stats": lambda s: ct.score_stats(_scored(s)),
+}

@@ -4,14 +4,33 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from basketloom.functions.durable import materialize
 from basketloom.operators.baskets import build_baskets, kiosk_anchor_queries
+from basketloom.operators.candidates import generate_candidates, select_top_k_candidates
+from basketloom.operators.cleaning import (
+    assert_not_null,
+    blocked_product_ids,
+    filter_active_kiosks,
+    filter_blocked_products,
+    preprocess_orders,
+)
 from basketloom.operators.features import add_all_features, build_feature_table, sample_queries
-from basketloom.operators.labels import build_label_pairs, label_rows, queries_with_positives
-from basketloom.operators.training_set import filter_good_queries, sample_negatives
-from basketloom.schema import ROW_KEYS
+from basketloom.operators.labels import build_label_pairs, candidate_recall, label_rows, queries_with_positives
+from basketloom.operators.metrics import eval_query_coverage, metrics_table
+from basketloom.operators.ranker import Ranker, RankerParams, predict_scores, train_ranker
+from basketloom.operators.splits import split_feature_label, split_orders_by_time
+from basketloom.operators.training_set import filter_good_queries, sample_negatives, split_summary
+from basketloom.schema import QUERY_KEYS, ROW_KEYS
+from basketloom.sources.files import (
+    read_commerces,
+    read_orders_csv,
+    read_products,
+    sample_orders_csv,
+    unblocked,
+    write_parquet,
+)
 
 
 @dataclass(frozen=True)
@@ -31,6 +50,7 @@ class TrainingParams:
     max_neg_per_group: int = 60
     max_eval_queries: int = 50_000
     eval_ks: list[int] = field(default_factory=lambda: [20])
+    ranker: RankerParams = RankerParams()
 
 
 def build_labeled_split(*, query_orders: DataFrame, label_orders: DataFrame, feature_orders: DataFrame,
@@ -62,3 +82,92 @@ def build_labeled_split(*, query_orders: DataFrame, label_orders: DataFrame, fea
     columns = [name for name in labeled.columns if name != "label"]
     rows = add_all_features(labeled, orders=feature_orders, products=products, commerces=commerces)
     return rows.select(*columns, *[name for name in rows.columns if name not in columns and name != "label"], "label")
+
+
+@dataclass(frozen=True)
+class LabeledSplits:
+    train: DataFrame
+    val: DataFrame
+    test: DataFrame
+    topk: DataFrame
+    test_orders: DataFrame
+
+
+def labeled_splits(orders: DataFrame, products: DataFrame | None, commerces: DataFrame | None,
+                   params: TrainingParams = TrainingParams()) -> LabeledSplits:
+    """Labelled train, validation and test rows from cleaned, written orders.
+
+    Training features come from the earlier part of the training period and its
+    labels from the later one; validation and test are labelled from their own
+    period and described by the whole training period.
+    """
+    split = split_orders_by_time(orders, train_ratio=params.train_ratio, val_ratio=params.val_ratio,
+                                 test_ratio=params.test_ratio)
+    early, late = split_feature_label(split.train, params.train_label_ratio)
+    baskets = materialize(build_baskets(split.train))
+    k = max(1, min(params.top_k_train or params.top_k, params.top_k))
+    candidates = generate_candidates(baskets, params.min_cooc)
+    topk = materialize(select_top_k_candidates(candidates, k, params.min_lift))
+
+    def part(queries: DataFrame, labels: DataFrame, features: DataFrame, shaped: bool, cap: int = 0) -> DataFrame:
+        return materialize(build_labeled_split(
+            query_orders=queries, label_orders=labels, feature_orders=features, topk=topk, products=products,
+            commerces=commerces, params=params, keep_good=shaped, draw_negatives=shaped, max_queries=cap,
+            durable=True))
+
+    return LabeledSplits(
+        part(early, late, early, True), part(split.val, split.val, split.train, True),
+        part(split.test, split.test, split.train, False, params.max_eval_queries), topk, split.test)
+
+
+@dataclass(frozen=True)
+class TrainingResult:
+    ranker: Ranker
+    summary: DataFrame
+    recall: DataFrame
+    coverage: DataFrame
+    metrics: DataFrame
+
+
+def train_and_evaluate(splits: LabeledSplits, params: TrainingParams = TrainingParams(),
+                       model_path: str | None = None) -> TrainingResult:
+    """Train on the labelled splits, save the model, then measure it on the test rows."""
+    spark = splits.train.sparkSession
+    ranker = train_ranker(splits.train, splits.val, params.ranker)
+    if model_path:
+        ranker.save(spark, model_path)
+    scored = materialize(predict_scores(splits.test, ranker).select(*ROW_KEYS, "label", "score"))
+    pairs = build_label_pairs(splits.test_orders, window_days=params.label_window_days,
+                              min_cooc_label=params.min_cooc_label)
+    return TrainingResult(
+        ranker, split_summary({"train": splits.train, "val": splits.val, "test": splits.test}),
+        candidate_recall(scored.select(*QUERY_KEYS).distinct(), scored, pairs),
+        eval_query_coverage(scored), metrics_table(scored, params.eval_ks))
+
+
+def clean_order_files(spark: SparkSession, raw_paths: list[str], interim_path: str, n_rows: int = 0,
+                      sample_position: str = "head") -> DataFrame:
+    """Order files (whole, or a sample of ``n_rows``) cleaned into one checked parquet table."""
+    if n_rows > 0:
+        raw = sample_orders_csv(spark, raw_paths, n_rows, sample_position)
+    else:
+        raw = read_orders_csv(spark, raw_paths)
+    write_parquet(preprocess_orders(raw), interim_path)
+    orders = spark.read.parquet(interim_path)
+    assert_not_null(orders)
+    return orders
+
+
+def run_training(spark: SparkSession, *, raw_paths: list[str], interim_path: str, products_path: str,
+                 commerces_path: str, model_path: str, n_rows: int = 500_000, sample_position: str = "head",
+                 params: TrainingParams = TrainingParams(), eval_log_path: str | None = None) -> TrainingResult:
+    """From order, product and store files to a saved model and its test metrics."""
+    orders = clean_order_files(spark, raw_paths, interim_path, n_rows, sample_position)
+    catalog = read_products(spark, products_path, filter_blocked=False)
+    orders, commerces = filter_active_kiosks(orders, read_commerces(spark, commerces_path))
+    orders = materialize(filter_blocked_products(orders, blocked_product_ids(catalog)))
+    splits = labeled_splits(orders, unblocked(catalog), commerces, params)
+    result = train_and_evaluate(splits, params, model_path)
+    if eval_log_path:
+        result.ranker.eval_curve(spark).coalesce(1).write.mode("overwrite").option("header", True).csv(eval_log_path)
+    return result

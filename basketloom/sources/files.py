@@ -26,11 +26,14 @@ def _paths(paths: str | list[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
+def order_file_schema(spark: SparkSession, path: str) -> T.StructType:
+    return _typed(spark, path, ",", dict.fromkeys(RAW_ORDER_NUMBERS, T.DoubleType()))
+
+
 def read_orders_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Raw order lines; amounts are doubles, everything else (dates too) stays text."""
     paths = _paths(paths)
-    schema = _typed(spark, paths[0], ",", dict.fromkeys(RAW_ORDER_NUMBERS, T.DoubleType()))
-    return spark.read.schema(schema).option("header", True).csv(paths)
+    return spark.read.schema(order_file_schema(spark, paths[0])).option("header", True).csv(paths)
 
 
 def sample_orders_csv(spark: SparkSession, paths: str | list[str], n_rows: int = 1_000_000,
