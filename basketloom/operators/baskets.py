@@ -25,7 +25,7 @@ def build_baskets(orders: DataFrame, min_items: int = 2, max_items: int = 200) -
     """
     lines = top_rows(_basket_lines(orders), BASKET_KEYS, [F.col("product_id")], max_items + 1)
     return (lines.groupBy(*BASKET_KEYS)
-            .agg(F.array_sort(F.collect_list("product_id")).alias("products"))
+            .agg(F.sort_array(F.collect_list("product_id")).alias("products"))
             .filter(F.size("products").between(min_items, max_items)))
 
 

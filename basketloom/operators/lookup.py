@@ -13,7 +13,7 @@ LOOKUP_KEYS = ["anchor_id", "kiosk_id"]
 
 def _ranked_list() -> Column:
     """Product ids of a group by falling score, then id."""
-    pairs = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("product_id").alias("p"))))
+    pairs = F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("product_id").alias("p"))))
     return F.transform(pairs, lambda pair: pair["p"])
 
 

@@ -29,7 +29,7 @@ def kiosk_rec_sets(top: DataFrame) -> DataFrame:
 def _query_lists(top: DataFrame, k: int) -> DataFrame:
     """Sorted list of at most k products per query."""
     return (top_k_per_query(top, k).groupBy(*QUERY_KEYS)
-            .agg(F.array_sort(F.collect_list("candidate_product_id")).alias("recs")))
+            .agg(F.sort_array(F.collect_list("candidate_product_id")).alias("recs")))
 
 
 def anchor_list_diversity(top: DataFrame, k: int = 5) -> DataFrame:
@@ -83,7 +83,7 @@ def pairwise_jaccard(top: DataFrame, k: int = 5, max_kiosks: int = 200, max_pair
     """
     lists = _query_lists(top.filter(F.col("anchor_product_id") == most_popular_anchor(top)), k)
     sample = lists.orderBy(draw_key(seed, "kiosk_id"), "kiosk_id").limit(max_kiosks)
-    held = sample.agg(F.array_sort(F.collect_list(F.struct("kiosk_id", "recs"))).alias("all"))
+    held = sample.agg(F.sort_array(F.collect_list(F.struct("kiosk_id", "recs"))).alias("all"))
     heads = held.select("all", F.posexplode("all").alias("at", "a"))
     pairs = heads.select("a", F.explode(F.slice("all", F.col("at") + 2, F.size("all"))).alias("b"))
     flat = pairs.select(F.col("a.kiosk_id").alias("k1"), F.col("b.kiosk_id").alias("k2"),
