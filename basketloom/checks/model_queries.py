@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketloom.checks.stages import LABEL_DAYS, MIN_COOC, MIN_LIFT, TOP_K, Stages
+from basketloom.functions.durable import shared_folder
 from basketloom.operators import catalog as ct
 from basketloom.operators.ranker import Ranker, RankerParams, predict_scores
 from basketloom.plans.scoring import ScoringParams, build_catalog
 from basketloom.plans.training import TrainingParams, labeled_splits, train_and_evaluate
+from basketloom.schema import ROW_KEYS
 
 PARAMS = TrainingParams(
     min_cooc=MIN_COOC, min_lift=MIN_LIFT, top_k=TOP_K, label_window_days=LABEL_DAYS, max_neg_per_group=20,
@@ -40,12 +44,20 @@ def _stopping(s: Stages) -> DataFrame:
     return curve.select("iteration", "value", (F.col("iteration") == best).alias("kept"))
 
 
+def _reloaded(s: Stages) -> DataFrame:
+    """Test rows scored by the model after saving and loading it."""
+    path = f"{shared_folder(s.spark)}/basketloom/model-{uuid.uuid4().hex}"
+    _ranker(s).save(s.spark, path)
+    rows = predict_scores(trained(s)[0].test, Ranker.load(s.spark, path))
+    return rows.select(*ROW_KEYS, "score")
+
+
 def _scored(s: Stages) -> DataFrame:
     return predict_scores(trained(s)[0].test, _ranker(s))
 
 
 def _model_catalog(s: Stages) -> DataFrame:
-    tables = build_catalog(s.clean, s.tables.all_products(), s.commerces, _ranker(s),
+    tables = build_catalog(s.clean, s.all_products, s.commerces, _ranker(s),
                            ScoringParams(last_n_days=365, min_cooc=MIN_COOC, min_lift=1.0, catalog_top_k=20))
     return tables.predictions
 
@@ -56,6 +68,7 @@ BUILDERS = {
     "ranker_eval_curve": lambda s: _ranker(s).eval_curve(s.spark),
     "feature_importance": lambda s: _ranker(s).feature_importance(s.spark),
     "predict_scores": _scored,
+    "ranker_save_load": _reloaded,
     "ranker_test_metrics": lambda s: trained(s)[1].metrics,
     "ranker_split_summary": lambda s: trained(s)[1].summary,
     "model_catalog": _model_catalog,

@@ -276,6 +276,9 @@ QUERIES: dict[str, str] = {
         SELECT * FROM raw QUALIFY row_number() OVER (
             ORDER BY orderdt DESC, {_draw(0, 'orderid', 'productid')} DESC, orderid DESC, productid DESC,
                      quantity DESC) <= 1000""",
+    "read_orders_csv": "SELECT * REPLACE (CAST(orderdt AS VARCHAR) AS orderdt) FROM raw",
+    "ingest_orders_incremental": "SELECT * FROM clean",
+    "write_parquet": "SELECT * FROM clean",
     "read_orders_parquet": "SELECT * FROM orders",
     "read_products": "SELECT * FROM products",
     "read_commerces": "SELECT * FROM commerces",
@@ -557,5 +560,8 @@ QUERIES: dict[str, str] = {
 }
 
 
+QUERIES["recommend_requests_stream"] = QUERIES["recommend_requests"]
+
+
 def all_oracles() -> dict[str, str]:
     return {name: with_steps(query.strip()) for name, query in QUERIES.items()}

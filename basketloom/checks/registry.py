@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketloom.checks import model_queries
+from basketloom.checks import file_queries, model_queries
+from basketloom.checks.file_queries import requests
 from basketloom.checks.stages import CATALOG_K, LABEL_DAYS, MIN_COOC, REPORT_K, Stages
 from basketloom.functions.scaling import minmax_scale_to_range, value_range
 from basketloom.operators import baskets as bk
@@ -22,6 +23,7 @@ from basketloom.operators import novelty as nv
 from basketloom.operators import personalization as pz
 from basketloom.operators import splits as sp
 from basketloom.operators import training_set as ts
+from basketloom.plans.training import TrainingParams, build_labeled_split
 from basketloom.schema import QUERY_KEYS, ROW_KEYS
 from basketloom.sources import files
 
@@ -62,25 +64,18 @@ def _kiosk_candidates(s: Stages) -> DataFrame:
     return s.topk.join(bought, "candidate_product_id")
 
 
-def _requests(s: Stages) -> DataFrame:
-    """Every (store, product) of the whole order history asks once; many are unknown to the catalog."""
-    limit = F.when(F.col("kiosk_id").endswith("7"), 3).otherwise(20)
-    return s.orders.select(F.col("product_id").alias("anchor_id"), "kiosk_id").distinct().withColumn("limit", limit)
-
-
 def _fallback_answers(s: Stages) -> DataFrame:
     return lk.recommend_with_fallback(
-        _requests(s), lk.build_lookup(s.catalog), ct.anchor_fallback(s.topk, s.info, SCORE_RANGE, CATALOG_K),
+        requests(s), lk.build_lookup(s.catalog), ct.anchor_fallback(s.topk, s.info, SCORE_RANGE, CATALOG_K),
         ct.category_fallback(s.orders, s.info, SCORE_RANGE, CATALOG_K),
-        ct.global_fallback(s.orders, s.info, SCORE_RANGE, CATALOG_K), ct.product_info(s.tables.all_products()))
+        ct.global_fallback(s.orders, s.info, SCORE_RANGE, CATALOG_K), ct.product_info(s.all_products))
 
 
 def _labeled_part(s: Stages) -> DataFrame:
     """Labels first, features last, for the queries with positives of the test period."""
-    from basketloom.plans.training import TrainingParams, build_labeled_split
     return build_labeled_split(
-        query_orders=s.test, label_orders=s.test, feature_orders=s.train, topk=s.topk, products=s.products,
-        commerces=s.active[1], params=TrainingParams(), keep_good=True, draw_negatives=True, durable=True)
+        query_orders=s.test, label_orders=s.test, topk=s.topk,
+        facts=ft.feature_facts(s.train, s.products, s.active[1], durable=True), params=TrainingParams(), keep_good=True, draw_negatives=True, durable=True)
 
 
 def _incomplete(s: Stages) -> DataFrame:
@@ -104,8 +99,8 @@ BUILDERS: dict[str, Callable[[Stages], DataFrame]] = {
     "sample_orders_head": lambda s: files.first_orders(s.raw, 1000),
     "sample_orders_tail": lambda s: files.last_orders(s.raw, 1000),
     "read_orders_parquet": lambda s: files.read_orders_parquet(s.spark, f"{s.tables.directory}/orders.parquet"),
-    "read_products": lambda s: s.products,
-    "read_commerces": lambda s: s.commerces,
+    "read_products": lambda s: s.tables.products(),
+    "read_commerces": lambda s: s.tables.commerces(),
     # cleaning
     "preprocess_orders": lambda s: s.clean,
     "assert_not_null": lambda s: cl.null_counts(s.clean),
@@ -195,9 +190,9 @@ BUILDERS: dict[str, Callable[[Stages], DataFrame]] = {
     # lookups
     "build_lookup": lambda s: joined(lk.build_lookup(s.catalog), "recs"),
     "recommend_requests": lambda s: lk.recommend_requests(
-        lk.valid_limits(_requests(s)), lk.build_lookup(s.catalog)).drop("recommendation_date"),
+        lk.valid_limits(requests(s)), lk.build_lookup(s.catalog)).drop("recommendation_date"),
     "recommend_multi": lambda s: joined(
-        lk.recommend_multi(_requests(s), lk.build_lookup(s.catalog)).drop("recommendation_date"), "recs"),
+        lk.recommend_multi(requests(s), lk.build_lookup(s.catalog)).drop("recommendation_date"), "recs"),
     "recommend_with_fallback": _fallback_answers,
     # reports
     "top_k_per_query": lambda s: rounded(pz.top_k_per_query(s.scored.select(*ROW_KEYS, "score"), REPORT_K), 9),
@@ -219,6 +214,7 @@ BUILDERS: dict[str, Callable[[Stages], DataFrame]] = {
     "avg_pop_store": lambda s: rounded(nv.avg_pop_store(s.scored, REPORT_K)),
     "mixed_queries": lambda s: nv.mixed_queries(s.scored, REPORT_K),
     "mixed_query_examples": lambda s: nv.mixed_query_examples(s.scored, s.products, REPORT_K),
+    **file_queries.BUILDERS,
     **model_queries.BUILDERS,
 }
 

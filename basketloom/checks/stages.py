@@ -12,6 +12,7 @@ from basketloom.operators import baskets, candidates, cleaning, features, labels
 from basketloom.operators.catalog import predictions_catalog, product_info
 from basketloom.operators.personalization import top_k_per_query
 from basketloom.schema import ROW_KEYS
+from basketloom.sources.files import unblocked
 from basketloom.sources.star import StarTables
 
 MIN_COOC = 2
@@ -25,9 +26,9 @@ REPORT_K = 5
 class Stages:
     """Tables of each stage, built on demand for one query.
 
-    Stages that later steps read several times are written once (cleaned
-    orders, baskets, candidates, label pairs, judged rows), as a plan over a
-    real order history would; the rest is lazy.
+    Stages that later steps read several times are written once (products,
+    stores, cleaned orders, baskets, candidates, label pairs, judged rows), as
+    a plan over a real order history would; the rest is lazy.
     """
 
     def __init__(self, spark: SparkSession, directory: str, min_lift: float = MIN_LIFT):
@@ -40,12 +41,16 @@ class Stages:
         return self.tables.raw_orders()
 
     @cached_property
+    def all_products(self) -> DataFrame:
+        return materialize(self.tables.all_products())
+
+    @property
     def products(self) -> DataFrame:
-        return self.tables.products()
+        return unblocked(self.all_products)
 
     @cached_property
     def commerces(self) -> DataFrame:
-        return self.tables.commerces()
+        return materialize(self.tables.commerces())
 
     @cached_property
     def clean(self) -> DataFrame:
@@ -57,7 +62,7 @@ class Stages:
 
     @property
     def kept_orders(self) -> DataFrame:
-        blocked = cleaning.blocked_product_ids(self.tables.all_products())
+        blocked = cleaning.blocked_product_ids(self.all_products)
         return cleaning.filter_blocked_products(self.active[0], blocked)
 
     @cached_property
@@ -112,7 +117,7 @@ class Stages:
     @cached_property
     def features(self) -> DataFrame:
         return features.add_all_features(self.rows, orders=self.train, products=self.products,
-                                         commerces=self.active[1])
+                                         commerces=self.active[1], durable=True)
 
     @cached_property
     def pairs(self) -> DataFrame:

@@ -43,7 +43,7 @@ def basket_size_stats(baskets: DataFrame) -> DataFrame:
     sizes = (baskets.groupBy(F.size("products").alias("n")).agg(F.count("*").alias("times")))
     return sizes.agg(
         F.min("n").cast("bigint").alias("min_size"),
-        (F.sum(F.col("n") * F.col("times")) / F.sum("times")).alias("mean_size"),
+        F.try_divide(F.sum(F.col("n") * F.col("times")), F.sum("times")).alias("mean_size"),
         *[F.percentile("n", share, F.col("times")).alias(name)
           for name, share in (("median_size", 0.5), ("p95_size", 0.95), ("p99_size", 0.99))],
         F.max("n").cast("bigint").alias("max_size"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketloom.functions.durable import materialize
 from basketloom.functions.ranking import top_rows
 from basketloom.operators.baskets import explode_baskets, product_basket_counts
 from basketloom.operators.pairs import half_pairs, half_pairs_of_large_groups, mirrored
@@ -39,11 +40,12 @@ def pair_cooccurrence(baskets: DataFrame, min_cooc: int = 2) -> DataFrame:
 def generate_candidates(baskets: DataFrame, min_cooc: int = 2) -> DataFrame:
     """Pairs with support, confidence, lift and cosine.
 
-    The rule that a product must lie in ``min_cooc`` baskets is applied on the
+    Basket counts per product are written, so that the planner knows whether
+    they are small enough to broadcast to the pairs. The rule that a product must lie in ``min_cooc`` baskets is applied on the
     counts joined here anyway: it drops the same pairs as filtering the items
     first, and saves regrouping the baskets.
     """
-    counts = product_basket_counts(explode_baskets(baskets)).filter(F.col("product_count") >= min_cooc)
+    counts = materialize(product_basket_counts(explode_baskets(baskets)).filter(F.col("product_count") >= min_cooc))
     total = baskets.agg(F.count("*").cast("double").alias("n")).scalar()
     anchors = counts.select(F.col("product_id").alias("anchor_product_id"),
                             F.col("product_count").alias("anchor_count"))
@@ -71,9 +73,12 @@ def select_top_k_candidates(candidates: DataFrame, k: int = 50, min_lift: float
 
 def topk_candidate_stats(topk: DataFrame, k: int) -> DataFrame:
     """One row: anchors and the spread of candidates per anchor."""
-    sizes = topk.groupBy("anchor_product_id").agg(F.count("*").alias("n"))
-    full = F.count_if(F.col("n") >= k)
-    return sizes.agg(F.count("*").alias("n_anchors"), F.min("n").alias("min_cands"),
-                     F.avg("n").alias("mean_cands"), F.median("n").alias("median_cands"),
+    sizes = (topk.groupBy("anchor_product_id").agg(F.count("*").alias("n"))
+             .groupBy("n").agg(F.count("*").alias("times")))
+    anchors = F.coalesce(F.sum("times"), F.lit(0))
+    full = F.coalesce(F.sum(F.when(F.col("n") >= k, F.col("times"))), F.lit(0))
+    return sizes.agg(anchors.alias("n_anchors"), F.min("n").alias("min_cands"),
+                     F.try_divide(F.sum(F.col("n") * F.col("times")), F.sum("times")).alias("mean_cands"),
+                     F.percentile("n", 0.5, F.col("times")).alias("median_cands"),
                      F.max("n").alias("max_cands"), full.alias("n_full"),
-                     F.coalesce(F.try_divide(100.0 * full, F.count("*")), F.lit(0.0)).alias("pct_full"))
+                     F.coalesce(F.try_divide(100.0 * full, anchors), F.lit(0.0)).alias("pct_full"))

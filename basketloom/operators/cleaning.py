@@ -53,9 +53,10 @@ def null_ratios(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 
 def active_kiosk_ids(commerces: DataFrame) -> DataFrame:
+    """Ids of active stores; a store listed twice appears twice."""
     return (commerces.filter(F.col("active"))
             .select(F.col("userid").cast("string").alias("kiosk_id"))
-            .filter(F.col("kiosk_id").isNotNull()).distinct())
+            .filter(F.col("kiosk_id").isNotNull()))
 
 
 def filter_active_kiosks(orders: DataFrame, commerces: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketloom.functions.durable import materialize
 from basketloom.functions.hashing import category_code, draw_key, hex_digits
 from basketloom.functions.ranking import cut_rows
 from basketloom.operators.baskets import kiosk_anchor_queries
@@ -135,39 +138,59 @@ def feat_kiosk_meta(df: DataFrame, commerces: DataFrame) -> DataFrame:
     return df.join(kiosk_metadata(commerces), "kiosk_id", "left").select(*df.columns, *CATEGORICAL_FEATURES)
 
 
-def add_all_features(df: DataFrame, *, orders: DataFrame, products: DataFrame | None = None,
-                     commerces: DataFrame | None = None) -> DataFrame:
-    """All features with one join per key.
+@dataclass(frozen=True)
+class FeatureFacts:
+    """What is known per (store, product), per product and per store; built once, joined often."""
 
-    Facts of the same key are merged before they meet the feature table, the
-    largest table here: (store, candidate), candidate, anchor, store.
-    """
-    per_store = store_popularity(orders)
-    columns = list(df.columns)
+    per_store: DataFrame
+    per_candidate: DataFrame
+    per_anchor: DataFrame | None
+    per_kiosk: DataFrame
+    extra: tuple[str, ...]
+
+
+def feature_facts(orders: DataFrame, products: DataFrame | None = None, commerces: DataFrame | None = None,
+                  durable: bool = False) -> FeatureFacts:
+    """Merge the facts of each key before they meet the feature table, the largest table here.
 
-    by_candidate = _global_popularity(per_store)
-    by_kiosk = _kiosk_volume(per_store)
-    extra: list[Column] = []
+    ``durable`` writes them: the popularity counts are then aggregated once,
+    and the planner knows the true sizes. It broadcasts the product and store
+    facts while they are small and falls back to a shuffle join beyond that.
+    """
+    keep = materialize if durable else (lambda df: df)
+    per_store = keep(store_popularity(orders))
+    by_product, by_kiosk, anchors = _global_popularity(per_store), _kiosk_volume(per_store), None
+    extra: list[str] = []
     if has_categories(products):
         known = product_categories(products)
-        by_candidate = by_candidate.join(
-            known.withColumnRenamed("category", "_cand_cat"), "product_id", "full")
-        anchors = known.select(F.col("product_id").alias("anchor_product_id"),
-                               F.col("category").alias("_anchor_cat"))
-        df = df.join(anchors, "anchor_product_id", "left")
-        extra.append((F.col("_anchor_cat") == F.col("_cand_cat")).cast("tinyint").alias("same_category"))
+        anchors = known.select(F.col("product_id").alias("anchor_product_id"), F.col("category").alias("_anchor_cat"))
+        by_product = by_product.join(known.withColumnRenamed("category", "_cand_cat"), "product_id", "full")
+        extra.append("same_category")
     if commerces is not None and "userid" in commerces.columns:
         by_kiosk = by_kiosk.join(kiosk_metadata(commerces), "kiosk_id", "full")
-        extra += [F.col(name) for name in CATEGORICAL_FEATURES]
+        extra += CATEGORICAL_FEATURES
+    return FeatureFacts(
+        per_store.withColumnRenamed("product_id", "candidate_product_id"),
+        keep(by_product).withColumnRenamed("product_id", "candidate_product_id"), anchors, keep(by_kiosk), tuple(extra))
+
 
-    df = df.join(by_candidate.withColumnRenamed("product_id", "candidate_product_id"),
-                 "candidate_product_id", "left")
-    df = df.join(per_store.withColumnRenamed("product_id", "candidate_product_id"),
-                 ["kiosk_id", "candidate_product_id"], "left")
-    df = df.join(by_kiosk, "kiosk_id", "left")
+def attach_features(df: DataFrame, facts: FeatureFacts) -> DataFrame:
+    """All features, with one join per key."""
+    columns = list(df.columns)
+    df = df.join(facts.per_candidate, "candidate_product_id", "left")
+    if facts.per_anchor is not None:
+        df = df.join(facts.per_anchor, "anchor_product_id", "left")
+        df = df.withColumn("same_category", (F.col("_anchor_cat") == F.col("_cand_cat")).cast("tinyint"))
+    df = df.join(facts.per_kiosk, "kiosk_id", "left")
+    df = df.join(facts.per_store, ["kiosk_id", "candidate_product_id"], "left")
     counts = [_zero_if_null(name) for name in ("pop_store", "pop_global", "kiosk_product_cnt")]
     is_new = F.coalesce(F.col("pop_store") == 0, F.lit(True)).cast("tinyint").alias("cand_is_new")
-    return df.select(*columns, *counts, is_new, *extra)
+    return df.select(*columns, *counts, is_new, *facts.extra)
+
+
+def add_all_features(df: DataFrame, *, orders: DataFrame, products: DataFrame | None = None,
+                     commerces: DataFrame | None = None, durable: bool = False) -> DataFrame:
+    return attach_features(df, feature_facts(orders, products, commerces, durable))
 
 
 # ---- feature columns of a model ---------------------------------------------

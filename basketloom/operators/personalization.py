@@ -45,7 +45,9 @@ def top_anchors(diversity: DataFrame, n: int = 10) -> DataFrame:
 
 
 def anchor_diversity_summary(diversity: DataFrame) -> DataFrame:
-    return diversity.agg(F.avg("pct_unique").alias("avg_pct"), F.median("pct_unique").alias("median_pct"))
+    shares = diversity.groupBy("pct_unique").agg(F.count("*").alias("times"))
+    return shares.agg(F.try_divide(F.sum(F.col("pct_unique") * F.col("times")), F.sum("times")).alias("avg_pct"),
+                      F.percentile("pct_unique", 0.5, F.col("times")).alias("median_pct"))
 
 
 def global_baseline_topk(top: DataFrame, k: int = 5) -> DataFrame:
@@ -63,7 +65,7 @@ def baseline_overlap(top: DataFrame, k: int = 5) -> DataFrame:
               .agg((F.count("_in") / F.count("*") * 100).alias("pct")))
     # Few distinct shares exist, so they are counted before the quantiles.
     counted = shares.groupBy("pct").agg(F.count("*").alias("times"))
-    return counted.agg((F.sum(F.col("pct") * F.col("times")) / F.sum("times")).alias("mean_overlap"),
+    return counted.agg(F.try_divide(F.sum(F.col("pct") * F.col("times")), F.sum("times")).alias("mean_overlap"),
                        *[F.percentile("pct", share, F.col("times")).alias(name)
                          for name, share in (("p25", 0.25), ("median", 0.5), ("p75", 0.75))])
 

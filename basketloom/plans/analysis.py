@@ -28,7 +28,7 @@ def score_test_period(orders: DataFrame, products: DataFrame, commerces: DataFra
     topk = materialize(select_top_k_candidates(candidates, top_k, min_lift))
     queries = sample_kiosks(materialize(kiosk_anchor_queries(build_baskets(split.test))), n_kiosks)
     rows = add_all_features(build_feature_table(None, topk, queries), orders=split.train, products=products,
-                            commerces=commerces)
+                            commerces=commerces, durable=True)
     return materialize(predict_scores(rows, ranker).select(*ROW_KEYS, "cand_is_new", "pop_store", "score"))
 
 

@@ -70,7 +70,7 @@ def build_catalog(orders: DataFrame, all_products: DataFrame, commerces: DataFra
         queries = sample_queries(materialize(kiosk_anchor_queries(baskets)), params.query_sample_n)
     products = unblocked(all_products)
     rows = add_all_features(build_feature_table(baskets, topk, queries), orders=recent, products=products,
-                            commerces=commerces)
+                            commerces=commerces, durable=True)
     scored = materialize(predict_scores(rows, ranker).select(*ROW_KEYS, "score"))
 
     info = ct.product_info(products)

@@ -16,7 +16,7 @@ from basketloom.operators.cleaning import (
     filter_blocked_products,
     preprocess_orders,
 )
-from basketloom.operators.features import add_all_features, build_feature_table, sample_queries
+from basketloom.operators.features import FeatureFacts, attach_features, build_feature_table, feature_facts, sample_queries
 from basketloom.operators.labels import build_label_pairs, candidate_recall, label_rows, queries_with_positives
 from basketloom.operators.metrics import eval_query_coverage, metrics_table
 from basketloom.operators.ranker import Ranker, RankerParams, predict_scores, train_ranker
@@ -53,9 +53,8 @@ class TrainingParams:
     ranker: RankerParams = RankerParams()
 
 
-def build_labeled_split(*, query_orders: DataFrame, label_orders: DataFrame, feature_orders: DataFrame,
-                        topk: DataFrame, products: DataFrame | None, commerces: DataFrame | None,
-                        params: TrainingParams, keep_good: bool, draw_negatives: bool,
+def build_labeled_split(*, query_orders: DataFrame, label_orders: DataFrame, facts: FeatureFacts,
+                        topk: DataFrame, params: TrainingParams, keep_good: bool, draw_negatives: bool,
                         max_queries: int = 0, durable: bool = False) -> DataFrame:
     """Labelled feature rows of one period.
 
@@ -80,7 +79,7 @@ def build_labeled_split(*, query_orders: DataFrame, label_orders: DataFrame, fea
     if draw_negatives:
         labeled = sample_negatives(labeled, params.max_neg_per_group)
     columns = [name for name in labeled.columns if name != "label"]
-    rows = add_all_features(labeled, orders=feature_orders, products=products, commerces=commerces)
+    rows = attach_features(labeled, facts)
     return rows.select(*columns, *[name for name in rows.columns if name not in columns and name != "label"], "label")
 
 
@@ -109,15 +108,16 @@ def labeled_splits(orders: DataFrame, products: DataFrame | None, commerces: Dat
     candidates = generate_candidates(baskets, params.min_cooc)
     topk = materialize(select_top_k_candidates(candidates, k, params.min_lift))
 
-    def part(queries: DataFrame, labels: DataFrame, features: DataFrame, shaped: bool, cap: int = 0) -> DataFrame:
+    def part(queries: DataFrame, labels: DataFrame, facts: FeatureFacts, shaped: bool, cap: int = 0) -> DataFrame:
         return materialize(build_labeled_split(
-            query_orders=queries, label_orders=labels, feature_orders=features, topk=topk, products=products,
-            commerces=commerces, params=params, keep_good=shaped, draw_negatives=shaped, max_queries=cap,
-            durable=True))
+            query_orders=queries, label_orders=labels, facts=facts, topk=topk, params=params, keep_good=shaped,
+            draw_negatives=shaped, max_queries=cap, durable=True))
 
+    early_facts = feature_facts(early, products, commerces, durable=True)
+    facts = feature_facts(split.train, products, commerces, durable=True)
     return LabeledSplits(
-        part(early, late, early, True), part(split.val, split.val, split.train, True),
-        part(split.test, split.test, split.train, False, params.max_eval_queries), topk, split.test)
+        part(early, late, early_facts, True), part(split.val, split.val, facts, True),
+        part(split.test, split.test, facts, False, params.max_eval_queries), topk, split.test)
 
 
 @dataclass(frozen=True)

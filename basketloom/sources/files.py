@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketloom.functions.durable import materialize
 from basketloom.functions.hashing import draw_key, hex_digits
 from basketloom.functions.ranking import cut_rows
 from basketloom.functions.times import time_digits
@@ -40,8 +41,8 @@ def sample_orders_csv(spark: SparkSession, paths: str | list[str], n_rows: int =
                       sample_position: str = "head") -> DataFrame:
     """The first or last ``max(1, n_rows // files)`` rows of each file, in file order.
 
-    Row positions come from the sizes of the input splits (a small table), so
-    only the splits that hold wanted rows take part in the final read's filter.
+    Row positions come from the sizes of the input splits (a small table);
+    lines of other splits are dropped by the join with the wanted ones.
     """
     if sample_position not in ("head", "tail"):
         raise ValueError("sample_position must be 'head' or 'tail'")
@@ -64,7 +65,8 @@ def sample_orders_csv(spark: SparkSession, paths: str | list[str], n_rows: int =
         low, high = F.lit(0), F.lit(share)
     else:
         low, high = F.col("_total") - share, F.col("_total")
-    wanted = starts.filter((F.col("_start") < high) & (F.col("_start") + F.col("_rows") > low))
+    # Written, so that the planner sees how few splits are wanted and need not shuffle the lines.
+    wanted = materialize(starts.filter((F.col("_start") < high) & (F.col("_start") + F.col("_rows") > low)))
     at = F.col("_start") + F.col("_id") - F.col("_first")
     return placed.join(wanted, ["_file", "_split"]).filter((at >= low) & (at < high)).select(*fields)
 
