@@ -46,9 +46,13 @@ def predictions_catalog(scored: DataFrame, info: DataFrame, top_k: int = 30) ->
                         "candidate_name", "category", "score")
 
 
-def catalog_coverage(catalog: DataFrame, active_kiosks: DataFrame | None = None) -> DataFrame:
-    """One row: catalog rows, queries, stores, active stores and the share covered in percent."""
-    counts = catalog.groupBy(*QUERY_KEYS).agg(F.count("*").alias("n")).groupBy("kiosk_id").agg(
+def catalog_coverage(rows: DataFrame, active_kiosks: DataFrame | None = None, top_k: int | None = None) -> DataFrame:
+    """One row: catalog rows, queries, stores, active stores and the share covered in percent.
+
+    ``rows`` is the catalog, or the scored rows it is cut from with the ``top_k`` of the cut.
+    """
+    size = F.count("*") if top_k is None else F.least(F.count("*"), F.lit(top_k))
+    counts = rows.groupBy(*QUERY_KEYS).agg(size.alias("n")).groupBy("kiosk_id").agg(
         F.sum("n").alias("n"), F.count("*").alias("q")).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
         F.coalesce(F.sum("q"), F.lit(0)).alias("n_queries"), F.count("*").alias("n_kiosks"))

@@ -100,9 +100,9 @@ def predict_scores(df: DataFrame, ranker: Ranker, score_col: str = "score") -> D
     low, high = table[:, 3].astype("int64") + start, table[:, 4].astype("int64") + start
 
     @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for batch in batches:
-            x = np.stack(batch.to_numpy()) if len(batch) else np.empty((0, 1))
+            x = np.column_stack(batch)
             rows, total = np.arange(len(x)), np.zeros(len(x))
             for root in roots:
                 at = np.full(len(x), root)
@@ -116,8 +116,8 @@ def predict_scores(df: DataFrame, ranker: Ranker, score_col: str = "score") -> D
             yield pd.Series(total)
 
     ready = ensure_feature_columns(df, ranker.features, ranker.categorical)
-    inputs = F.array(*encode_features(ranker.features, ranker.categorical))
-    return ready.withColumn(score_col, score(inputs)).select(*df.columns, score_col)
+    inputs = encode_features(ranker.features, ranker.categorical)
+    return ready.withColumn(score_col, score(*inputs)).select(*df.columns, score_col)
 
 
 def _lambdas(scored: DataFrame) -> DataFrame:

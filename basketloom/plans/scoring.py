@@ -81,7 +81,7 @@ def build_catalog(orders: DataFrame, all_products: DataFrame, commerces: DataFra
         ct.anchor_fallback(topk, info, span, params.catalog_top_k),
         ct.category_fallback(recent, info, span, params.catalog_top_k),
         ct.global_fallback(recent, info, span, params.catalog_top_k),
-        ct.catalog_coverage(predictions, known))
+        ct.catalog_coverage(scored, known, params.catalog_top_k))
 
 
 def generate_predictions(spark: SparkSession, *, orders_path: str, products_path: str, commerces_path: str,

@@ -34,6 +34,7 @@ def test_coverage(spark, scored, info):
     row = ct.catalog_coverage(out, active).first()
     assert (row["n_rows"], row["n_queries"], row["n_kiosks"], row["n_active"], row["coverage_pct"]) == (3, 2, 2, 4, 50.0)
     assert ct.catalog_coverage(out).first()["coverage_pct"] == 100.0
+    assert ct.catalog_coverage(scored, active, 2).first() == row
     assert ct.catalog_coverage(out, active.limit(0)).first()["coverage_pct"] == 100.0
     assert ct.catalog_coverage(out.limit(0)).first()["coverage_pct"] == 0.0
 
