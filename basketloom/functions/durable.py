@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local_folders: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``; a local session without one gets a folder of its own."""
@@ -15,9 +17,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="basketloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    owner = spark.sparkContext.applicationId
+    if owner not in _local_folders:
+        _local_folders[owner] = tempfile.mkdtemp(prefix="basketloom-")
+    return _local_folders[owner]
 
 
 def materialize(df: DataFrame) -> DataFrame:
