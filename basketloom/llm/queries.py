@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketloom.llm import quality_rules, simhash, url_filter
+from basketloom.llm import bpe, langid, lattice_lm, mil_quality, quality_rules, simhash, url_filter
+from basketloom.llm.columns import remainder
 
 #: Fixed values of the contract: verdict and host/path of each URL rule.
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
@@ -28,6 +30,34 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def held_out(divisor: int, value: int):
+    return F.coalesce(remainder(F.col("doc_id"), divisor) == value, F.lit(True)).alias("held_out")
+
+
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    predicted = langid.predict(docs, langid.train(docs))
+    return predicted.select("doc_id", held_out(3, 1), "lang_pred", "score")
+
+
+def op7_lattice_lm(spark: SparkSession, folder: str) -> DataFrame:
+    scores = lattice_lm.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    return lattice_lm.lattice_scores(table(spark, folder, "documents"), scores)
+
+
+def op8_mil_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scored = mil_quality.score(docs, mil_quality.train(docs, table(spark, folder, "labels")))
+    return scored.select("doc_id", held_out(3, 1), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    tokens = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    coded = bpe.encode(table(spark, folder, "documents"), tokens, public_tokenizers.PATTERN)
+    return coded.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     host, path = url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url"))
@@ -38,4 +68,5 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash_near_dedup, op2_quality_rules, op10_url_filter)}
+    return {f.__name__: f for f in (
+        op1_simhash_near_dedup, op2_quality_rules, op6_language_id, op7_lattice_lm, op8_mil_quality, op9_byte_bpe, op10_url_filter)}
