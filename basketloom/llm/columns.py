@@ -24,3 +24,11 @@ def remainder(id_col: Column, divisor: int) -> Column:
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a parquet table in the shared folder; survives lost executors and cuts the lineage."""
     return materialize(df)
+
+
+def dropped(df: DataFrame) -> None:
+    """Deletes the files of a table made by ``written`` that nothing reads any more."""
+    jvm, hadoop = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(hadoop).delete(path, True)

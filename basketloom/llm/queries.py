@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketloom.llm import bpe, langid, lattice_lm, mil_quality, quality_rules, simhash, url_filter
+from basketloom.llm import bpe, langid, lattice_lm, mil_quality, quality_rules, simhash, suffix_dedup, url_filter
 from basketloom.llm.columns import remainder
 
 #: Fixed values of the contract: verdict and host/path of each URL rule.
@@ -30,6 +30,13 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(table(spark, folder, "documents"), length=400)
+    removed = F.col("n_bytes") - F.octet_length("kept")
+    return cut.select("doc_id", "n_bytes", removed.cast("long").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def held_out(divisor: int, value: int):
     return F.coalesce(remainder(F.col("doc_id"), divisor) == value, F.lit(True)).alias("held_out")
 
@@ -69,4 +76,4 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_simhash_near_dedup, op2_quality_rules, op6_language_id, op7_lattice_lm, op8_mil_quality, op9_byte_bpe, op10_url_filter)}
+        op1_simhash_near_dedup, op2_quality_rules, op3_suffix_dedup, op6_language_id, op7_lattice_lm, op8_mil_quality, op9_byte_bpe, op10_url_filter)}
