@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketloom.llm import bpe, langid, lattice_lm, mil_quality, quality_rules, simhash, suffix_dedup, url_filter
+from basketloom.llm import bpe, decontaminate, langid, lattice_lm, mil_quality, quality_rules, simhash, suffix_dedup, url_filter
 from basketloom.llm.columns import remainder
 
 #: Fixed values of the contract: verdict and host/path of each URL rule.
@@ -37,6 +37,10 @@ def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def held_out(divisor: int, value: int):
     return F.coalesce(remainder(F.col("doc_id"), divisor) == value, F.lit(True)).alias("held_out")
 
@@ -76,4 +80,4 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_simhash_near_dedup, op2_quality_rules, op3_suffix_dedup, op6_language_id, op7_lattice_lm, op8_mil_quality, op9_byte_bpe, op10_url_filter)}
+        op1_simhash_near_dedup, op2_quality_rules, op3_suffix_dedup, op4_decontaminate, op6_language_id, op7_lattice_lm, op8_mil_quality, op9_byte_bpe, op10_url_filter)}
