@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketloom.llm import bpe, decontaminate, langid, lattice_lm, mil_quality, quality_rules, simhash, suffix_dedup, url_filter
+from basketloom.llm import bpe, decontaminate, langid, lattice_lm, licenses, mil_quality, quality_rules, simhash, suffix_dedup, url_filter
 from basketloom.llm.columns import remainder
 
 #: Fixed values of the contract: verdict and host/path of each URL rule.
@@ -41,6 +41,20 @@ def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def with_paths(docs: DataFrame) -> DataFrame:
+    """Documents as files of a tree: source, thousand of the id, language. Every tenth document is the licence file of
+    its thousand, every hundredth that of its source; which of them give a license is up to their texts."""
+    top, middle = F.col("source"), F.concat(F.lit("d"), F.floor(F.col("doc_id") / 1000).cast("string"))
+    name = F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))
+    path = F.when(F.col("doc_id") % 100 == 0, F.concat_ws("/", top, F.lit("LICENSE"))).when(
+        F.col("doc_id") % 10 == 0, F.concat_ws("/", top, middle, F.lit("LICENSE"))).otherwise(F.concat_ws("/", top, middle, "lang", name))
+    return docs.select("doc_id", "text", path.alias("path"))
+
+
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan_licenses(with_paths(table(spark, folder, "documents")))
+
+
 def held_out(divisor: int, value: int):
     return F.coalesce(remainder(F.col("doc_id"), divisor) == value, F.lit(True)).alias("held_out")
 
@@ -80,4 +94,5 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_simhash_near_dedup, op2_quality_rules, op3_suffix_dedup, op4_decontaminate, op6_language_id, op7_lattice_lm, op8_mil_quality, op9_byte_bpe, op10_url_filter)}
+        op1_simhash_near_dedup, op2_quality_rules, op3_suffix_dedup, op4_decontaminate, op5_license_scan,
+        op6_language_id, op7_lattice_lm, op8_mil_quality, op9_byte_bpe, op10_url_filter)}
