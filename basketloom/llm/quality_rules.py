@@ -63,7 +63,7 @@ def _equals(word: str):
 
 
 def base_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
-    """(doc_id, lang, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, classes, commons) per row."""
+    """(doc_id, text_hash, lang, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_chars, classes, commons) per row."""
     lang = docs[lang_col] if lang_col else F.lit(None)
     rows = docs.select(docs[id_col].alias("doc_id"), lang.cast("string").alias("lang"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     rows = rows.withColumn("words", _words(F.col("text")))
@@ -80,7 +80,7 @@ def base_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.lit(3), F.coalesce(F.get("places", i + 1) - p, F.lit(3)))), F.lit(0), lambda a, x: a + x)
     rows = rows.withColumn("commons", F.filter("words", lambda w: w.isin(BINS)))
     rows = rows.select(
-        "doc_id", "lang", "text", F.size("words").cast("long").alias("n_words"),
+        "doc_id", F.xxhash64("text").alias("text_hash"), "lang", "text", F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
@@ -95,7 +95,7 @@ def base_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     counted = F.array(*[F.size(F.filter("commons", _equals(c))).cast("long") for c in BINS],
                       F.col("n_words") - F.size("commons"))
     return rows.select(
-        "doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_chars",
+        "doc_id", "text_hash", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_chars",
         F.array(small.cast("long"), *CLASSES[1:]).alias("classes"), counted.alias("commons"))
 
 
@@ -142,7 +142,7 @@ def judge(features: DataFrame, params: QualityParams = QualityParams()) -> DataF
 
 
 def quality_rules(docs: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
-    """One row per row of ``docs``: the base counts, both distances, base_failed and kept.
+    """One row per row of ``docs``: text_hash, the base counts, both distances, base_failed and kept.
 
     Null and empty texts have no words and fail the base rules. Rows whose language has no word list (or none)
     are judged by the nearest of all references, but add to none. With no reference the base rules decide alone.

@@ -106,10 +106,11 @@ def blocks(text: bytes, length: int) -> dict[str, np.ndarray]:
     return {"p": p, "lo": lo, "hi": hi, "head": head, "gram": gram.view(np.int64), "hull": hull.view(np.int64)}
 
 
-def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _rows(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
     """``row`` tells rows of equal id apart; rows equal in both are copies, and whatever is removed is so from both."""
     text = F.coalesce(docs[text_col].cast("binary"), F.lit(b""))
-    return docs.select(docs[id_col].alias("doc_id"), F.xxhash64(docs[id_col].cast("string"), text).alias("row"), text.alias("text"))
+    return docs.select(docs[id_col].alias("doc_id"), F.xxhash64(docs[id_col].cast("string"), text).alias("row"), text.alias("text"),
+                       *[docs[c].alias(f"with_{c}") for c in carry])
 
 
 def _key_type(rows: DataFrame) -> str:
@@ -297,14 +298,17 @@ def _merged(starts: list[tuple[int, int]], length: int) -> list[tuple[int, int]]
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES, id_col: str = "doc_id", text_col: str = "text",
+                   carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, row, n_bytes, kept, spans) for every row: the bytes that stay, and the removed [begin, end) ranges.
 
+    Columns named in ``carry`` come along unchanged.
+
     Every byte covered by a string of ``length`` bytes that starts anywhere else too is removed, in every document
     and judged on the input. Null texts are empty. Texts shorter than ``length`` stay whole. Repeated rows
     of ``length`` bytes or more lose everything; an empty table gives no rows.
     """
-    rows = _rows(docs, id_col, text_col)
+    rows = _rows(docs, id_col, text_col, carry)
     spans = repeated_spans(docs, length, batches, id_col, text_col).groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row"))
     spans = spans.agg(F.collect_set(F.struct("lo", "hi")).alias("starts"))
     joined = rows.join(spans, rows["doc_id"].eqNullSafe(F.col("_id")) & (rows["row"] == F.col("_row")), "left")
@@ -320,8 +324,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES
                 kept.append(b"".join(text[e:b] for e, b in zip(ends, [*(b for b, _ in cut), len(text)], strict=True)))
                 spans.append([{"begin": b, "end": e} for b, e in cut])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(kept, pa.binary()),
-                                              pa.array(spans, span)], ["doc_id", "row", "n_bytes", "kept", "spans"])
+                                              pa.array(spans, span), *batch.columns[4:]], names)
 
+    names = ["doc_id", "row", "n_bytes", "kept", "spans", *carry]
     span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
-    return joined.select("doc_id", "row", "text", "starts").mapInArrow(
-        run, f"doc_id {_key_type(rows)}, row long, n_bytes long, kept binary, spans array<struct<begin: long, end: long>>")
+    kinds = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
+    return joined.select("doc_id", "row", "text", "starts", *[f"with_{c}" for c in carry]).mapInArrow(
+        run, f"doc_id {_key_type(rows)}, row long, n_bytes long, kept binary, spans array<struct<begin: long, end: long>>{kinds}")

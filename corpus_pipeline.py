@@ -4,31 +4,61 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketloom.llm import quality_rules, simhash
+from basketloom.llm import bpe, decontaminate, quality_rules, simhash, suffix_dedup
 from basketloom.llm.columns import written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    kept = quality_rules.quality_rules(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi")
+    """Documents that the quality rules keep; rows of equal id are judged each by its own text."""
+    kept = quality_rules.quality_rules(docs).where("kept").select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    own = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]) & (own == kept["_hash"]), "left_semi")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group: the one with the smallest id."""
+    """One document of each SimHash group, that with the smallest id; rows without an id go."""
     groups = simhash.near_duplicates(docs, shingle=3, distance=3)
-    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
-    return docs.join(first, docs["doc_id"] == first["_first"], "left_semi").dropDuplicates(["doc_id"])
+    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_first"))
+    repeated = not first.groupBy("_first").count().where("count > 1").isEmpty()
+    one = docs.join(first, docs["doc_id"] == first["_first"], "left_semi")
+    return one.dropDuplicates(["doc_id"]) if repeated else one
 
 
-STAGES: list[tuple[str, Stage]] = [("quality_rules", quality), ("near_dedup", near_dedup)]
+def long_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the bytes that are part of a long repeat; a character that is cut through becomes U+FFFD."""
+    cut = suffix_dedup.remove_repeats(docs, length=400, carry=("lang", "source"))
+    text = F.make_valid_utf8(F.col("kept").cast("string"))
+    return cut.select("doc_id", text.alias("text"), "lang", "source").withColumn("n_chars", F.length("text").cast("long")).select(
+        "doc_id", "text", "lang", "source", "n_chars")
 
-#: Fingerprints, byte spans and token ids are outside SQL.
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    leaks = found.select(F.col("doc_id").alias("_leak")).distinct()
+    return docs.join(leaks, docs["doc_id"] == leaks["_leak"], "left_anti")
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256); ids are packed little-endian unsigned 32-bit integers."""
+    vocabulary = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    coded = bpe.encode(docs, vocabulary, public_tokenizers.PATTERN)
+    return coded.select("doc_id", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"), "ids",
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality), ("near_dedup", near_dedup), ("suffix_dedup", long_repeats),
+    ("decontaminate", benchmark_passages), ("byte_bpe", tokens)]
+
+#: Fingerprints, byte ranges, alignments and token ids are outside SQL.
 ORACLE_SQL = None
 
 
