@@ -176,7 +176,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, leaf:
     rows. Exact copies and equal fingerprints meet in one row before any pair is formed.
     """
     each = written(fingerprints(docs.where(docs["doc_id"].isNotNull()), shingle))
-    distinct = each.groupBy("fp").agg(F.min("doc_id").alias("rep"))
+    distinct = written(each.groupBy("fp").agg(F.min("doc_id").alias("rep")))
     found = components(links(distinct, distance, leaf))
     named = distinct.join(found, distinct["rep"] == found["id"], "left").select(
         "fp", F.coalesce("component", "rep").alias("component_id"))
