@@ -174,7 +174,8 @@ def repeated_anchors(spark: SparkSession, anchors: DataFrame, batches: int) -> D
         part = anchors.where(F.pmod(F.xxhash64("row"), F.lit(batches)) == i)
         repeated = index.add(part, last=i + 1 == batches)
         found = repeated if found is None else found.union(repeated)
-    return found.distinct()
+    # A table of its own, so that the planner can split a hot anchor in the join with it.
+    return written(found.distinct())
 
 
 def _judged(pieces: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -280,7 +281,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES
     settled, unsettled = _judged(parts)
     windows = written(_single(regions, unsettled, length))
     place = regions.select("region", "doc_id", "row")
-    alike = windows.groupBy("core", "hull").agg(F.count("*").alias("n")).where("n > 1").select("core", "hull")
+    alike = written(windows.groupBy("core", "hull").agg(F.count("*").alias("n")).where("n > 1").select("core", "hull"))
     fine = [p.join(keys, ["core", "hull"], "left_semi").select("piece.region", "piece.lo", "piece.hi")
             for p, keys in ((parts, settled), (windows, alike))]
     fine = place.join(fine[0].union(fine[1]), "region").select("doc_id", "row", "lo", "hi")
