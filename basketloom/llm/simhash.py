@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from basketloom.llm.components import components
 SEED = 42
 #: Hashes whose bits are counted at once.
 CHUNK = 1 << 16
-#: Members that a bucket may have before it is divided by further bits.
+#: Members that a bucket may have to be compared in one place.
 LEAF = 4096
 
 
@@ -60,7 +61,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
 
 
 def _bucket_rows(prints: DataFrame, radius: int) -> DataFrame:
-    """(bucket, path, rest, fp, rep, probe): table entries, and those probes that meet an entry.
+    """(bucket, rest, fp, rep, probe): table entries, and those probes that meet an entry.
 
     ``rest``: the bits that tell the members of a bucket apart, those of the other segment.
     """
@@ -80,32 +81,39 @@ def _bucket_rows(prints: DataFrame, radius: int) -> DataFrame:
     return table.union(probes.join(table.select("bucket").distinct(), "bucket", "left_semi"))
 
 
-def _divide(rest: int, parts: int) -> list[int]:
-    """The set bits of ``rest`` in ``parts`` masks of about equal size."""
-    bits = [1 << i for i in range(64) if rest >> i & 1]
-    return [sum(bits[len(bits) * i // parts : len(bits) * (i + 1) // parts]) for i in range(parts)]
+def _ball(radius: int) -> np.ndarray:
+    """All 32-bit masks with at most ``radius`` bits."""
+    return np.array([sum(1 << i for i in bits) for n in range(radius + 1) for bits in combinations(range(32), n)], np.uint64)
 
 
-def _divided(rows: DataFrame, parts: int) -> DataFrame:
-    """Members of crowded buckets, entered once under each of ``parts`` parts of the bits that are left.
+def _crowded_edges(rows: DataFrame, distance: int) -> DataFrame:
+    """Edges with the components of all links of crowded buckets, by points that lie between the linked.
 
-    Fingerprints at most ``parts - 1`` bits apart agree in one of the parts, so no link is lost.
+    Members of a bucket agree in one segment (probes differ from entries in one bit of it). In the other segment each
+    entry names the points around it at ``distance // 2`` bits (near) and at the bits left of the distance (far), a
+    probe those at one bit less (far). Whoever names a point that is near to an entry is linked with that entry, and
+    two that are linked name a common point. A point is named by few fingerprints, however crowded the bucket.
     """
+    near, far = distance // 2, distance - distance // 2
+    balls = [(_ball(near), True, False), (_ball(far), False, False), (_ball(max(0, far - 1)), False, True)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
-            for bucket, path, rest, fp, rep, probe in zip(*(batch.column(n).to_pylist() for n in names), strict=True):
-                for i, mask in enumerate(_divide(rest % (1 << 64), parts)):
-                    left = rest % (1 << 64) & ~mask
-                    out.append((bucket, f"{path}/{i}:{fp % (1 << 64) & mask:x}", left - (left >> 63 << 64), fp, rep, probe))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out), fields, strict=True)], names) \
-                if out else pa.RecordBatch.from_pylist([], pa.schema(fields))
-
-    names = ["bucket", "path", "rest", "fp", "rep", "probe"]
-    rep = pa.int64()
-    fields = [pa.field(n, t) for n, t in zip(names, [pa.int64(), pa.string(), pa.int64(), pa.int64(), rep, pa.bool_()])]
-    return rows.select(names).mapInArrow(run, "bucket long, path string, rest long, fp long, rep long, probe boolean")
+            bucket, rest, fp, rep, probe = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            for begin in range(0, len(fp), 512):
+                part = slice(begin, begin + 512)
+                own, free = fp[part].view(np.uint64), rest[part].view(np.uint64)
+                shift = np.where(free >> np.uint64(63) == 1, 32, 0).astype(np.uint64)
+                for ball, is_near, of_probes in balls:
+                    at = np.flatnonzero(probe[part].astype(bool) == of_probes)
+                    points = (own & free)[at, None] ^ (ball[None, :] << shift[at, None])
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.repeat(bucket[part][at], len(ball))), pa.array(points.ravel().view(np.int64)),
+                        pa.array(np.repeat(rep[part][at], len(ball))), pa.array(np.full(points.size, is_near))], ["bucket", "point", "rep", "near"])
+
+    named = written(rows.select("bucket", "rest", "fp", "rep", "probe").mapInArrow(run, "bucket long, point long, rep long, near boolean"))
+    first = named.groupBy("bucket", "point").agg(F.min("rep").alias("b"), F.max("near").alias("near")).where("near")
+    return named.join(first.select("bucket", "point", "b"), ["bucket", "point"]).select(F.col("rep").alias("a"), "b").where("a <> b").distinct()
 
 
 def _linked(fp: np.ndarray, probe: np.ndarray, distance: int) -> list[tuple[int, int]]:
@@ -140,31 +148,24 @@ def _edges(rows: DataFrame, distance: int) -> DataFrame:
                 b += [rep[y] for _, y in found]
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    groups = rows.groupBy("bucket", "path").agg(F.collect_list(F.struct("fp", "rep", "probe")).alias("members"))
+    groups = rows.groupBy("bucket").agg(F.collect_list(F.struct("fp", "rep", "probe")).alias("members"))
     return groups.where(F.size("members") > 1).select("members").mapInArrow(run, "a long, b long")
 
 
 def links(prints: DataFrame, distance: int = 3, leaf: int = LEAF) -> DataFrame:
     """Edges (a, b) between the ``rep`` of distinct fingerprints (fp, rep), with the components of all links.
 
-    Links at ``distance`` or fewer bits (0 to 3). A bucket with more than ``leaf`` members is divided by the bits
-    that its members don't share, again and again; with no bits left it has at most 33 members, so the rows
-    collected in one place are bounded at any input.
+    Links at ``distance`` or fewer bits (0 to 3). Members of a bucket are compared in one place up to ``leaf`` members;
+    links of a bucket with more are found from points between them, so that no bucket is too large for a task.
     """
     if not 0 <= distance <= 3:
         raise ValueError("two segments with balls of radius one find distances from 0 to 3")
-    rows = written(_bucket_rows(prints, distance // 2).withColumn("path", F.lit("")))
-    found = None
-    while True:
-        sizes = rows.groupBy("bucket", "path").agg(F.count("*").alias("n"), F.min("rest").alias("rest"))
-        crowded = sizes.where(f"n > {leaf} and rest <> 0").select("bucket", "path")
-        crowds = not crowded.isEmpty()
-        calm = rows.join(crowded, ["bucket", "path"], "left_anti") if crowds else rows
-        edges = _edges(calm, distance)
-        found = edges if found is None else found.union(edges)
-        if not crowds:
-            return found
-        rows = written(_divided(rows.join(crowded, ["bucket", "path"], "left_semi"), distance + 1))
+    rows = written(_bucket_rows(prints, distance // 2))
+    crowded = rows.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > leaf).select("bucket")
+    if crowded.isEmpty():
+        return _edges(rows, distance)
+    return _edges(rows.join(crowded, "bucket", "left_anti"), distance).union(
+        _crowded_edges(rows.join(crowded, "bucket", "left_semi"), distance))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, leaf: int = LEAF) -> DataFrame:
