@@ -69,7 +69,7 @@ def locate(df: DataFrame, digits: list[Column], position: int, *, distinct: bool
             raise ValueError("position lies beyond the last row")
         prefix.append(hit["digit"])
         before += hit["upto"] - hit["size"]
-        scope = scope.filter(digit == F.lit(hit["digit"]))
+        scope = scope.filter(digit.eqNullSafe(F.lit(hit["digit"])))
         if hit["size"] <= leaf_rows:
             break
     return Spot(tuple(prefix), before)
@@ -78,16 +78,18 @@ def locate(df: DataFrame, digits: list[Column], position: int, *, distinct: bool
 def _inside(digits: list[Column], spot: Spot) -> Column:
     test = F.lit(True)
     for digit, value in zip(digits, spot.prefix):
-        test = test & (digit == F.lit(value))
+        test = test & digit.eqNullSafe(F.lit(value))
     return test
 
 
 def _before(digits: list[Column], spot: Spot) -> Column:
+    """Rows ordered before the spot; a missing digit stands before all others, as in an ascending sort."""
     test = F.lit(False)
     equal = F.lit(True)
     for digit, value in zip(digits, spot.prefix):
-        test = test | (equal & (digit < F.lit(value)))
-        equal = equal & (digit == F.lit(value))
+        if value is not None:
+            test = test | (equal & F.coalesce(digit < F.lit(value), F.lit(True)))
+        equal = equal & digit.eqNullSafe(F.lit(value))
     return test
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import comb
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,7 +78,45 @@ def most_popular_anchor(top: DataFrame) -> Column:
     return top_anchors(stores, 1).select("anchor_product_id").scalar()
 
 
-def pairwise_jaccard(top: DataFrame, k: int = 5, max_kiosks: int = 200, max_pairs: int = 1000,
+def _jaccard_weights(k: int) -> list[float]:
+    """Weight of (shared subset size j, list sizes m, n) in a sum of Jaccard similarities, flat over 0..k each.
+
+    A pair that shares i products shares C(i, j) subsets of size j; the weights undo that count.
+    """
+    def weight(j: int, m: int, n: int) -> float:
+        return sum((-1) ** (j - i) * comb(j, i) * i / (m + n - i) for i in range(1, min(j, m, n) + 1))
+
+    return [weight(j, m, n) for j in range(k + 1) for m in range(k + 1) for n in range(k + 1)]
+
+
+def pairwise_jaccard(top: DataFrame, k: int = 5) -> DataFrame:
+    """Mean Jaccard similarity of the lists of all store pairs for the most popular anchor.
+
+    No pair is formed: each list gives its subsets (32 of a list of five), lists are counted per subset and length, and
+    pairs that share a subset follow from the counts. For lists of more than ten products draw pairs instead.
+    """
+    if k > 10:
+        raise ValueError("lists of more than ten products have too many subsets: use sampled_jaccard")
+    lists = _query_lists(top.filter(F.col("anchor_product_id") == most_popular_anchor(top)), k)
+    masks = F.sequence(F.lit(0), F.shiftleft(F.lit(1), k) - 1)
+    size = F.size("recs")
+    subset = F.transform(F.filter(masks, lambda m: m < F.pow(F.lit(2), size)), lambda m: F.filter(
+        "recs", lambda _, i: F.call_function("shiftright", m, i).bitwiseAND(F.lit(1)) == 1))
+    counted = (lists.select(size.alias("m"), F.explode(subset).alias("s"))
+               .groupBy("s", "m").agg(F.count("*").alias("c")))
+    # One row per subset with at most k list lengths.
+    lengths = counted.groupBy("s").agg(F.collect_list(F.struct("m", "c")).alias("by"))
+    pairs = lengths.select(F.size("s").alias("j"), F.explode("by").alias("a"), "by").select("j", "a", F.explode("by").alias("b"))
+    pairs = pairs.filter(F.col("a.m") <= F.col("b.m"))
+    a, b = F.col("a.c").cast("double"), F.col("b.c").cast("double")
+    number = F.when(F.col("a.m") == F.col("b.m"), a * (a - 1) / 2).otherwise(a * b)
+    place = (F.col("j") * (k + 1) + F.col("a.m")) * (k + 1) + F.col("b.m")
+    weight = F.get(F.array(*[F.lit(w) for w in _jaccard_weights(k)]), place)
+    sums = pairs.agg(F.coalesce(F.sum(F.when(F.col("j") == 0, number)), F.lit(0.0)).alias("n"), F.sum(number * weight).alias("total"))
+    return sums.select(F.col("n").cast("bigint").alias("n_pairs"), F.try_divide("total", "n").alias("mean_jaccard"))
+
+
+def sampled_jaccard(top: DataFrame, k: int = 5, max_kiosks: int = 200, max_pairs: int = 1000,
                      seed: int = 42) -> DataFrame:
     """Mean Jaccard similarity of the lists of sampled store pairs for the most popular anchor.
 

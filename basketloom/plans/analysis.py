@@ -17,16 +17,21 @@ from basketloom.schema import ROW_KEYS
 
 
 def score_test_period(orders: DataFrame, products: DataFrame, commerces: DataFrame, ranker: Ranker, *,
-                      n_kiosks: int = 500, train_ratio: float = 0.6, val_ratio: float = 0.2,
+                      n_kiosks: int = 0, train_ratio: float = 0.6, val_ratio: float = 0.2,
                       test_ratio: float = 0.2, min_cooc: int = 2, min_lift: float = 1.2,
                       top_k: int = 100) -> DataFrame:
-    """Scored rows of sampled stores' test queries, with popularity and novelty (written once)."""
+    """Scored rows of the test queries, with popularity and novelty (written once).
+
+    All stores by default; ``n_kiosks`` above 0 draws so many.
+    """
     orders, commerces = filter_active_kiosks(orders, commerces)
     split = split_orders_by_time(materialize(orders), train_ratio=train_ratio, val_ratio=val_ratio,
                                  test_ratio=test_ratio)
     candidates = generate_candidates(materialize(build_baskets(split.train)), min_cooc)
     topk = materialize(select_top_k_candidates(candidates, top_k, min_lift))
-    queries = sample_kiosks(materialize(kiosk_anchor_queries(build_baskets(split.test))), n_kiosks)
+    queries = kiosk_anchor_queries(build_baskets(split.test))
+    if n_kiosks > 0:
+        queries = sample_kiosks(materialize(queries), n_kiosks)
     rows = add_all_features(build_feature_table(None, topk, queries), orders=split.train, products=products,
                             commerces=commerces, durable=True)
     return materialize(predict_scores(rows, ranker).select(*ROW_KEYS, "cand_is_new", "pop_store", "score"))

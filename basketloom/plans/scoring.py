@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketloom.functions.durable import materialize
+from basketloom.functions.durable import collected, materialize, scratch
 from basketloom.functions.scaling import value_range
 from basketloom.operators import catalog as ct
 from basketloom.operators.baskets import build_baskets, kiosk_anchor_queries
@@ -45,8 +46,10 @@ class CatalogTables:
     overall: DataFrame
     coverage: DataFrame
 
+    WRITTEN: ClassVar[tuple[str, ...]] = ("predictions", "anchors", "categories", "overall")
+
     def write(self, folder: str) -> None:
-        for name in ("predictions", "anchors", "categories", "overall"):
+        for name in self.WRITTEN:
             write_parquet(getattr(self, name), f"{folder}/{name}")
 
 
@@ -87,8 +90,10 @@ def build_catalog(orders: DataFrame, all_products: DataFrame, commerces: DataFra
 def generate_predictions(spark: SparkSession, *, orders_path: str, products_path: str, commerces_path: str,
                          model_path: str, out_folder: str, params: ScoringParams = ScoringParams()) -> CatalogTables:
     """The scoring plan from files to four written tables."""
-    tables = build_catalog(
-        spark.read.parquet(orders_path), read_products(spark, products_path, filter_blocked=False),
-        read_commerces(spark, commerces_path), Ranker.load(spark, model_path), params)
-    tables.write(out_folder)
-    return tables
+    with scratch(spark):
+        tables = build_catalog(
+            spark.read.parquet(orders_path), read_products(spark, products_path, filter_blocked=False),
+            read_commerces(spark, commerces_path), Ranker.load(spark, model_path), params)
+        tables.write(out_folder)
+        written = [spark.read.parquet(f"{out_folder}/{name}") for name in CatalogTables.WRITTEN]
+        return CatalogTables(*written, collected(tables.coverage))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketloom.functions.durable import materialize
+from basketloom.functions.durable import collected, materialize, scratch
 from basketloom.operators.baskets import build_baskets, kiosk_anchor_queries
 from basketloom.operators.candidates import generate_candidates, select_top_k_candidates
 from basketloom.operators.cleaning import (
@@ -35,7 +35,7 @@ from basketloom.sources.files import (
 
 @dataclass(frozen=True)
 class TrainingParams:
-    """The defaults of the training run."""
+    """The defaults of the training run, but for ``max_eval_queries``: 0 measures on all test queries."""
 
     train_ratio: float = 0.8
     val_ratio: float = 0.1
@@ -48,7 +48,7 @@ class TrainingParams:
     label_window_days: int | None = 7
     min_cooc_label: int = 1
     max_neg_per_group: int = 60
-    max_eval_queries: int = 50_000
+    max_eval_queries: int = 0
     eval_ks: list[int] = field(default_factory=lambda: [20])
     ranker: RankerParams = RankerParams()
 
@@ -133,7 +133,8 @@ def train_and_evaluate(splits: LabeledSplits, params: TrainingParams = TrainingP
                        model_path: str | None = None) -> TrainingResult:
     """Train on the labelled splits, save the model, then measure it on the test rows."""
     spark = splits.train.sparkSession
-    ranker = train_ranker(splits.train, splits.val, params.ranker)
+    # The metrics of the final table are those that training watches.
+    ranker = train_ranker(splits.train, splits.val, replace(params.ranker, eval_ks=tuple(sorted(params.eval_ks))))
     if model_path:
         ranker.save(spark, model_path)
     scored = materialize(predict_scores(splits.test, ranker).select(*ROW_KEYS, "label", "score"))
@@ -159,15 +160,20 @@ def clean_order_files(spark: SparkSession, raw_paths: list[str], interim_path: s
 
 
 def run_training(spark: SparkSession, *, raw_paths: list[str], interim_path: str, products_path: str,
-                 commerces_path: str, model_path: str, n_rows: int = 500_000, sample_position: str = "head",
+                 commerces_path: str, model_path: str, n_rows: int = 0, sample_position: str = "head",
                  params: TrainingParams = TrainingParams(), eval_log_path: str | None = None) -> TrainingResult:
-    """From order, product and store files to a saved model and its test metrics."""
-    orders = clean_order_files(spark, raw_paths, interim_path, n_rows, sample_position)
-    catalog = read_products(spark, products_path, filter_blocked=False)
-    orders, commerces = filter_active_kiosks(orders, read_commerces(spark, commerces_path))
-    orders = materialize(filter_blocked_products(orders, blocked_product_ids(catalog)))
-    splits = labeled_splits(orders, unblocked(catalog), commerces, params)
-    result = train_and_evaluate(splits, params, model_path)
-    if eval_log_path:
-        result.ranker.eval_curve(spark).coalesce(1).write.mode("overwrite").option("header", True).csv(eval_log_path)
-    return result
+    """From order, product and store files to a saved model and its test metrics.
+
+    All rows of the order files are read; a sample has to be asked for by ``n_rows``.
+    """
+    with scratch(spark):
+        orders = clean_order_files(spark, raw_paths, interim_path, n_rows, sample_position)
+        catalog = read_products(spark, products_path, filter_blocked=False)
+        orders, commerces = filter_active_kiosks(orders, read_commerces(spark, commerces_path))
+        orders = materialize(filter_blocked_products(orders, blocked_product_ids(catalog)))
+        splits = labeled_splits(orders, unblocked(catalog), commerces, params)
+        result = train_and_evaluate(splits, params, model_path)
+        if eval_log_path:
+            result.ranker.eval_curve(spark).coalesce(1).write.mode("overwrite").option("header", True).csv(eval_log_path)
+        # The reports have a few rows each; the intermediates they come from go with the block.
+        return TrainingResult(result.ranker, *map(collected, (result.summary, result.recall, result.coverage, result.metrics)))

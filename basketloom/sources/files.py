@@ -18,9 +18,12 @@ def _header(spark: SparkSession, path: str, sep: str) -> list[str]:
     return spark.read.option("header", True).option("sep", sep).csv(path).columns
 
 
+def _schema(header: list[str] | tuple[str, ...], types: dict) -> T.StructType:
+    return T.StructType([T.StructField(name, types.get(name, T.StringType())) for name in header])
+
+
 def _typed(spark: SparkSession, path: str, sep: str, types: dict) -> T.StructType:
-    return T.StructType([T.StructField(name, types.get(name, T.StringType()))
-                         for name in _header(spark, path, sep)])
+    return _schema(_header(spark, path, sep), types)
 
 
 def _paths(paths: str | list[str]) -> list[str]:
@@ -31,10 +34,37 @@ def order_file_schema(spark: SparkSession, path: str) -> T.StructType:
     return _typed(spark, path, ",", dict.fromkeys(RAW_ORDER_NUMBERS, T.DoubleType()))
 
 
+def _files(spark: SparkSession, paths: str | list[str]) -> list[str]:
+    """Single files of paths that may be folders or patterns."""
+    return sorted(spark.read.text(_paths(paths)).inputFiles())
+
+
 def read_orders_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Raw order lines; amounts are doubles, everything else (dates too) stays text."""
-    paths = _paths(paths)
-    return spark.read.schema(order_file_schema(spark, paths[0])).option("header", True).csv(paths)
+    """Raw order lines; amounts are doubles, everything else (dates too) stays text.
+
+    Every file is read by its own header: files of equal headers together, then all by column name. A column that
+    a file lacks is NULL in its lines.
+    """
+    return union_by_name(_order_parts(spark, paths))
+
+
+def _order_parts(spark: SparkSession, paths: str | list[str]) -> list[DataFrame]:
+    """One table for each header that occurs."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in _files(spark, paths):
+        groups.setdefault(tuple(_header(spark, path, ",")), []).append(path)
+    if not groups:
+        raise ValueError("no order files")
+    numbers = dict.fromkeys(RAW_ORDER_NUMBERS, T.DoubleType())
+    return [spark.read.schema(_schema(header, numbers)).option("header", True).option("enforceSchema", False).csv(files)
+            for header, files in groups.items()]
+
+
+def union_by_name(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def sample_orders_csv(spark: SparkSession, paths: str | list[str], n_rows: int = 1_000_000,
@@ -46,14 +76,13 @@ def sample_orders_csv(spark: SparkSession, paths: str | list[str], n_rows: int =
     """
     if sample_position not in ("head", "tail"):
         raise ValueError("sample_position must be 'head' or 'tail'")
-    paths = _paths(paths)
-    share = max(1, n_rows // len(paths))
-    lines = read_orders_csv(spark, paths)
-    fields = lines.columns
-    placed = lines.select(
+    parts = _order_parts(spark, paths)
+    share = max(1, n_rows // len(_files(spark, paths)))
+    fields = union_by_name(parts).columns
+    placed = union_by_name([part.select(
         "*", F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_split"),
-        F.monotonically_increasing_id().alias("_id"))
+        F.monotonically_increasing_id().alias("_id")) for part in parts])
     sizes = placed.groupBy("_file", "_split").agg(F.count("*").alias("_rows"), F.min("_id").alias("_first"))
     earlier = (Window.partitionBy("_file").orderBy("_split")
                .rowsBetween(Window.unboundedPreceding, -1))
@@ -76,7 +105,8 @@ def _order_digits(df: DataFrame):
     ids = [name for name in ("order_id", "product_id", "orderid", "productid") if name in df.columns]
     when = "order_dt" if "order_dt" in df.columns else "orderdt"
     if dict(df.dtypes)[when] == "string":
-        time = [F.col(when)]
+        # Two characters at a time, so that a digit has few values; what a time seldom has comes last.
+        time = [F.substring(when, at, 2) for at in range(1, 20, 2)] + [F.substring(when, 21, 1000)]
     else:
         time = time_digits(F.col(when))
     key = draw_key(0, *ids)
@@ -111,13 +141,13 @@ def unblocked(products: DataFrame) -> DataFrame:
 
 def read_products(spark: SparkSession, path: str, separator: str = ";", filter_blocked: bool = True) -> DataFrame:
     schema = _typed(spark, path, separator, PRODUCT_TYPES)
-    products = spark.read.schema(schema).option("header", True).option("sep", separator).csv(path)
+    products = spark.read.schema(schema).option("header", True).option("sep", separator).option("enforceSchema", False).csv(path)
     return unblocked(products) if filter_blocked else products
 
 
 def read_commerces(spark: SparkSession, path: str, separator: str = ";") -> DataFrame:
     schema = _typed(spark, path, separator, COMMERCE_TYPES)
-    return spark.read.schema(schema).option("header", True).option("sep", separator).csv(path)
+    return spark.read.schema(schema).option("header", True).option("sep", separator).option("enforceSchema", False).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, compression: str = "zstd") -> None:

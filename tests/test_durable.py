@@ -1,8 +1,9 @@
+import os
 from types import SimpleNamespace
 
 import pytest
 
-from basketloom.functions.durable import materialize, shared_folder
+from basketloom.functions.durable import collected, materialize, scratch, shared_folder
 
 
 def session(master, folder=None):
@@ -28,3 +29,15 @@ def test_written_tables_keep_rows_and_types(spark):
     out = materialize(df)
     assert out.collect() == df.collect() and out.dtypes == df.dtypes
     assert materialize(df.filter("a > 1")).count() == 0
+
+
+def test_intermediates_go_with_their_block(spark):
+    with scratch(spark):
+        outer = materialize(spark.range(3))
+        with scratch(spark):
+            inner = materialize(spark.range(4))
+            kept = collected(inner)
+            paths = outer.inputFiles() + inner.inputFiles()
+        assert outer.count() == 3 and kept.count() == 4
+        assert [os.path.exists(p.removeprefix("file://")) for p in inner.inputFiles()] == [False] * len(inner.inputFiles())
+    assert paths and not any(os.path.exists(p.removeprefix("file://")) for p in paths)

@@ -40,6 +40,18 @@ def test_head_and_tail_per_file(spark, tmp_path, split_bytes):
         files.sample_orders_csv(spark, paths, sample_position="middle")
 
 
+def test_files_of_different_headers(spark, tmp_path):
+    """Columns meet by name, whatever their order in a file; one that a file lacks is NULL."""
+    (tmp_path / "a.csv").write_text("orderid,userid,quantity\n1,u1,2\n")
+    (tmp_path / "b.csv").write_text("userid,orderid,quantity,extra\nu2,2,3,x\n")
+    (tmp_path / "c.csv").write_text("orderid,userid,quantity\n3,u3,4\n")
+    want = {("1", "u1", 2.0, None), ("2", "u2", 3.0, "x"), ("3", "u3", 4.0, None)}
+    for paths in (str(tmp_path), [str(tmp_path / n) for n in ("b.csv", "a.csv", "c.csv")]):
+        rows = files.read_orders_csv(spark, paths).select("orderid", "userid", "quantity", "extra").collect()
+        assert {tuple(r) for r in rows} == want
+        assert {r["orderid"] for r in files.sample_orders_csv(spark, paths, 3).collect()} == {"1", "2", "3"}
+
+
 def test_products_and_commerces(spark, tmp_path):
     (tmp_path / "p.csv").write_text("productid;name;category;blocked\n1;A;x;false\n2;B;y;True\n3;C;z;\n")
     (tmp_path / "c.csv").write_text("userid;channel;region;active\n007;web;north;true\n8;shop;south;false\n")

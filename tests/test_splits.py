@@ -94,3 +94,18 @@ def test_hash_rank_equals_plain_rank(spark):
     hot = sorted((row for row in ranked if row["g"] == "hot"), key=lambda row: row["h"])
     assert [row["r"] for row in hot] == list(range(1, 2001))
     assert all(row["r"] == 1 for row in ranked if row["g"] != "hot")
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "string"])
+def test_lines_without_a_time_keep_their_place(spark, kind):
+    """The same rows whether positions are found by counting or by sorting; missing times come first."""
+    rows = [(str(i), "k", str(i % 3), None if i % 7 == 0 else f"2024-01-{1 + i % 9:02d} 10:00:{i % 60:02d}", 1.0) for i in range(40)]
+    orders = spark.createDataFrame(rows, "order_id string, kiosk_id string, product_id string, order_dt string, quantity double")
+    orders = orders.withColumn("order_dt", orders["order_dt"].cast(kind))
+    for n in (1, 2, 6, 7, 20, 39, 40):
+        for cut in (first_orders, last_orders):
+            small, large = ({r["order_id"] for r in cut(orders, n, leaf_rows=leaf).collect()} for leaf in (100_000, 1))
+            assert small == large and len(small) == n
+    parts = [{r["order_id"] for r in p.collect()} for p in sp.split_orders_by_rows(
+        orders, train_ratio=0.8, val_ratio=0.1, test_ratio=0.1, leaf_rows=1).named().values()]
+    assert [len(p) for p in parts] == [32, 4, 4] and len(set.union(*parts)) == 40
