@@ -25,6 +25,32 @@ def _order_files(s: Stages) -> str:
     return path
 
 
+def _yearly_files(s: Stages) -> str:
+    """One file of raw orders for each year, its lines in the order of all their columns."""
+    path = _fresh(s, "yearly")
+    order = ["orderdt", "orderid", "productid", "quantity", "documenttype", "userid"]
+    years = s.raw.withColumn("orderdt", F.col("orderdt").cast("string")).withColumn("year", F.substring("orderdt", 1, 4))
+    (years.repartition("year").sortWithinPartitions("year", *order)
+     .write.option("header", True).partitionBy("year").csv(path))
+    return path
+
+
+def _sampled(s: Stages, position: str) -> DataFrame:
+    return files.sample_orders_csv(s.spark, _yearly_files(s), 1000, position)
+
+
+def _products_csv(s: Stages) -> DataFrame:
+    path = _fresh(s, "products")
+    s.tables.all_products().write.option("header", True).option("sep", ";").csv(path)
+    return files.read_products(s.spark, path).withColumn("blocked", F.col("blocked").cast("boolean"))
+
+
+def _commerces_csv(s: Stages) -> DataFrame:
+    path = _fresh(s, "commerces")
+    s.tables.commerces().write.option("header", True).option("sep", ";").csv(path)
+    return files.read_commerces(s.spark, path)
+
+
 def _ingested(s: Stages) -> DataFrame:
     return ingest_orders_incremental(s.spark, _order_files(s), _fresh(s, "clean"), _fresh(s, "mark"), files_per_batch=1)
 
@@ -53,6 +79,10 @@ def _streamed(s: Stages) -> DataFrame:
 
 
 BUILDERS = {
+    "sample_orders_head": lambda s: _sampled(s, "head"),
+    "sample_orders_tail": lambda s: _sampled(s, "tail"),
+    "read_products": _products_csv,
+    "read_commerces": _commerces_csv,
     "read_orders_csv": lambda s: files.read_orders_csv(s.spark, _order_files(s)),
     "ingest_orders_incremental": _ingested,
     "write_parquet": _written,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from basketloom.checks.stages import LABEL_DAYS, MIN_COOC, MIN_LIFT, TOP_K, Stages
 from basketloom.functions.durable import shared_folder
 from basketloom.operators import catalog as ct
-from basketloom.operators.ranker import Ranker, RankerParams, predict_scores
+from basketloom.operators.ranker import Ranker, RankerParams, lambda_gradients, predict_scores
 from basketloom.plans.scoring import ScoringParams, build_catalog
 from basketloom.plans.training import TrainingParams, labeled_splits, train_and_evaluate
 from basketloom.schema import ROW_KEYS
@@ -18,8 +18,7 @@ from basketloom.schema import ROW_KEYS
 PARAMS = TrainingParams(
     min_cooc=MIN_COOC, min_lift=MIN_LIFT, top_k=TOP_K, label_window_days=LABEL_DAYS, max_neg_per_group=20,
     eval_ks=[5, 10, 20],
-    ranker=RankerParams(learning_rate=0.2, max_depth=4, min_data_in_leaf=20, num_boost_round=4,
-                        early_stopping_rounds=2, eval_ks=(10,)))
+    ranker=RankerParams(learning_rate=0.3, max_depth=4, min_data_in_leaf=20, num_boost_round=200, early_stopping_rounds=3))
 
 # One trained model per application and directory: the queries below share it.
 _trained: dict[tuple[str, str], tuple] = {}
@@ -37,6 +36,10 @@ def _ranker(s: Stages) -> Ranker:
     return trained(s)[1].ranker
 
 
+def _six_digits(df: DataFrame) -> DataFrame:
+    return df.select(*[F.round(n, 6).alias(n) if kind == "double" else F.col(n) for n, kind in df.dtypes])
+
+
 def _stopping(s: Stages) -> DataFrame:
     """Validation NDCG per round, and the round kept."""
     best = F.lit(_ranker(s).best_iteration)
@@ -56,9 +59,28 @@ def _scored(s: Stages) -> DataFrame:
     return predict_scores(trained(s)[0].test, _ranker(s))
 
 
+def fixed_ranker() -> Ranker:
+    """A small model that SQL can state too: two trees over three features."""
+    nodes = [(1, 0, 0, 0.05, 1, 2, 0.0, 4.0), (1, 1, -1, 0.0, 0, 0, -1.0, 0.0), (1, 2, 1, 2.0, 3, 4, 0.0, 2.5),
+             (1, 3, -1, 0.0, 0, 0, 0.25, 0.0), (1, 4, -1, 0.0, 0, 0, 1.5, 0.0),
+             (2, 0, 2, 0.0, 1, 2, 0.0, 1.0), (2, 1, -1, 0.0, 0, 0, 0.5, 0.0), (2, 2, 0, 0.1, 3, 4, 0.0, 0.5),
+             (2, 3, -1, 0.0, 0, 0, -0.125, 0.0), (2, 4, -1, 0.0, 0, 0, 2.0, 0.0)]
+    return Ranker(["cooc_cosine_sim", "pop_store", "cand_is_new"], [], nodes, [(1, "valid", "ndcg@5", 0.25), (2, "valid", "ndcg@5", 0.5)], 2)
+
+
+def _fixed_scores(s: Stages, ranker: Ranker) -> DataFrame:
+    return predict_scores(s.scored.drop("score"), ranker).select(*ROW_KEYS, "score")
+
+
+def _fixed_reloaded(s: Stages) -> DataFrame:
+    path = f"{shared_folder(s.spark)}/basketloom/model-{uuid.uuid4().hex}"
+    fixed_ranker().save(s.spark, path)
+    return _fixed_scores(s, Ranker.load(s.spark, path))
+
+
 def _model_catalog(s: Stages) -> DataFrame:
     tables = build_catalog(s.clean, s.all_products, s.commerces, _ranker(s),
-                           ScoringParams(last_n_days=365, min_cooc=MIN_COOC, min_lift=1.0, catalog_top_k=20))
+                           ScoringParams(last_n_days=0, min_cooc=MIN_COOC, min_lift=1.0, catalog_top_k=20))
     return tables.predictions
 
 
@@ -67,8 +89,12 @@ BUILDERS = {
     "ranker_early_stopping": _stopping,
     "ranker_eval_curve": lambda s: _ranker(s).eval_curve(s.spark),
     "feature_importance": lambda s: _ranker(s).feature_importance(s.spark),
-    "predict_scores": _scored,
-    "ranker_save_load": _reloaded,
+    "predict_scores": lambda s: _fixed_scores(s, fixed_ranker()),
+    "ranker_save_load": _fixed_reloaded,
+    "fixed_score_stats": lambda s: _six_digits(ct.score_stats(_fixed_scores(s, fixed_ranker()))),
+    "lambda_gradients": lambda s: _six_digits(lambda_gradients(s.labeled)),
+    "trained_scores": _scored,
+    "trained_save_load": _reloaded,
     "ranker_test_metrics": lambda s: trained(s)[1].metrics,
     "ranker_split_summary": lambda s: trained(s)[1].summary,
     "model_catalog": _model_catalog,

@@ -268,11 +268,27 @@ FEATURE_LIST = f"""{ROW}, round(cooc_cosine_sim, 9) AS cooc_cosine_sim, pop_stor
                    cand_is_new"""
 ORDER_RANK = f"row_number() OVER (ORDER BY order_dt, {_draw(0, 'order_id', 'product_id')}, quantity)"
 
+# The two trees of the fixed model.
+FIXED_SCORE = """(CASE WHEN cooc_cosine_sim <= 0.05 THEN -1.0 WHEN pop_store <= 2 THEN 0.25 ELSE 1.5 END
+            + CASE WHEN cand_is_new <= 0 THEN 0.5 WHEN cooc_cosine_sim <= 0.1 THEN -0.125 ELSE 2.0 END)::DOUBLE"""
+
+
+def _yearly(way: str) -> str:
+    """The same number of first (or last) lines of each year's file."""
+    columns = ["orderdt", "orderid", "productid", "quantity", "documenttype", "userid"]
+    return f"""
+        SELECT * EXCLUDE (place, years) FROM (
+            SELECT *, row_number() OVER (PARTITION BY substr(orderdt, 1, 4) ORDER BY {", ".join(f"{c} {way}" for c in columns)}) AS place,
+                   (SELECT count(DISTINCT year(orderdt)) FROM raw) AS years
+            FROM (SELECT * REPLACE (CAST(orderdt AS VARCHAR) AS orderdt) FROM raw))
+        WHERE place <= greatest(1, 1000 // years)"""
+
+
 QUERIES: dict[str, str] = {
-    "sample_orders_head": f"""
+    "first_orders": f"""
         SELECT * FROM raw QUALIFY row_number() OVER (
             ORDER BY orderdt, {_draw(0, 'orderid', 'productid')}, orderid, productid, quantity) <= 1000""",
-    "sample_orders_tail": f"""
+    "last_orders": f"""
         SELECT * FROM raw QUALIFY row_number() OVER (
             ORDER BY orderdt DESC, {_draw(0, 'orderid', 'productid')} DESC, orderid DESC, productid DESC,
                      quantity DESC) <= 1000""",
@@ -280,14 +296,19 @@ QUERIES: dict[str, str] = {
     "ingest_orders_incremental": "SELECT * FROM clean",
     "write_parquet": "SELECT * FROM clean",
     "read_orders_parquet": "SELECT * FROM orders",
+    "sample_orders_head": _yearly(""),
+    "sample_orders_tail": _yearly("DESC"),
     "read_products": "SELECT * FROM products",
     "read_commerces": "SELECT * FROM commerces",
+    "star_products": "SELECT * FROM products",
+    "star_commerces": "SELECT * FROM commerces",
     "preprocess_orders": "SELECT * FROM clean",
     "assert_not_null": """
-        SELECT count(*) - count(order_id) AS order_id, count(*) - count(kiosk_id) AS kiosk_id,
-               count(*) - count(product_id) AS product_id, count(*) - count(order_dt) AS order_dt FROM clean""",
+        SELECT count(*) - count(order_id) AS order_id, count(*) FILTER (quantity = 11) AS kiosk_id,
+               count(*) FILTER (quantity = 7) AS product_id, count(*) FILTER (ends_with(kiosk_id, '3')) AS order_dt
+        FROM clean""",
     "null_ratios": """
-        SELECT 0.0::DOUBLE AS order_dt,
+        SELECT round(count(*) FILTER (ends_with(kiosk_id, '3')) / CAST(count(*) AS DOUBLE), 6) AS order_dt,
                round(count(*) FILTER (NOT quantity < 25) / CAST(count(*) AS DOUBLE), 6) AS quantity FROM clean""",
     "filter_active_kiosks": "SELECT * FROM active_orders",
     "blocked_product_ids": "SELECT productid AS product_id FROM all_products WHERE blocked",
@@ -303,6 +324,12 @@ QUERIES: dict[str, str] = {
             WHEN rn <= CAST(floor(n * CAST(0.8 AS DOUBLE)) AS BIGINT)
                        + CAST(floor(n * CAST(0.1 AS DOUBLE)) AS BIGINT) THEN 'val' ELSE 'test' END AS split
         FROM (SELECT *, {ORDER_RANK} AS rn, count(*) OVER () AS n FROM history)""",
+    "split_orders_by_rows_radix": f"""
+        SELECT * EXCLUDE (rn, n), CASE WHEN rn <= CAST(floor(n * CAST(0.8 AS DOUBLE)) AS BIGINT) THEN 'train'
+            WHEN rn <= CAST(floor(n * CAST(0.8 AS DOUBLE)) AS BIGINT)
+                       + CAST(floor(n * CAST(0.1 AS DOUBLE)) AS BIGINT) THEN 'val' ELSE 'test' END AS split
+        FROM (SELECT *, {ORDER_RANK.replace("order_dt,", "order_dt NULLS FIRST,")} AS rn, count(*) OVER () AS n
+              FROM (SELECT * REPLACE (CASE WHEN NOT ends_with(kiosk_id, '3') THEN order_dt END AS order_dt) FROM history))""",
     "split_feature_label": """
         SELECT train.*, CASE WHEN order_dt < start THEN 'feature' ELSE 'label' END AS part
         FROM train, (SELECT order_dt AS start
@@ -458,6 +485,24 @@ QUERIES: dict[str, str] = {
                round(100.0 * count(*) FILTER (best = 1) / count(*), 6) AS pct_with_pos
         FROM (SELECT max(label) AS best FROM judged GROUP BY kiosk_id, anchor_product_id)""",
     "product_info": "SELECT productid AS product_id, name AS product_name, category FROM products",
+    "predict_scores": f"SELECT kiosk_id, anchor_product_id, candidate_product_id, {FIXED_SCORE} AS score FROM scored",
+    "ranker_save_load": f"SELECT kiosk_id, anchor_product_id, candidate_product_id, {FIXED_SCORE} AS score FROM scored",
+    "fixed_score_stats": f"""
+        SELECT round(min(s), 6) AS min_score, round(max(s), 6) AS max_score, round(avg(s), 6) AS mean_score
+        FROM (SELECT {FIXED_SCORE} AS s FROM scored)""",
+    "lambda_gradients": """
+        SELECT * FROM (WITH placed AS (
+            SELECT *, row_number() OVER (PARTITION BY kiosk_id, anchor_product_id ORDER BY candidate_product_id) AS place,
+                   count(*) FILTER (label = 1) OVER (PARTITION BY kiosk_id, anchor_product_id) AS n_pos FROM labeled),
+        pairs AS (
+            SELECT a.kiosk_id, a.anchor_product_id, a.candidate_product_id, a.label,
+                   abs(1 / log2(a.place + 1) - 1 / log2(b.place + 1))
+                   / list_sum(list_transform(range(1, a.n_pos + 1), lambda i: 1 / log2(i + 1))) AS swap
+            FROM placed a JOIN placed b
+              ON a.kiosk_id = b.kiosk_id AND a.anchor_product_id = b.anchor_product_id AND a.label <> b.label)
+        SELECT kiosk_id, anchor_product_id, candidate_product_id,
+               round(sum(swap / 2) * CASE WHEN label = 1 THEN 1 ELSE -1 END, 6) AS push, round(sum(swap / 4), 6) AS curve
+        FROM pairs GROUP BY kiosk_id, anchor_product_id, candidate_product_id, label)""",
     "score_stats": """
         SELECT round(min(score), 6) AS min_score, round(max(score), 6) AS max_score,
                round(avg(score), 6) AS mean_score FROM scored""",
@@ -523,7 +568,13 @@ QUERIES: dict[str, str] = {
     "baseline_overlap": """
         SELECT round(avg(pct), 6) AS mean_overlap, round(quantile_cont(pct, 0.25), 6) AS p25,
                round(quantile_cont(pct, 0.5), 6) AS median, round(quantile_cont(pct, 0.75), 6) AS p75 FROM overlap""",
-    "pairwise_jaccard": f"""
+    "pairwise_jaccard": """
+        SELECT count(*) AS n_pairs, round(avg(j), 6) AS mean_jaccard FROM (
+            SELECT CAST(len(list_intersect(a.recs, b.recs)) AS DOUBLE)
+                   / len(list_distinct(list_concat(a.recs, b.recs))) AS j
+            FROM lists a JOIN lists b ON a.anchor_product_id = b.anchor_product_id AND a.kiosk_id < b.kiosk_id
+            WHERE a.anchor_product_id = (SELECT anchor_product_id FROM favourite))""",
+    "sampled_jaccard": f"""
         SELECT count(*) AS n_pairs, round(avg(j), 6) AS mean_jaccard FROM (
             SELECT CAST(len(list_intersect(a.recs, b.recs)) AS DOUBLE)
                    / len(list_distinct(list_concat(a.recs, b.recs))) AS j

@@ -53,6 +53,19 @@ def _row_split(s: Stages) -> DataFrame:
     return split.tagged()
 
 
+def _with_gaps(s: Stages) -> DataFrame:
+    """Cleaned lines with missing times, products and stores."""
+    return s.clean.select(
+        "order_id", F.when(F.col("quantity") != 11, F.col("kiosk_id")).alias("kiosk_id"),
+        F.when(F.col("quantity") != 7, F.col("product_id")).alias("product_id"),
+        F.when(~F.col("kiosk_id").endswith("3"), F.col("order_dt")).alias("order_dt"), "quantity")
+
+
+def _some_untimed(s: Stages) -> DataFrame:
+    """Order lines, those of store ids ending in 3 without a time."""
+    return s.orders.withColumn("order_dt", F.when(~F.col("kiosk_id").endswith("3"), F.col("order_dt")))
+
+
 def _feature_label(s: Stages) -> DataFrame:
     early, late = sp.split_feature_label(s.train, 0.3)
     return early.withColumn("part", F.lit("feature")).unionByName(late.withColumn("part", F.lit("label")))
@@ -96,16 +109,16 @@ def _with_category(s: Stages) -> DataFrame:
 
 BUILDERS: dict[str, Callable[[Stages], DataFrame]] = {
     # sources
-    "sample_orders_head": lambda s: files.first_orders(s.raw, 1000),
-    "sample_orders_tail": lambda s: files.last_orders(s.raw, 1000),
+    "first_orders": lambda s: files.first_orders(s.raw, 1000),
+    "last_orders": lambda s: files.last_orders(s.raw, 1000),
     "read_orders_parquet": lambda s: files.read_orders_parquet(s.spark, f"{s.tables.directory}/orders.parquet"),
-    "read_products": lambda s: s.tables.products(),
-    "read_commerces": lambda s: s.tables.commerces(),
+    "star_products": lambda s: s.tables.products(),
+    "star_commerces": lambda s: s.tables.commerces(),
     # cleaning
     "preprocess_orders": lambda s: s.clean,
-    "assert_not_null": lambda s: cl.null_counts(s.clean),
+    "assert_not_null": lambda s: cl.null_counts(_with_gaps(s)),
     "null_ratios": lambda s: rounded(cl.null_ratios(
-        s.clean.withColumn("quantity", F.when(F.col("quantity") < 25, F.col("quantity"))),
+        _with_gaps(s).withColumn("quantity", F.when(F.col("quantity") < 25, F.col("quantity"))),
         ["order_dt", "quantity"])),
     "filter_active_kiosks": lambda s: s.active[0],
     "blocked_product_ids": lambda s: cl.blocked_product_ids(s.tables.all_products()),
@@ -115,6 +128,8 @@ BUILDERS: dict[str, Callable[[Stages], DataFrame]] = {
     # splits
     "split_orders_by_time": lambda s: s.split.tagged(),
     "split_orders_by_rows": _row_split,
+    "split_orders_by_rows_radix": lambda s: sp.split_orders_by_rows(
+        _some_untimed(s), train_ratio=0.8, val_ratio=0.1, test_ratio=0.1, leaf_rows=50).tagged(),
     "split_feature_label": _feature_label,
     # baskets and candidates
     "build_baskets": lambda s: joined(s.lazy_baskets, "products"),
@@ -205,8 +220,8 @@ BUILDERS: dict[str, Callable[[Stages], DataFrame]] = {
     "global_baseline_topk": lambda s: pz.global_baseline_topk(s.top, REPORT_K),
     "baseline_overlap": lambda s: rounded(
         pz.baseline_overlap(s.top, REPORT_K)),
-    "pairwise_jaccard": lambda s: rounded(
-        pz.pairwise_jaccard(s.top, REPORT_K)),
+    "pairwise_jaccard": lambda s: rounded(pz.pairwise_jaccard(s.top, REPORT_K)),
+    "sampled_jaccard": lambda s: rounded(pz.sampled_jaccard(s.top, REPORT_K)),
     "example_recs": lambda s: pz.example_recs(s.top, s.products, REPORT_K),
     "new_vs_repeat_totals": lambda s: rounded(nv.new_vs_repeat_totals(s.scored, REPORT_K)),
     "new_share_by_position": lambda s: rounded(nv.new_share_by_position(s.scored, REPORT_K)),

@@ -7,18 +7,19 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import DecisionTreeRegressor
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketloom.functions.durable import materialize
+from basketloom.functions.durable import forget, materialize
 from basketloom.operators.features import encode_features, ensure_feature_columns, feature_columns
-from basketloom.operators.metrics import per_query_metrics
 from basketloom.schema import QUERY_KEYS, ROW_KEYS
 
-NODE_SCHEMA = "tree int, node int, feature int, threshold double, low int, high int, value double"
+NODE_SCHEMA = "tree int, node int, feature int, threshold double, low int, high int, value double, gain double"
+CURVE_SCHEMA = "iteration int, dataset string, metric string, value double"
 
 
 @dataclass(frozen=True)
@@ -53,16 +54,15 @@ class Ranker:
     categorical: list[str]
     nodes: list[tuple] = field(default_factory=list)
     curve: list[tuple] = field(default_factory=list)
-    gains: dict[str, float] = field(default_factory=dict)
     best_iteration: int = 0
 
     def eval_curve(self, spark: SparkSession) -> DataFrame:
         """(iteration, dataset, metric, value) of every boosting round."""
-        return spark.createDataFrame(self.curve, "iteration int, dataset string, metric string, value double")
+        return spark.createDataFrame(self.curve, CURVE_SCHEMA)
 
     def feature_importance(self, spark: SparkSession) -> DataFrame:
-        """Gain per feature over all trees, highest first."""
-        rows = [(name, float(self.gains.get(name, 0.0))) for name in self.features]
+        """Weighted variance gain per feature over the kept trees, highest first."""
+        rows = [(name, float(sum(row[7] for row in self.nodes if row[2] == i))) for i, name in enumerate(self.features)]
         return spark.createDataFrame(rows, "feature string, gain double").orderBy(F.desc("gain"), "feature")
 
     def node_table(self, spark: SparkSession) -> DataFrame:
@@ -73,6 +73,9 @@ class Ranker:
         self.node_table(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
         (spark.createDataFrame(listed, "place int, feature string, categorical boolean")
          .coalesce(1).write.mode("overwrite").parquet(f"{path}/features"))
+        self.eval_curve(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/curve")
+        (spark.createDataFrame([(self.best_iteration,)], "best_iteration int")
+         .coalesce(1).write.mode("overwrite").parquet(f"{path}/record"))
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "Ranker":
@@ -82,7 +85,35 @@ class Ranker:
         nodes = spark.read.parquet(f"{path}/nodes").orderBy("tree", "node").collect()
         return Ranker([row["feature"] for row in listed],
                       [row["feature"] for row in listed if row["categorical"]],
-                      [tuple(row) for row in nodes])
+                      [tuple(row) for row in nodes],
+                      [tuple(row) for row in spark.read.parquet(f"{path}/curve").orderBy("iteration", "dataset", "metric").collect()],
+                      spark.read.parquet(f"{path}/record").first()["best_iteration"])
+
+
+def _ensemble(nodes: list[tuple]):
+    """The summed leaf values of all trees, for a matrix of rows by features."""
+    table = np.array([row[1:7] for row in nodes], dtype="float64").reshape(-1, 6)
+    owner = np.array([row[0] for row in nodes], dtype="int64")
+    roots = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else np.array([], dtype="int64")
+    start = np.repeat(roots, np.diff(np.r_[roots, len(owner)])) if len(owner) else owner
+    feature = table[:, 1].astype("int64")
+    threshold, value = table[:, 2], table[:, 5]
+    low, high = table[:, 3].astype("int64") + start, table[:, 4].astype("int64") + start
+
+    def total(x: np.ndarray) -> np.ndarray:
+        rows, out = np.arange(len(x)), np.zeros(len(x))
+        for root in roots:
+            at = np.full(len(x), root)
+            while True:
+                split = feature[at] >= 0
+                if not split.any():
+                    break
+                left = x[rows, np.maximum(feature[at], 0)] <= threshold[at]
+                at = np.where(split, np.where(left, low[at], high[at]), at)
+            out += value[at]
+        return out
+
+    return total
 
 
 def predict_scores(df: DataFrame, ranker: Ranker, score_col: str = "score") -> DataFrame:
@@ -91,148 +122,185 @@ def predict_scores(df: DataFrame, ranker: Ranker, score_col: str = "score") -> D
     The nodes (a few thousand rows of a trained model) go to the executors
     with the function; rows stay in their partitions and pass through Arrow.
     """
-    table = np.array([row[1:] for row in ranker.nodes], dtype="float64").reshape(-1, 6)
-    owner = np.array([row[0] for row in ranker.nodes], dtype="int64")
-    roots = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else np.array([], dtype="int64")
-    start = np.repeat(roots, np.diff(np.r_[roots, len(owner)])) if len(owner) else owner
-    feature = table[:, 1].astype("int64")
-    threshold, value = table[:, 2], table[:, 5]
-    low, high = table[:, 3].astype("int64") + start, table[:, 4].astype("int64") + start
+    total = _ensemble(ranker.nodes)
 
     @F.pandas_udf("double")
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for batch in batches:
-            x = np.column_stack(batch)
-            rows, total = np.arange(len(x)), np.zeros(len(x))
-            for root in roots:
-                at = np.full(len(x), root)
-                while True:
-                    split = feature[at] >= 0
-                    if not split.any():
-                        break
-                    left = x[rows, np.maximum(feature[at], 0)] <= threshold[at]
-                    at = np.where(split, np.where(left, low[at], high[at]), at)
-                total += value[at]
-            yield pd.Series(total)
+            yield pd.Series(total(np.column_stack(batch)))
 
     ready = ensure_feature_columns(df, ranker.features, ranker.categorical)
     inputs = encode_features(ranker.features, ranker.categorical)
     return ready.withColumn(score_col, score(*inputs)).select(*df.columns, score_col)
 
 
-def _lambdas(scored: DataFrame) -> DataFrame:
-    """Adds the lambda gradient (upward push) and its curvature per row.
+def _places(score: np.ndarray) -> np.ndarray:
+    """1-based place of each candidate of a query; equal scores keep the order of the candidates."""
+    out = np.empty(len(score))
+    out[np.argsort(-score, kind="stable")] = np.arange(1, len(score) + 1)
+    return out
+
+
+def query_gradients(label: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lambda gradient (upward push) and its curvature for each candidate of one query.
 
-    For each positive and negative of a query: the change of DCG on swapping
-    their places, over the ideal DCG, times the logistic of the score gap.
-    A query holds at most its candidate list, so the arrays of its other side
-    are short; the pairs are folded inside each row and never become rows.
+    For each positive and negative: the change of DCG on swapping their places, over the ideal DCG, times the
+    logistic of the score gap. A query without both kinds teaches nothing.
     """
-    query = Window.partitionBy(*QUERY_KEYS)
-    by_score = query.orderBy(F.desc("score"), F.asc("candidate_product_id"))
-    ranked = scored.withColumn("gain", 1.0 / F.log2(F.row_number().over(by_score) + 1.0))
-    item = F.struct("gain", "score")
-    sides = (ranked
-             .withColumn("others", F.when(F.col("label") == 1,
-                                          F.collect_list(F.when(F.col("label") == 0, item)).over(query))
-                         .otherwise(F.collect_list(F.when(F.col("label") == 1, item)).over(query)))
-             .withColumn("n_pos", F.sum(F.col("label").cast("int")).over(query)))
-    sign = F.when(F.col("label") == 1, 1.0).otherwise(-1.0)
-
-    def fold(value) -> Column:
-        def step(total: Column, other: Column) -> Column:
-            # Chance that the model orders this pair wrongly.
-            wrong = 1.0 / (1.0 + F.exp(sign * (F.col("score") - other["score"])))
-            return total + F.abs(F.col("gain") - other["gain"]) * value(wrong)
-        return F.aggregate("others", F.lit(0.0), step)
-
-    ideal = F.aggregate(F.sequence(F.lit(1), F.col("n_pos")), F.lit(0.0),
-                        lambda total, place: total + 1.0 / F.log2(place + 1.0))
-    out = (sides.filter((F.col("n_pos") > 0) & (F.size("others") > 0))
-           .withColumn("push", sign * fold(lambda wrong: wrong) / ideal)
-           .withColumn("curve", fold(lambda wrong: wrong * (1.0 - wrong)) / ideal))
-    return out.filter(F.col("curve") > 0).drop("gain", "others", "n_pos")
-
-
-def _walk(java_node, places: list[int], values: list[float], nodes: list[tuple], tree: int) -> int:
-    """Append a tree's nodes in pre-order; leaves are numbered in the same order as Spark's leaf column."""
-    at = len([1 for row in nodes if row[0] == tree])
-    if java_node.subtreeDepth() == 0:
-        leaf = sum(1 for row in nodes if row[0] == tree and row[2] < 0)
-        nodes.append((tree, at, -1, 0.0, 0, 0, values[leaf]))
-        return at
-    nodes.append(None)
-    slot = len(nodes) - 1
-    nodes[slot] = (tree, at, 0, 0.0, 0, 0, 0.0)
-    low = _walk(java_node.leftChild(), places, values, nodes, tree)
-    high = _walk(java_node.rightChild(), places, values, nodes, tree)
-    split = java_node.split()
-    nodes[slot] = (tree, at, places[split.featureIndex()], float(split.threshold()), low, high, 0.0)
-    return at
+    push, curve = np.zeros(len(label)), np.zeros(len(label))
+    good = label == 1
+    if good.any() and not good.all():
+        gain = 1 / np.log2(_places(score) + 1)
+        ideal = (1 / np.log2(np.arange(2, good.sum() + 2))).sum()
+        wrong = 1 / (1 + np.exp(score[good][:, None] - score[~good][None, :]))
+        weight = np.abs(gain[good][:, None] - gain[~good][None, :]) * wrong / ideal
+        push[good], push[~good] = weight.sum(axis=1), -weight.sum(axis=0)
+        curve[good], curve[~good] = (weight * (1 - wrong)).sum(axis=1), (weight * (1 - wrong)).sum(axis=0)
+    return push, curve
+
+
+def _ndcg(label: np.ndarray, score: np.ndarray, ks: tuple[int, ...]) -> list[float | None]:
+    """NDCG at each k; None without positives."""
+    good = label == 1
+    if not good.any():
+        return [None] * len(ks)
+    gain = np.where(good, 1 / np.log2(_places(score) + 1), 0.0)
+    ideal = 1 / np.log2(np.arange(2, good.sum() + 2))
+    return [float(gain[_places(score) <= k].sum() / ideal[:k].sum()) for k in ks]
+
+
+def packed_queries(df: DataFrame, part: str, inputs: list) -> DataFrame:
+    """(part, query, candidates, label, x, score): one row per query, candidates in order of their ids.
+
+    A query holds at most its candidate list (top-K per anchor), so its arrays are short. Packing shuffles the rows
+    once; gradients and metrics of all rounds then need no shuffle.
+    """
+    item = F.struct("candidate_product_id", F.col("label").cast("double").alias("label"), F.array(*inputs).alias("x"))
+    rows = df.groupBy(*QUERY_KEYS).agg(F.sort_array(F.collect_list(item)).alias("items"))
+    return rows.select(F.lit(part).alias("part"), F.struct(*QUERY_KEYS).alias("query"), F.col("items.candidate_product_id").alias("candidates"),
+                       F.col("items.label").alias("label"), F.col("items.x").alias("x"),
+                       F.transform("items", lambda _: F.lit(0.0)).alias("score"))
+
+
+def graded_queries(packed: DataFrame, nodes: list[tuple], ks: tuple[int, ...]) -> DataFrame:
+    """``packed`` with the trees' values added to the scores, and push, curve (arrays) and ndcg (one per k) of each query."""
+    total = _ensemble(nodes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            labels, matrix = batch.column("label"), batch.column("x")
+            sizes = np.diff(labels.offsets.to_numpy())
+            label = labels.flatten().to_numpy(zero_copy_only=False)
+            x = matrix.flatten().flatten().to_numpy(zero_copy_only=False).reshape(len(label), -1)
+            score = batch.column("score").flatten().to_numpy(zero_copy_only=False) + total(x)
+            cuts = np.cumsum(sizes)[:-1]
+            queries = list(zip(np.split(label, cuts), np.split(score, cuts))) if len(sizes) else []
+            graded = [query_gradients(*q) for q in queries]
+            offsets = pa.array(np.r_[0, np.cumsum(sizes)], pa.int32())
+
+            def lists(values: list[np.ndarray]) -> pa.Array:
+                return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(values) if values else np.zeros(0), pa.float64()))
 
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(n) for n in kept), lists([s for _, s in queries]), lists([g[0] for g in graded]),
+                 lists([g[1] for g in graded]), pa.array([_ndcg(*q, ks) for q in queries], pa.list_(pa.float64()))],
+                [*kept, "score", "push", "curve", "ndcg"])
 
-def _prepared(df: DataFrame, features: list[str], categorical: list[str]) -> DataFrame:
-    vector = array_to_vector(F.array(*encode_features(features, categorical)))
-    rows = df.select(*ROW_KEYS, F.col("label").cast("int").alias("label"), vector.alias("x"), F.lit(0.0).alias("score"))
-    return materialize(rows)
+    kept = ["part", "query", "candidates", "label", "x"]
+    kinds = ", ".join(f"{n} {packed.schema[n].dataType.simpleString()}" for n in kept)
+    return packed.select(*kept, "score").mapInArrow(
+        run, f"{kinds}, score array<double>, push array<double>, curve array<double>, ndcg array<double>")
 
 
-def _means(scored: DataFrame, ks: tuple[int, ...]) -> list[float]:
-    names = [f"NDCG@{k}" for k in ks]
-    row = per_query_metrics(scored, list(ks)).agg(*[F.avg(name).alias(name) for name in names]).first()
-    return [float(row[name] or 0.0) for name in names]
+def gradient_rows(graded: DataFrame) -> DataFrame:
+    """One row per candidate that has a gradient."""
+    items = F.inline(F.arrays_zip("candidates", "label", "x", "push", "curve"))
+    return graded.select("part", "query", items).where("curve > 0")
+
+
+def lambda_gradients(df: DataFrame) -> DataFrame:
+    """(keys, push, curve) of the first round, in which all scores are equal."""
+    rows = gradient_rows(graded_queries(packed_queries(df, "all", [F.lit(0.0)]), [], (1,)))
+    return rows.select("query.*", F.col("candidates").alias("candidate_product_id"), "push", "curve")
+
+
+def _walk(java_node, places: list[int], values: list[float], nodes: list[tuple], tree: int) -> None:
+    """Append a tree's nodes in pre-order; leaves are numbered in the same order as Spark's leaf column."""
+    begin, leaves = len(nodes), iter(values)
+
+    def visit(node) -> int:
+        at = len(nodes) - begin
+        if node.subtreeDepth() == 0:
+            nodes.append((tree, at, -1, 0.0, 0, 0, next(leaves), 0.0))
+            return at
+        nodes.append(None)
+        split, gain = node.split(), float(node.gain() * node.impurityStats().count())
+        low, high = visit(node.leftChild()), visit(node.rightChild())
+        nodes[begin + at] = (tree, at, places[split.featureIndex()], float(split.threshold()), low, high, 0.0, gain)
+        return at
+
+    visit(java_node)
 
 
 def train_ranker(train: DataFrame, val: DataFrame, params: RankerParams = RankerParams()) -> Ranker:
     """Boost trees on lambda gradients until validation NDCG stops rising.
 
-    The rows stay distributed: each round collects only its tree's leaf sums
-    (at most ``2 ** max_depth`` rows) and the mean metrics.
+    Rows are packed to one row per query, so that a round shuffles nothing but the tree's own statistics; it
+    collects its leaf sums (at most ``2 ** max_depth`` rows) and the mean metrics. Training stops when NDCG at any
+    of ``eval_ks`` hasn't risen for ``early_stopping_rounds``; the trees up to that metric's best round stay.
     """
     numeric, categorical = feature_columns(train)
     features = numeric + categorical
     if train.isEmpty() or val.isEmpty():
         raise ValueError("no training or validation rows: change the split ratios or add data")
-    parts = {"train": _prepared(train, features, categorical), "valid": _prepared(val, features, categorical)}
+    inputs = encode_features(features, categorical)
+    packed = materialize(packed_queries(train, "train", inputs).union(packed_queries(val, "valid", inputs)))
     ranker = Ranker(features, categorical)
     draw = np.random.default_rng(params.seed)
     wanted = max(1, round(params.feature_fraction * len(features)))
-    best, best_round = -1.0, 0
+    best = {k: (-1.0, 0) for k in params.eval_ks}
+    unwritten: list[tuple] = []
+    state = graded_queries(packed, [], params.eval_ks).persist()
 
     for turn in range(1, params.num_boost_round + 1):
         places = sorted(int(i) for i in draw.choice(len(features), wanted, replace=False))
-        graded = _lambdas(parts["train"]).withColumn("target", F.col("push") / F.col("curve")).persist()
-        slicer = VectorSlicer(inputCol="x", outputCol="some", indices=places)
-        bag = F.pmod(F.xxhash64(F.lit(params.seed * 1000 + turn), *ROW_KEYS), F.lit(10_000))
+        rows = gradient_rows(state.filter("part = 'train'")).select(
+            "query", "candidates", array_to_vector("x").alias("x"), "push", "curve", (F.col("push") / F.col("curve")).alias("target"))
+        rows = VectorSlicer(inputCol="x", outputCol="some", indices=places).transform(rows)
+        bag = F.pmod(F.xxhash64(F.lit(params.seed * 1000 + turn), "query", "candidates"), F.lit(10_000))
         tree = DecisionTreeRegressor(
             featuresCol="some", labelCol="target", weightCol="curve", leafCol="leaf", maxDepth=params.max_depth,
             minInstancesPerNode=params.min_data_in_leaf, minInfoGain=params.min_gain, maxBins=params.max_bins,
             seed=params.seed + turn,
-        ).fit(slicer.transform(graded.filter(bag < int(10_000 * params.bagging_fraction))))
-        sums = (tree.transform(slicer.transform(graded)).groupBy(F.col("leaf").cast("int").alias("leaf"))
+        ).fit(rows.filter(bag < int(10_000 * params.bagging_fraction)))
+        sums = (tree.transform(rows).groupBy(F.col("leaf").cast("int").alias("leaf"))
                 .agg(F.sum("push").alias("push"), F.sum("curve").alias("curve")).collect())
-        graded.unpersist()
         steps = {row["leaf"]: params.learning_rate * row["push"] / (row["curve"] + params.lambda_l2) for row in sums}
-        leaves = (tree.numNodes + 1) // 2
-        values = [float(steps.get(leaf, 0.0)) for leaf in range(leaves)]
-        _walk(tree._call_java("rootNode"), places, values, ranker.nodes, turn)
-        for place, share in zip(places, tree.featureImportances.toArray()):
-            ranker.gains[features[place]] = ranker.gains.get(features[place], 0.0) + float(share)
-
-        moved = F.element_at(F.array(*[F.lit(v) for v in values]), F.col("leaf").cast("int") + 1)
-        for name, rows in parts.items():
-            stepped = tree.transform(slicer.transform(rows)).select(
-                *ROW_KEYS, "label", "x", (F.col("score") + moved).alias("score"))
-            # Scores are written now and then, so that plans do not grow with the rounds.
-            parts[name] = materialize(stepped) if turn % params.write_scores_every == 0 else stepped
-        for name in parts:
-            for k, value in zip(params.eval_ks, _means(parts[name], params.eval_ks)):
-                ranker.curve.append((turn, name, f"ndcg@{k}", value))
-                if name == "valid" and k == params.eval_ks[0] and value > best:
-                    best, best_round = value, turn
-        if turn - best_round >= params.early_stopping_rounds:
+        grown: list[tuple] = []
+        _walk(tree._call_java("rootNode"), places, [float(steps.get(i, 0.0)) for i in range((tree.numNodes + 1) // 2)], grown, turn)
+        ranker.nodes += grown
+        unwritten += grown
+        before, state = state, graded_queries(packed, unwritten, params.eval_ks)
+        if turn % params.write_scores_every == 0:
+            # Scores are written now and then, so that the trees to be walked do not grow with the rounds.
+            superseded, packed, unwritten = packed, materialize(state), []
+            forget(superseded)
+            state = packed
+        state = state.persist()
+        means = state.groupBy("part").agg(*[F.avg(F.col("ndcg")[i]).alias(f"k{i}") for i in range(len(params.eval_ks))]).collect()
+        before.unpersist()
+        for row in sorted(means):
+            for i, k in enumerate(params.eval_ks):
+                value = float(row[f"k{i}"] or 0.0)
+                ranker.curve.append((turn, row["part"], f"ndcg@{k}", value))
+                if row["part"] == "valid" and value > best[k][0]:
+                    best[k] = value, turn
+        stalled = [at for _, at in best.values() if turn - at >= params.early_stopping_rounds]
+        if stalled:
             break
 
-    ranker.best_iteration = best_round
-    ranker.nodes = [row for row in ranker.nodes if row[0] <= best_round]
+    state.unpersist()
+    forget(packed)
+    ranker.best_iteration = stalled[0] if stalled else best[params.eval_ks[0]][1]
+    ranker.nodes = [row for row in ranker.nodes if row[0] <= ranker.best_iteration]
     return ranker

@@ -9,9 +9,11 @@ import __spark_entry__ as entry_points
 
 duckdb = pytest.importorskip("duckdb")
 
-SOME = ["sample_orders_tail", "split_orders_by_rows", "split_feature_label", "select_top_k_candidates",
+SOME = ["sample_orders_head", "sample_orders_tail", "last_orders", "read_products", "read_commerces", "read_orders_csv",
+        "null_ratios", "split_orders_by_rows", "split_orders_by_rows_radix", "pairwise_jaccard", "sampled_jaccard", "split_feature_label", "select_top_k_candidates",
         "add_all_features", "label_pairs_window", "sample_negatives", "metrics_table", "quantity_captured_at_k",
-        "anchor_fallback", "recommend_with_fallback", "baseline_overlap"]
+        "predict_scores", "ranker_save_load",
+        "fixed_score_stats", "lambda_gradients", "anchor_fallback", "recommend_with_fallback", "baseline_overlap"]
 ORACLES = entry_points.oracle_sql()
 
 

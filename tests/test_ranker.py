@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketloom.operators.metrics import ndcg_at_k
-from basketloom.operators.ranker import Ranker, RankerParams, _lambdas, predict_scores, train_ranker
+from basketloom.operators.ranker import Ranker, RankerParams, _walk, lambda_gradients, predict_scores, train_ranker
 
 PARAMS = RankerParams(learning_rate=0.3, max_depth=3, min_data_in_leaf=10, num_boost_round=4, max_bins=32,
                       feature_fraction=1.0, bagging_fraction=0.8, eval_ks=(5,), write_scores_every=2)
@@ -46,6 +46,8 @@ def test_save_and_load(spark, planted, ranker, tmp_path):
     ranker.save(spark, str(tmp_path / "m"))
     again = Ranker.load(spark, str(tmp_path / "m"))
     assert (again.features, again.categorical, again.nodes) == (ranker.features, ranker.categorical, ranker.nodes)
+    assert sorted(again.curve) == sorted(ranker.curve) and again.best_iteration == ranker.best_iteration
+    assert again.feature_importance(spark).collect() == ranker.feature_importance(spark).collect()
     both = predict_scores(predict_scores(planted[1], ranker), again, "again")
     assert both.filter("score != again").count() == 0
 
@@ -60,7 +62,7 @@ def test_early_stop(planted):
 def test_lambdas_by_hand(spark):
     rows = spark.createDataFrame([("k", "a", "p", 1, 0.0), ("k", "a", "q", 0, 0.0), ("k", "b", "p", 1, 0.0)],
                                  "kiosk_id string, anchor_product_id string, candidate_product_id string, label int, score double")
-    got = {r["candidate_product_id"]: r for r in _lambdas(rows).collect()}
+    got = {r["candidate_product_id"]: r for r in lambda_gradients(rows).collect()}
     swap = 1.0 - 1.0 / 1.5849625007211562       # places 1 and 2; the ideal DCG is 1
     assert got["p"]["push"] == pytest.approx(swap / 2) and got["q"]["push"] == pytest.approx(-swap / 2)
     assert got["p"]["curve"] == pytest.approx(swap / 4)
@@ -74,3 +76,31 @@ def test_absent_features_get_defaults(planted, ranker):
 def test_empty_training_data_is_an_error(planted):
     with pytest.raises(ValueError):
         train_ranker(planted[0].limit(0), planted[1], PARAMS)
+
+
+def test_gain_of_kept_trees_only(spark, planted):
+    """Weighted variance gain, read from the nodes: trees after the best round don't count."""
+    hand = Ranker(["a", "b"], [], [(1, 0, 1, 0.5, 1, 2, 0.0, 3.0), (1, 1, -1, 0.0, 0, 0, 1.0, 0.0), (1, 2, 0, 0.5, 3, 4, 0.0, 1.5),
+                                   (1, 3, -1, 0.0, 0, 0, 1.0, 0.0), (1, 4, -1, 0.0, 0, 0, 1.0, 0.0)])
+    assert [tuple(r) for r in hand.feature_importance(spark).collect()] == [("b", 3.0), ("a", 1.5)]
+    stopped = train_ranker(*planted, RankerParams(**{**PARAMS.__dict__, "num_boost_round": 30, "early_stopping_rounds": 2, "eval_ks": (1, 5)}))
+    assert {row[0] for row in stopped.nodes} == set(range(1, stopped.best_iteration + 1))
+    assert max(row[0] for row in stopped.curve) == stopped.best_iteration + 2
+
+
+def test_tree_nodes_are_numbered_in_pre_order():
+    class Node:
+        def __init__(self, *children, at=0):
+            self.children, self.at = children, at
+        subtreeDepth = lambda self: len(self.children)
+        leftChild = lambda self: self.children[0]
+        rightChild = lambda self: self.children[1]
+        gain = lambda self: 0.5
+        count = lambda self: 4
+        impurityStats = split = lambda self: self
+        featureIndex = lambda self: self.at
+        threshold = lambda self: 7.0
+    nodes = [(1, 0, -1, 0.0, 0, 0, 9.0, 0.0)]
+    _walk(Node(Node(Node(), Node(), at=1), Node()), [3, 5], [1.0, 2.0, 3.0], nodes, 2)
+    assert nodes[1:] == [(2, 0, 3, 7.0, 1, 4, 0.0, 2.0), (2, 1, 5, 7.0, 2, 3, 0.0, 2.0), (2, 2, -1, 0.0, 0, 0, 1.0, 0.0),
+                         (2, 3, -1, 0.0, 0, 0, 2.0, 0.0), (2, 4, -1, 0.0, 0, 0, 3.0, 0.0)]
