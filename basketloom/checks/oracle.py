@@ -350,6 +350,10 @@ QUERIES: dict[str, str] = {
         SELECT order_id, product_id FROM items
         WHERE product_id IN (SELECT product_id FROM product_counts WHERE product_count >= 40)""",
     "pair_cooccurrence": "SELECT * FROM cooc",
+    "pair_cooccurrence_shared": """
+        SELECT a.product_id AS anchor_product_id, c.product_id AS candidate_product_id, count(*) AS cooc_count
+        FROM items a JOIN items c ON CAST(a.order_id AS BIGINT) // 10 = CAST(c.order_id AS BIGINT) // 10
+         AND a.product_id <> c.product_id GROUP BY ALL HAVING count(*) >= 2""",
     "generate_candidates": """
         SELECT * REPLACE (round(support, 9) AS support, round(confidence, 9) AS confidence, round(lift, 9) AS lift,
                           round(cooc_cosine_sim, 9) AS cooc_cosine_sim) FROM cands""",
@@ -379,6 +383,7 @@ QUERIES: dict[str, str] = {
     "feat_same_category": f"SELECT {ROW}, same_category FROM features",
     "feat_kiosk_meta": f"SELECT {ROW}, channel, region FROM features",
     "add_all_features": f"SELECT {FEATURE_LIST}, same_category, channel, region FROM features",
+    "feature_rows": f"SELECT {FEATURE_LIST}, same_category, channel, region FROM features",
     "fill_missing_features": f"""
         SELECT {FEATURE_LIST}, coalesce(same_category, 0) AS same_category,
                coalesce(channel, '__MISSING__') AS channel, coalesce(region, '__MISSING__') AS region FROM gaps""",
@@ -405,6 +410,12 @@ QUERIES: dict[str, str] = {
         FROM test_lines a JOIN test_lines c
           ON a.kiosk_id = c.kiosk_id AND a.order_id = c.order_id AND a.product_id <> c.product_id GROUP BY ALL""",
     "label_pairs_window": "SELECT * FROM pairs",
+    "label_pairs_same_order_large": """
+        SELECT a.kiosk_id, a.product_id AS anchor_product_id, c.product_id AS candidate_product_id,
+               count(*) AS cooc_count
+        FROM test_lines a JOIN test_lines c
+          ON a.kiosk_id = c.kiosk_id AND a.order_id = c.order_id AND a.product_id <> c.product_id GROUP BY ALL""",
+    "label_pairs_window_busy": "SELECT * FROM pairs",
     "build_label_pairs": """
         SELECT a.kiosk_id, a.product_id AS anchor_product_id, c.product_id AS candidate_product_id,
                count(*) AS cooc_count

@@ -139,6 +139,8 @@ BUILDERS: dict[str, Callable[[Stages], DataFrame]] = {
     "product_basket_counts": lambda s: bk.product_basket_counts(s.items),
     "frequent_products": lambda s: bk.frequent_products(s.items, 40),
     "pair_cooccurrence": lambda s: cd.pair_cooccurrence(s.baskets, MIN_COOC),
+    "pair_cooccurrence_shared": lambda s: cd.pair_cooccurrence(files.materialize(s.baskets.withColumn(
+        "order_id", F.floor(F.col("order_id").cast("bigint") / 10).cast("string"))), MIN_COOC),
     "generate_candidates": lambda s: rounded(s.candidates, 9),
     "select_top_k_candidates": lambda s: rounded(s.lazy_topk, 9),
     "topk_candidate_stats": lambda s: rounded(cd.topk_candidate_stats(s.lazy_topk, 30)),
@@ -157,6 +159,8 @@ BUILDERS: dict[str, Callable[[Stages], DataFrame]] = {
     "feat_same_category": lambda s: rounded(ft.feat_same_category(s.rows.drop("cooc_cosine_sim"), s.products)),
     "feat_kiosk_meta": lambda s: ft.feat_kiosk_meta(s.rows.drop("cooc_cosine_sim"), s.active[1]),
     "add_all_features": lambda s: rounded(s.features, 9),
+    "feature_rows": lambda s: rounded(ft.feature_rows(
+        s.queries, s.topk, ft.feature_facts(s.train, s.products, s.active[1], durable=True)), 9),
     "fill_missing_features": lambda s: rounded(ft.fill_missing_features(_incomplete(s), NUMBERS, KINDS), 9),
     "ensure_feature_columns": lambda s: rounded(ft.ensure_feature_columns(
         s.popular_rows, ["cooc_cosine_sim", "pop_store", "pop_global", "channel"], KINDS), 9),
@@ -167,6 +171,8 @@ BUILDERS: dict[str, Callable[[Stages], DataFrame]] = {
     # labels and training set
     "label_pairs_same_order": lambda s: lb.label_pairs_same_order(s.test),
     "label_pairs_window": lambda s: lb.label_pairs_window(s.test, window_days=LABEL_DAYS),
+    "label_pairs_same_order_large": lambda s: lb.label_pairs_same_order(s.test, array_items=2),
+    "label_pairs_window_busy": lambda s: lb.label_pairs_window(s.test, window_days=LABEL_DAYS, busy_bucket=1),
     "build_label_pairs": lambda s: lb.build_label_pairs(s.orders, window_days=30, min_cooc_label=2),
     "build_labels": lambda s: rounded(s.lazy_labeled, 9),
     "queries_with_positives": lambda s: lb.queries_with_positives(s.queries, s.pairs),

@@ -182,12 +182,31 @@ def attach_features(df: DataFrame, facts: FeatureFacts) -> DataFrame:
         df = df.join(facts.per_anchor, "anchor_product_id", "left")
         df = df.withColumn("same_category", (F.col("_anchor_cat") == F.col("_cand_cat")).cast("tinyint"))
     df = df.join(facts.per_kiosk, "kiosk_id", "left")
-    df = df.join(facts.per_store, ["kiosk_id", "candidate_product_id"], "left")
+    return _finished(df.join(facts.per_store, ["kiosk_id", "candidate_product_id"], "left"), columns, facts)
+
+
+def _finished(df: DataFrame, columns: list[str], facts: FeatureFacts) -> DataFrame:
     counts = [_zero_if_null(name) for name in ("pop_store", "pop_global", "kiosk_product_cnt")]
     is_new = F.coalesce(F.col("pop_store") == 0, F.lit(True)).cast("tinyint").alias("cand_is_new")
     return df.select(*columns, *counts, is_new, *facts.extra)
 
 
+def feature_rows(queries: DataFrame, topk: DataFrame, facts: FeatureFacts) -> DataFrame:
+    """Candidates of every query with all features, as from ``attach_features(build_feature_table(...))``.
+
+    Store facts join the queries and product facts the candidate pairs, one row each, before queries and candidates
+    meet; only the count per store and product has to join the many rows that come of it.
+    """
+    wanted = queries.select(*QUERY_KEYS).distinct().join(facts.per_kiosk, "kiosk_id", "left")
+    offered = topk.join(facts.per_candidate, "candidate_product_id", "left")
+    if facts.per_anchor is not None:
+        offered = offered.join(facts.per_anchor, "anchor_product_id", "left").withColumn(
+            "same_category", (F.col("_anchor_cat") == F.col("_cand_cat")).cast("tinyint"))
+    on = [name for name in QUERY_KEYS if name in topk.columns]
+    rows = wanted.join(offered, on).join(facts.per_store, ["kiosk_id", "candidate_product_id"], "left")
+    return _finished(rows, [*QUERY_KEYS, *[name for name in topk.columns if name not in QUERY_KEYS]], facts)
+
+
 def add_all_features(df: DataFrame, *, orders: DataFrame, products: DataFrame | None = None,
                      commerces: DataFrame | None = None, durable: bool = False) -> DataFrame:
     return attach_features(df, feature_facts(orders, products, commerces, durable))

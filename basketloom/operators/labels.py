@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketloom.functions.durable import materialize
 from basketloom.functions.times import DAY_MICROS, micros
 from basketloom.operators.baskets import BASKET_KEYS, build_baskets
-from basketloom.operators.pairs import half_pairs, half_pairs_of_large_groups, mirrored
+from basketloom.operators.pairs import half_pairs, half_pairs_of_large_groups, mirrored, spread_join
 from basketloom.schema import QUERY_KEYS, ROW_KEYS, require_columns
 
 
@@ -19,7 +20,7 @@ def label_pairs_same_order(orders: DataFrame, *, array_items: int = 200) -> Data
     """
     small = half_pairs(build_baskets(orders, 2, array_items), ["kiosk_id"])
     lines = orders.select(*BASKET_KEYS, "product_id").distinct()
-    large = lines.groupBy(*BASKET_KEYS).agg(F.count("*").alias("n")).filter(F.col("n") > array_items)
+    large = materialize(lines.groupBy(*BASKET_KEYS).agg(F.count("*").alias("n")).filter(F.col("n") > array_items))
     both = small
     if not large.isEmpty():
         items = lines.join(large, BASKET_KEYS, "left_semi").withColumn("one", F.lit(1).cast("bigint"))
@@ -93,9 +94,9 @@ def _tree_pairs(events: DataFrame, width: int, products_per_cell: int = 1_000) -
     # A node with many products is cut into cells by candidate, each joined apart.
     cells = others.groupBy(*where).agg(
         F.ceil(F.count("*") / products_per_cell).cast("int").alias("cells"))
-    others = others.join(cells, where).withColumn(
+    others = spread_join(others, cells, where, "candidate_product_id").withColumn(
         "cell", F.pmod(F.xxhash64("candidate_product_id"), F.col("cells")).cast("int")).drop("cells")
-    anchors = anchors.join(cells, where).withColumn(
+    anchors = spread_join(anchors, cells, where, "anchor_product_id").withColumn(
         "cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))).drop("cells")
     return (anchors.join(others, [*where, "cell"])
             .filter(F.col("anchor_product_id") != F.col("candidate_product_id"))
@@ -109,14 +110,15 @@ def label_pairs_window(orders: DataFrame, *, window_days: int = 7, dt_col: str =
     Counts line pairs; same-instant lines of different products count. Stores
     with more than ``busy_bucket`` (product, instant) points in any one window
     take the tree form, all others the interval join, so no join key holds
-    more than ``2 * busy_bucket`` points. Whether such stores exist is looked
-    up first, so pass a written table.
+    more than ``2 * busy_bucket`` points. Points and busy stores are written once.
     """
     require_columns(orders, [dt_col])
     width = window_days * DAY_MICROS
-    events = _window_events(orders, dt_col, width)
+    # Written: the look for busy stores and both forms read it.
+    events = materialize(_window_events(orders, dt_col, width))
     busy = (events.groupBy("kiosk_id", "bucket").agg(F.count("*").alias("points"))
             .filter(F.col("points") > busy_bucket).select("kiosk_id").distinct())
+    busy = materialize(busy)
     if busy.isEmpty():
         pairs = _bucket_pairs(events, width)
     else:

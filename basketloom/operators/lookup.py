@@ -70,18 +70,17 @@ def recommend_with_fallback(requests: DataFrame, lookup: DataFrame, anchors: Dat
         rows = df.select(F.col(key).alias(out_key), F.col("candidate_product_id").alias("product_id"), "score")
         return rows.groupBy(out_key).agg(_ranked_list().alias(out))
 
+    asked = requests.withColumn("_limit", _limit(requests)).select(*LOOKUP_KEYS, "_limit")
+    first = asked.join(lookup, LOOKUP_KEYS).select(*LOOKUP_KEYS, "_limit", F.lit(1).alias("level"), "recs")
+    # Only what the first level doesn't know meets the other lists, the category's by its own id.
+    rest = asked.join(lookup, LOOKUP_KEYS, "left_anti")
     by_anchor = lists(anchors, "anchor_product_id", "anchor_id", "recs2")
-    by_category = lists(categories, "category", "category", "recs3").join(
-        info.filter(F.col("category").isNotNull()).select(F.col("product_id").alias("anchor_id"), "category"),
-        "category").select("anchor_id", "recs3")
+    kinds = info.filter(F.col("category").isNotNull()).select(F.col("product_id").alias("anchor_id"), "category")
+    by_category = lists(categories, "category", "category", "recs3")
     best = overall.select(F.col("candidate_product_id").alias("product_id"), "score").agg(
         _ranked_list().alias("recs4")).scalar()
-    joined = (requests.withColumn("_limit", _limit(requests))
-              .join(lookup.withColumnRenamed("recs", "recs1"), LOOKUP_KEYS, "left")
-              .join(by_anchor, "anchor_id", "left").join(by_category, "anchor_id", "left"))
-    level = (F.when(F.col("recs1").isNotNull(), 1).when(F.col("recs2").isNotNull(), 2)
-             .when(F.col("recs3").isNotNull(), 3).otherwise(4))
-    chosen = F.coalesce("recs1", "recs2", "recs3", best)
-    items = joined.select(*LOOKUP_KEYS, level.alias("level"),
-                          F.posexplode(F.slice(chosen, F.lit(1), F.col("_limit"))).alias("at", "product_id"))
+    rest = rest.join(by_anchor, "anchor_id", "left").join(kinds, "anchor_id", "left").join(by_category, "category", "left")
+    level = F.when(F.col("recs2").isNotNull(), 2).when(F.col("recs3").isNotNull(), 3).otherwise(4)
+    joined = first.unionByName(rest.select(*LOOKUP_KEYS, "_limit", level.alias("level"), F.coalesce("recs2", "recs3", best).alias("recs")))
+    items = joined.select(*LOOKUP_KEYS, "level", F.posexplode(F.slice("recs", F.lit(1), F.col("_limit"))).alias("at", "product_id"))
     return items.select(*LOOKUP_KEYS, "level", (F.col("at") + 1).alias("position"), "product_id")

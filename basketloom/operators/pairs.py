@@ -6,6 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Parts of a group in a join with a table of one row per group.
+SALTS = 16
+
+
+def spread_join(rows: DataFrame, groups: DataFrame, by: list[str], item: str) -> DataFrame:
+    """``rows`` joined to the one row of their group, a large group in SALTS parts.
+
+    The small side is repeated for each part, so no task gets a whole group.
+    """
+    parts = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(F.lit("salt"), item), F.lit(SALTS)).cast("int"))
+    return salted.join(parts, [*by, "_salt"]).drop("_salt")
+
+
 def half_pairs(arrays: DataFrame, by: list[str]) -> DataFrame:
     """Each unordered pair (left < right) of sorted, bounded ``products`` arrays; no shuffle."""
     heads = arrays.select(*by, "products", F.posexplode("products").alias("_at", "left"))
@@ -22,7 +36,7 @@ def half_pairs_of_large_groups(items: DataFrame, by: list[str], item: str, weigh
     ``2 * cell_items`` items, so a large group is spread over many tasks.
     """
     sizes = items.groupBy(*by).agg(F.ceil(F.count("*") / cell_items).cast("int").alias("_blocks"))
-    placed = items.join(sizes, by).withColumn("_block", F.pmod(F.xxhash64(item), F.col("_blocks")).cast("int"))
+    placed = spread_join(items, sizes, by, item).withColumn("_block", F.pmod(F.xxhash64(item), F.col("_blocks")).cast("int"))
     spread = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     cells = spread.select(*by, F.least("_block", "_other").alias("_low"),
                           F.greatest("_block", "_other").alias("_high"), "_block",

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketloom.functions.hashing import draw_key
-from basketloom.functions.ranking import hash_ranked, top_rows
+from basketloom.functions.ranking import top_rows
 from basketloom.operators.features import add_query_id
 from basketloom.schema import QUERY_KEYS, ROW_KEYS
 
@@ -28,8 +28,13 @@ def sample_negatives(df: DataFrame, max_neg_per_group: int, seed: int = 42) -> D
 
 
 def shuffle_within_query(df: DataFrame, seed: int = 42) -> DataFrame:
-    """Adds ``shuffle_rank``: the place of each row in a seeded random order of its query."""
-    return hash_ranked(df, QUERY_KEYS, draw_key(seed, *ROW_KEYS), ["candidate_product_id"], "shuffle_rank")
+    """Adds ``shuffle_rank``: the place of each row in a seeded random order of its query.
+
+    A query has at most its candidate list, so one shuffle by query is enough;
+    ``hash_ranked`` is for groups without such a bound.
+    """
+    order = Window.partitionBy(*QUERY_KEYS).orderBy(draw_key(seed, *ROW_KEYS), "candidate_product_id")
+    return df.withColumn("shuffle_rank", F.row_number().over(order).cast("bigint"))
 
 
 def query_group_sizes(df: DataFrame) -> DataFrame:

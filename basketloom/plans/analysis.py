@@ -10,7 +10,7 @@ from basketloom.operators import personalization as pz
 from basketloom.operators.baskets import build_baskets, kiosk_anchor_queries
 from basketloom.operators.candidates import generate_candidates, select_top_k_candidates
 from basketloom.operators.cleaning import filter_active_kiosks
-from basketloom.operators.features import add_all_features, build_feature_table, sample_kiosks
+from basketloom.operators.features import feature_facts, feature_rows, sample_kiosks
 from basketloom.operators.ranker import Ranker, predict_scores
 from basketloom.operators.splits import split_orders_by_time
 from basketloom.schema import ROW_KEYS
@@ -32,8 +32,7 @@ def score_test_period(orders: DataFrame, products: DataFrame, commerces: DataFra
     queries = kiosk_anchor_queries(build_baskets(split.test))
     if n_kiosks > 0:
         queries = sample_kiosks(materialize(queries), n_kiosks)
-    rows = add_all_features(build_feature_table(None, topk, queries), orders=split.train, products=products,
-                            commerces=commerces, durable=True)
+    rows = feature_rows(queries, topk, feature_facts(split.train, products, commerces, durable=True))
     return materialize(predict_scores(rows, ranker).select(*ROW_KEYS, "cand_is_new", "pop_store", "score"))
 
 

@@ -19,7 +19,7 @@ from basketloom.operators.cleaning import (
     filter_blocked_products,
     inference_window,
 )
-from basketloom.operators.features import add_all_features, build_feature_table, sample_queries
+from basketloom.operators.features import feature_facts, feature_rows, sample_queries
 from basketloom.operators.ranker import Ranker, predict_scores
 from basketloom.schema import ROW_KEYS
 from basketloom.sources.files import read_commerces, read_products, unblocked, write_parquet
@@ -68,12 +68,11 @@ def build_catalog(orders: DataFrame, all_products: DataFrame, commerces: DataFra
     candidates = generate_candidates(baskets, params.min_cooc)
     topk = materialize(select_top_k_candidates(candidates, params.top_k_candidates, params.min_lift))
 
-    queries = None
+    queries = kiosk_anchor_queries(baskets)
     if params.query_sample_n > 0:
-        queries = sample_queries(materialize(kiosk_anchor_queries(baskets)), params.query_sample_n)
+        queries = sample_queries(materialize(queries), params.query_sample_n)
     products = unblocked(all_products)
-    rows = add_all_features(build_feature_table(baskets, topk, queries), orders=recent, products=products,
-                            commerces=commerces, durable=True)
+    rows = feature_rows(queries, topk, feature_facts(recent, products, commerces, durable=True))
     scored = materialize(predict_scores(rows, ranker).select(*ROW_KEYS, "score"))
 
     info = ct.product_info(products)

@@ -11,8 +11,8 @@ QUERY_KEYS = ["kiosk_id", "anchor_product_id"]
 PAIR_KEYS = ["anchor_product_id", "candidate_product_id"]
 ROW_KEYS = ["kiosk_id", "anchor_product_id", "candidate_product_id"]
 
+# Columns of the raw order files.
 RAW_ORDER_COLUMNS = ["documenttype", "orderid", "userid", "productid", "orderdt", "quantity"]
-ORDER_COLUMNS = ["order_id", "kiosk_id", "product_id", "order_dt", "quantity"]
 ORDER_KEY_COLUMNS = ["order_id", "kiosk_id", "product_id", "order_dt"]
 
 # Fixed value: stands for an absent category in model features.
@@ -21,12 +21,6 @@ MISSING_CATEGORY = "__MISSING__"
 # Numeric columns of the raw order files; every other column is text.
 RAW_ORDER_NUMBERS = ["quantity", "priceperunit", "tax", "discountperunit", "discountedpriceperunit"]
 
-CANDIDATE_SCHEMA = T.StructType(
-    [T.StructField(name, T.StringType()) for name in PAIR_KEYS]
-    + [T.StructField(name, T.LongType()) for name in ("cooc_count", "anchor_count", "candidate_count")]
-    + [T.StructField(name, T.DoubleType()) for name in ("support", "confidence", "lift", "cooc_cosine_sim")]
-)
-
 PRODUCT_TYPES = {"productid": T.StringType(), "name": T.StringType(), "category": T.StringType(),
                  "blocked": T.StringType()}
 COMMERCE_TYPES = {"userid": T.StringType(), "channel": T.StringType(), "region": T.StringType(),

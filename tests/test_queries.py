@@ -11,7 +11,8 @@ duckdb = pytest.importorskip("duckdb")
 
 SOME = ["sample_orders_head", "sample_orders_tail", "last_orders", "read_products", "read_commerces", "read_orders_csv",
         "null_ratios", "split_orders_by_rows", "split_orders_by_rows_radix", "pairwise_jaccard", "sampled_jaccard", "split_feature_label", "select_top_k_candidates",
-        "add_all_features", "label_pairs_window", "sample_negatives", "metrics_table", "quantity_captured_at_k",
+        "add_all_features", "feature_rows", "label_pairs_window", "label_pairs_window_busy", "label_pairs_same_order_large",
+        "pair_cooccurrence_shared", "shuffle_within_query", "sample_negatives", "metrics_table", "quantity_captured_at_k",
         "predict_scores", "ranker_save_load",
         "fixed_score_stats", "lambda_gradients", "anchor_fallback", "recommend_with_fallback", "baseline_overlap"]
 ORACLES = entry_points.oracle_sql()
