@@ -93,15 +93,14 @@ def blocks(text: bytes, length: int) -> dict[str, np.ndarray]:
     if not parts:
         return {}
     p, lo, hi, gram, hull = (np.concatenate(x) for x in zip(*parts, strict=True))
-    split = np.flatnonzero(p[1:] == p[:-1]) + 1  # a block that goes on in the next chunk
-    if len(split):
-        hi[split - 1] = hi[split]
-        keep = np.ones(len(p), bool)
-        keep[split] = False
-        for i in split.tolist():
-            piece = data[lo[i - 1] : hi[i - 1] + length]
-            hull[i - 1] = _hasher(0, len(piece)).of(_hasher(0, len(piece)).sums(piece), np.array([0]), np.array([len(piece)]))[0]
-        p, lo, hi, gram, hull = (x[keep] for x in (p, lo, hi, gram, hull))
+    # A block that goes on in the next chunk is one block.
+    start = np.flatnonzero(np.append(True, p[1:] != p[:-1]))
+    end = np.append(start[1:], len(p)) - 1
+    p, lo, hi, gram, hull = p[start], lo[start], hi[end], gram[start], hull[start]
+    for i in np.flatnonzero(end > start).tolist():
+        piece = data[lo[i] : hi[i] + length]
+        hashed = _hasher(0, len(piece))
+        hull[i] = hashed.of(hashed.sums(piece), np.array([0]), np.array([len(piece)]))[0]
     head = data[p[:, None] + np.arange(4)].astype(np.int64) @ np.array([1 << 24, 1 << 16, 1 << 8, 1])
     return {"p": p, "lo": lo, "hi": hi, "head": head, "gram": gram.view(np.int64), "hull": hull.view(np.int64)}
 
