@@ -29,7 +29,8 @@ def test_personalization(scored, spark):
     assert overlap["p25"] == pytest.approx(87.5)
     jaccard = pz.pairwise_jaccard(top, 2).first()
     assert jaccard["n_pairs"] == 3 and jaccard["mean_jaccard"] == pytest.approx((1 / 3 + 1 + 1 / 3) / 3)
-    assert pz.sampled_jaccard(top, 2).first() == jaccard and pz.sampled_jaccard(top, 2, max_pairs=2).first()["n_pairs"] == 2
+    assert pz.sampled_jaccard(top, 2).first()["mean_jaccard"] == pytest.approx(jaccard["mean_jaccard"])
+    assert pz.sampled_jaccard(top, 2, max_pairs=2).first()["n_pairs"] == 2
     assert ("k1", "x", 2) in rows_of(pz.kiosk_rec_sets(top))
     names = spark.createDataFrame([("x", "X", "c")], "productid string, name string, category string")
     examples = pz.example_recs(top, names, 2, n_kiosks=2)
