@@ -60,7 +60,7 @@ def main() -> None:
         "metric": "headline_total", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds,
         "sf": os.path.basename(folder.rstrip("/")), "whole_history_feature_rows": rows,
         "trees_scored": copies * model.best_iteration, "boosting_rounds": rounds,
-        "seconds_per_boosting_round": round(seconds["train_ranker"] / rounds, 3), "model_nodes": len(model.nodes),
+        "seconds_per_boosting_round_with_splits": round(seconds["train_ranker"] / rounds, 3), "model_nodes": len(model.nodes),
         "feature_rows_per_sec": round(rows / seconds["whole_history_catalog"])}))
 
 
