@@ -30,7 +30,8 @@ TEMPLATES = {
 }
 #: Least cosine of a line that counts as a notice.
 THRESHOLD = 0.8
-_TERM = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*").findall
+#: No term begins or ends inside a run of letters and digits.
+_TERM = re.compile(r"[a-z0-9]+(?:\.[0-9]+(?![a-z0-9]))*").findall
 
 
 def terms(line: str) -> list[str]:
@@ -40,15 +41,27 @@ def terms(line: str) -> list[str]:
 class Matcher:
     """Cosines of sparse TF-IDF vectors to the templates; only terms of the templates can add to a product."""
 
-    def __init__(self, templates: dict[str, str], idf: dict[str, float], unseen: float):
+    def __init__(self, templates: dict[str, str], idf: dict[str, float], unseen: float, threshold: float = THRESHOLD):
         self.unseen, self.idf = unseen, idf
         self.vectors: dict[str, dict[str, float]] = {}
         for term, name, weight in ((t, name, n * idf[t]) for name, text in sorted(templates.items()) for t, n in Counter(terms(text)).items()):
             self.vectors.setdefault(term, {})[name] = weight
         self.norms = {name: math.sqrt(sum(v.get(name, 0.0) ** 2 for v in self.vectors.values())) for name in templates}
-        # A line without any of a template's heaviest terms can't be near to it.
-        heavy = {t for text in templates.values() for t in sorted(terms(text), key=lambda t: (-idf[t], t))[:3]}
-        self.pattern = r"\b(?:" + "|".join(map(re.escape, sorted(heavy))) + r")\b" if heavy else r"(?!)"
+        heavy = set().union(*(self._telling(name, threshold) for name in templates))
+        self.pattern = f"(?<![a-z0-9])(?:{'|'.join(map(re.escape, sorted(heavy)))})(?![a-z0-9])" if heavy else r"(?!)"
+
+    def _telling(self, name: str, threshold: float) -> set[str]:
+        """The heaviest terms of a template, as many as it takes that a line with none of them stays below the threshold:
+        its cosine is at most the root of the other terms' share of the template's square."""
+        squares = {t: v[name] ** 2 for t, v in self.vectors.items() if name in v}
+        found, rest = set(), sum(squares.values())
+        bound = (threshold * threshold - 1e-9) * rest
+        for term in sorted(squares, key=lambda t: (-squares[t], t)):
+            if rest < bound:
+                break
+            found.add(term)
+            rest -= squares[term]
+        return found
 
     def best(self, line: str) -> tuple[float, str]:
         """Largest cosine and its template; the first by name of equal ones."""
@@ -63,7 +76,8 @@ class Matcher:
         return min(((-p / (math.sqrt(square) * self.norms[name]), name) for name, p in products.items()))
 
     def scan(self, text: str) -> tuple[float, str | None, int]:
-        """Cosine, template and number of the line nearest to a template; the first of equal lines."""
+        """Cosine, template and number of the line nearest to a template; the first of equal lines. Lines that can't reach the
+        threshold needn't be measured."""
         found: tuple[float, str | None, int] = (0.0, None, -1)
         telling = re.compile(self.pattern).search
         if not telling(text := text.lower()):
@@ -112,14 +126,15 @@ def scan_licenses(files: DataFrame, templates: dict[str, str] = TEMPLATES, thres
     ``own``: a line of the file is within ``threshold`` of a template. ``inherited``: it isn't, and the nearest
     directory at or above the file that holds a licence file (by name, with a license of its own) gives its license.
     Else license and how are null. Of several licence files in a directory the nearest to its template counts, then
-    the first template by name. Null texts have no line; files without a path inherit nothing. Repeated rows are
+    the first template by name. ``cosine`` is exact from the threshold on; below it, lines that can't reach it are not
+    measured, and 0 stands for a file that has no others. Null texts have no line; files without a path inherit nothing. Repeated rows are
     scanned each; an empty table gives no rows. IDF weights are counted over all files.
     """
     rows = files.select(files[id_col].alias("doc_id"), files[path_col].alias("path"), files[text_col].alias("text"))
     vocabulary = sorted({t for text in templates.values() for t in terms(text)})
     n, counts = document_frequencies(rows, vocabulary)
     idf = {t: math.log((1 + n) / (1 + counts.get(t, 0))) + 1 for t in vocabulary}
-    shared = rows.sparkSession.sparkContext.broadcast(Matcher(templates, idf, math.log(1 + n) + 1))
+    shared = rows.sparkSession.sparkContext.broadcast(Matcher(templates, idf, math.log(1 + n) + 1, threshold))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

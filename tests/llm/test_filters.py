@@ -166,3 +166,23 @@ def test_cosine_by_hand(spark):
     import math
     seen, unseen = math.log(3 / 2) + 1, math.log(3) + 1
     assert cosine == pytest.approx(5 * seen**2 / (math.sqrt(5 * seen**2 + unseen**2) * math.sqrt(5 * seen**2)))
+
+
+def test_no_line_near_a_template_is_passed_over():
+    rng, vocabulary = random.Random(12), sorted({t for x in licenses.TEMPLATES.values() for t in licenses.terms(x)})
+    idf = {t: rng.choice([1.0, 1.5, 6.0]) for t in vocabulary}
+    matcher, near = licenses.Matcher(licenses.TEMPLATES, idf, 8.0), 0
+    for _ in range(4000):
+        words = licenses.terms(rng.choice(list(licenses.TEMPLATES.values())))
+        line = "_".join(w for w in words if rng.random() < 0.8) + rng.choice(["", " other", "\u00e9"])
+        best = -matcher.best(line)[0]
+        if best >= licenses.THRESHOLD:
+            near += 1
+            assert matcher.scan(f"prose\n{line}\n")[::2] == (best, 1)
+        else:
+            assert matcher.scan(line)[0] <= best
+    assert 500 < near < 4000
+
+
+def test_terms_end_with_their_run_of_letters():
+    assert licenses.terms("GPL-2.0x v1.2.3, cc0 4.0.") == ["gpl", "2", "0x", "v1.2.3", "cc0", "4.0"]
