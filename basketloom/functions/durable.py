@@ -18,7 +18,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.partition("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{tempfile.gettempdir()}/checkpoints/{spark.sparkContext.applicationId}"
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketloom.functions.ranking import top_rows
@@ -16,26 +16,32 @@ def _basket_lines(orders: DataFrame) -> DataFrame:
     return orders.select(*BASKET_KEYS, "product_id").distinct()
 
 
-def build_baskets(orders: DataFrame, min_items: int = 2, max_items: int = 200) -> DataFrame:
-    """Sorted product arrays of the orders with ``min_items .. max_items`` distinct products.
+def _in_range(size: Column, min_items: int, max_items: int | None) -> Column:
+    return size >= min_items if max_items is None else size.between(min_items, max_items)
+
+
+def build_baskets(orders: DataFrame, min_items: int = 2, max_items: int | None = 200) -> DataFrame:
+    """Sorted product arrays of the orders with ``min_items .. max_items`` distinct products; None keeps orders of any size.
 
     Distinct lines are spread over three keys first, and at most
     ``max_items + 1`` of an order reach its array: one more than allowed is
     enough to drop an oversized order, so no array grows beyond that.
     """
-    lines = top_rows(_basket_lines(orders), BASKET_KEYS, [F.col("product_id")], max_items + 1)
+    lines = _basket_lines(orders)
+    if max_items is not None:
+        lines = top_rows(lines, BASKET_KEYS, [F.col("product_id")], max_items + 1)
     return (lines.groupBy(*BASKET_KEYS)
             .agg(F.sort_array(F.collect_list("product_id")).alias("products"))
-            .filter(F.size("products").between(min_items, max_items)))
+            .filter(_in_range(F.size("products"), min_items, max_items)))
 
 
-def basket_filter_counts(orders: DataFrame, min_items: int = 2, max_items: int = 200) -> DataFrame:
+def basket_filter_counts(orders: DataFrame, min_items: int = 2, max_items: int | None = 200) -> DataFrame:
     """One row: baskets before the size filter, too small, too large, kept."""
     sizes = _basket_lines(orders).groupBy(*BASKET_KEYS).agg(F.count("*").alias("n"))
     return sizes.agg(F.count("*").alias("total_before"),
                      F.count_if(F.col("n") < min_items).alias("too_small"),
-                     F.count_if(F.col("n") > max_items).alias("too_large"),
-                     F.count_if(F.col("n").between(min_items, max_items)).alias("kept"))
+                     F.count_if(F.lit(False) if max_items is None else F.col("n") > max_items).alias("too_large"),
+                     F.count_if(_in_range(F.col("n"), min_items, max_items)).alias("kept"))
 
 
 def basket_size_stats(baskets: DataFrame) -> DataFrame:

@@ -22,6 +22,9 @@ def test_basket_size_bounds(order_lines):
     assert kept["o200"] == sorted(kept["o200"])
     assert bk.basket_filter_counts(orders).first().asDict() == {
         "total_before": 4, "too_small": 1, "too_large": 1, "kept": 2}
+    assert sorted(len(r["products"]) for r in bk.build_baskets(orders, max_items=None).collect()) == [2, 200, 201]
+    assert bk.basket_filter_counts(orders, max_items=None).first().asDict() == {
+        "total_before": 4, "too_small": 1, "too_large": 0, "kept": 3}
 
 
 def test_basket_size_stats(order_lines):

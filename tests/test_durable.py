@@ -20,8 +20,9 @@ def test_folder_comes_from_the_session():
 def test_only_local_sessions_get_their_own_folder():
     own = session("local[2]")
     assert shared_folder(own) == shared_folder(own)
-    with pytest.raises(ValueError):
-        shared_folder(session("spark://x"))
+    for master in ("spark://x", "local-cluster[3,2,1024]"):
+        with pytest.raises(ValueError):
+            shared_folder(session(master))
 
 
 def test_written_tables_keep_rows_and_types(spark):
