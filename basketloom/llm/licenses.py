@@ -1,4 +1,5 @@
-"""License scan: TF-IDF cosine of lines to license templates, then inheritance from the nearest ancestor directory."""
+"""License scan: TF-IDF cosine of lines, windows and whole files to license templates, then inheritance from the nearest
+ancestor directory."""
 
 from __future__ import annotations
 
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketloom.llm.columns import written
+from basketloom.llm.license_forms import KEYS, Form, Windows, known_forms
 
 # The usual one-line notices of common licenses.
 TEMPLATES = {
@@ -31,11 +33,18 @@ TEMPLATES = {
 #: Least cosine of a line that counts as a notice.
 THRESHOLD = 0.8
 #: No term begins or ends inside a run of letters and digits.
-_TERM = re.compile(r"[a-z0-9]+(?:\.[0-9]+(?![a-z0-9]))*").findall
+_TERM = re.compile(r"[a-z0-9]+(?:\.[0-9]+(?![a-z0-9]))*")
 
 
 def terms(line: str) -> list[str]:
-    return _TERM(line.lower())
+    return _TERM.findall(line.lower())
+
+
+def window_forms(templates: dict[str, str]) -> list[Form]:
+    """The one-line notices, which may stand inside a longer line or be wrapped; with the fixed templates also titles,
+    headers, SPDX tags and full texts."""
+    own = [Form(name, text, frozenset(t for t in terms(text) if t in KEYS.get(name, "").split()), notice=True) for name, text in sorted(templates.items())]
+    return own + (known_forms(terms) if templates == TEMPLATES else [])
 
 
 class Matcher:
@@ -123,22 +132,32 @@ def scan_licenses(files: DataFrame, templates: dict[str, str] = TEMPLATES, thres
                   path_col: str = "path", text_col: str = "text", license_name: str = r"(?i)^(licen[cs]e|copying|notice)") -> DataFrame:
     """(doc_id, path, license, how, cosine, line, from_dir) for every file.
 
-    ``own``: a line of the file is within ``threshold`` of a template. ``inherited``: it isn't, and the nearest
-    directory at or above the file that holds a licence file (by name, with a license of its own) gives its license.
+    ``own``: a line of the file is within ``threshold`` of a one-line notice, or a window of its terms (across lines, as
+    long as the template) is near a title, header or full text, or, where no line is, near a notice. The nearest counts, of
+    equal ones the longest template. ``inherited``: none is, and the nearest directory at or above the file that holds a licence file (by name, with a license of its own) gives its license.
     Else license and how are null. Of several licence files in a directory the nearest to its template counts, then
-    the first template by name. ``cosine`` is exact from the threshold on; below it, lines that can't reach it are not
+    the first template by name. ``line`` is where the notice or window begins. ``cosine`` is exact from the threshold on; below it, lines that can't reach it are not
     measured, and 0 stands for a file that has no others. Null texts have no line; files without a path inherit nothing. Repeated rows are
     scanned each; an empty table gives no rows. IDF weights are counted over all files.
     """
     rows = files.select(files[id_col].alias("doc_id"), files[path_col].alias("path"), files[text_col].alias("text"))
-    vocabulary = sorted({t for text in templates.values() for t in terms(text)})
+    forms = window_forms(templates)
+    vocabulary = sorted({t for text in (*templates.values(), *(f.text for f in forms)) for t in terms(text)})
     n, counts = document_frequencies(rows, vocabulary)
     idf = {t: math.log((1 + n) / (1 + counts.get(t, 0))) + 1 for t in vocabulary}
-    shared = rows.sparkSession.sparkContext.broadcast(Matcher(templates, idf, math.log(1 + n) + 1, threshold))
+    unseen = math.log(1 + n) + 1
+    shared = rows.sparkSession.sparkContext.broadcast((Matcher(templates, idf, unseen, threshold), Windows(forms, terms, idf, unseen, threshold)))
+
+    def nearest_of(text: str) -> tuple[float, str | None, int]:
+        matcher, windows = shared.value
+        line = matcher.scan(text)
+        window = windows.scan(text, _TERM.finditer, with_notices=line[0] < threshold)
+        # Equal cosines: all windows that meet a line near a template are of longer templates.
+        return window if window[1] is not None and round(window[0], 9) >= round(line[0], 9) else line
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shared.value.scan(t or "") for t in batch.column(2).to_pylist()]
+            found = [nearest_of(t or "") for t in batch.column(2).to_pylist()]
             columns = [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.float64(), pa.string(), pa.int32()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "path", "cosine", "name", "line"])
 

@@ -186,3 +186,82 @@ def test_no_line_near_a_template_is_passed_over():
 
 def test_terms_end_with_their_run_of_letters():
     assert licenses.terms("GPL-2.0x v1.2.3, cc0 4.0.") == ["gpl", "2", "0x", "v1.2.3", "cc0", "4.0"]
+
+
+MIT_TEXT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+APACHE_HEADER = ('Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
+                 "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0")
+LGPL_WRAPPED = """# Foo is free software: you can redistribute it and/or modify
+# it under the terms of the GNU Lesser General Public License
+# as published by the Free Software Foundation, either version 3 of
+# the License, or (at your option) any later version."""
+
+
+def test_license_files_titles_headers_and_notices_in_long_lines(spark):
+    """Whole licence files without a one-line notice, wrapped headers, titles over two lines, tags, notices inside a line."""
+    folder = licenses.__file__.rpartition("/")[0] + "/license_texts/"
+    gpl, apache = (open(f"{folder}{name}.txt").read() for name in ("GPL-3.0", "Apache-2.0"))
+    cases = {
+        "mit/LICENSE": ("Copyright (c) 2020 Foo\n\n" + MIT_TEXT, "MIT"), "gpl/COPYING": (gpl, "GPL-3.0"), "apache/LICENSE": (apache, "Apache-2.0"),
+        "t/1": ("MIT License", "MIT"), "t/2": ("The MIT License (MIT)\n\nCopyright Foo", "MIT"),
+        "t/3": ("   GNU GENERAL PUBLIC LICENSE\n      Version 3, 29 June 2007\n" + prose(5), "GPL-3.0"), "t/4": ("Apache License\nVersion 2.0, January 2004", "Apache-2.0"),
+        "t/5": ("// SPDX-License-Identifier: Apache-2.0\nint x;", "Apache-2.0"), "t/6": ("SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0"),
+        "t/7": (prose(6) + "\n" + APACHE_HEADER + " " + prose(7), "Apache-2.0"), "t/8": (LGPL_WRAPPED + "\n" + prose(8), "LGPL-3.0"),
+        "t/9": (prose(9) + " Copyright 2020 Foo Inc. Released under the MIT License. " + prose(10), "MIT"),
+        "t/10": ("Released under\nthe MIT\nLicense.", "MIT"), "t/11": ("/* " + MIT_TEXT.replace("\n", "\n * ") + " */\n" + prose(11, 900), "MIT"),
+        "n/1": ("a word on the MIT license of old", None), "n/2": ("SPDX-License-Identifier: ISC", None), "n/3": (prose(12, 2000), None)}
+    inside = {"mit/src/a.c": "MIT", "gpl/x/y/b.c": "GPL-3.0", "apache/c.c": "Apache-2.0"}
+    rows = [(i, path, text) for i, (path, text) in enumerate([*((p, t) for p, (t, _) in cases.items()), *((p, "int main() {}") for p in inside)])]
+    rows += [(1000 + i, None, prose(500 + i)) for i in range(60)]
+    got = {r["path"]: (r["license"], r["how"]) for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
+    got.pop(None)
+    want = {p: (name, name and "own") for p, (_, name) in cases.items()} | {p: (name, "inherited") for p, name in inside.items()}
+    assert got == want
+
+
+def test_window_cosines_by_hand():
+    """Against every window counted by itself."""
+    from basketloom.llm.license_forms import Form, Windows
+
+    rng, words = random.Random(3), "a b c d e x y z".split()
+    forms = [Form("one", "a b c"), Form("two", "a a d e b", keys=frozenset("d")), Form("three", "c d", aligned=True)]
+    idf = dict(zip("abcde", [1.0, 2.5, 1.5, 3.0, 1.2], strict=True))
+    scanner = Windows(forms, licenses.terms, idf, 4.0, 0.8)
+
+    def cosine(window, form):
+        p, q = ({t: n * idf.get(t, 4.0) for t, n in Counter(x).items()} for x in (window, licenses.terms(form)))
+        return sum(p[t] * q.get(t, 0) for t in p) / (sum(x * x for x in p.values()) * sum(x * x for x in q.values())) ** 0.5
+
+    hits = 0
+    for _ in range(600):
+        lines = [[rng.choice(words) for _ in range(rng.randint(1, 5))] for _ in range(rng.randint(1, 6))]
+        flat = [(w, i, k == 0, k == len(x) - 1) for i, x in enumerate(lines) for k, w in enumerate(x)]
+        best = 0.0
+        for f in forms:
+            size = min(len(licenses.terms(f.text)), len(flat))
+            for at in range(len(flat) - size + 1):
+                part = flat[at : at + size]
+                c = cosine([w for w, *_ in part], f.text)
+                fits = f.keys <= {w for w, *_ in part} and (not f.aligned or (part[0][2] and part[-1][3] and c >= 0.9))
+                if fits and c >= 0.8:
+                    best = max(best, c)
+        got = scanner.scan("\n".join(map(" ".join, lines)), licenses._TERM.finditer, True)
+        assert got[0] == pytest.approx(best)
+        hits += best > 0
+    assert 100 < hits < 600
