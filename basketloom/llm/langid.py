@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +25,10 @@ CLASSES = 48
 ORDER = 3
 #: Training texts per language at most, chosen by the hash of their id.
 MAX_TRAIN_DOCS = 2000
-#: Languages at most; the table has CLASSES**(ORDER + 1) entries of four bytes for each (21 MB).
-MAX_LANGS = 8
+#: Languages of one table; it has CLASSES**(ORDER + 1) entries of four bytes for each (21 MB). More languages take turns.
+BLOCK_LANGS = 8
+#: Bytes of texts, and code lengths, that are held while the tables of more languages than that take turns.
+GROUP_BYTES = 1 << 26
 #: Bytes of text that are scored at once.
 SLICE = 1 << 20
 UNKNOWN = "und"
@@ -40,11 +43,12 @@ class ContextTrees:
     codes: list[np.ndarray]
     counts: list[np.ndarray]
 
-    def table(self) -> np.ndarray:
-        """Bits of each byte class after each context, (context and byte, language)."""
-        out = np.empty((CLASSES ** (ORDER + 1), len(self.langs)), np.float32)
+    def table(self, begin: int = 0, end: int | None = None) -> np.ndarray:
+        """Bits of each byte class after each context, (context and byte, language), of the languages from ``begin`` to ``end``."""
+        own = list(zip(self.codes, self.counts, strict=True))[begin:end]
+        out = np.empty((CLASSES ** (ORDER + 1), len(own)), np.float32)
         others = np.count_nonzero(self.classes == CLASSES - 1)
-        for lang, (codes, counts) in enumerate(zip(self.codes, self.counts, strict=True)):
+        for lang, (codes, counts) in enumerate(own):
             # The last class shares its code among its bytes.
             below = np.full((1, CLASSES), 8.0, np.float32)
             below[0, -1] -= np.log2(max(1, others))
@@ -80,18 +84,19 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
           max_docs: int = MAX_TRAIN_DOCS) -> ContextTrees:
     """Context trees from rows with a language and a text whose crc32 of the id modulo 3 isn't 1.
 
-    A language with more rows than ``max_docs`` gives about so many, by the hash of the id; their texts are whole.
+    A language with more rows than ``max_docs`` gives about so many, by the hash of the id; their texts are whole. Every
+    value of the language column is a language, however many there are.
     """
     spark = docs.sparkSession
     rows = _rows(docs, id_col, text_col, lang_col).where("not held_out and lang is not null and text is not null")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGS + 1).collect()}
-    if len(sizes) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     langs = sorted(sizes)
     if not langs:
         return ContextTrees([], np.zeros(256, np.int32), [], [])
-    share = F.create_map(*[F.lit(x) for lang in langs for x in (lang, min(1.0, max_docs / sizes[lang]))])
-    chosen = rows.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
+    # Only languages with too many rows need their share.
+    large = [F.lit(x) for lang in langs if sizes[lang] > max_docs for x in (lang, max_docs / sizes[lang])]
+    share = F.coalesce(F.create_map(*large)[F.col("lang")], F.lit(1.0)) if large else F.lit(1.0)
+    chosen = rows.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000)) < share * 1_000_000)
     chosen = chosen.select("lang", F.col("text").cast("binary").alias("text"))
 
     def count_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,12 +126,54 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     # At most CLASSES**(ORDER + 1) rows for each language, whatever the input.
     found = chosen.mapInArrow(count_codes, "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     table = found.toArrow()
-    lang = np.array(table.column("lang").to_pylist(), dtype=object)
+    place = pc.index_in(table.column("lang"), pa.array(langs, pa.string())).to_numpy()
     code, n = table.column("code").to_numpy(), table.column("n").to_numpy()
-    return ContextTrees(langs, classes, [code[lang == x] for x in langs], [n[lang == x].astype(np.float64) for x in langs])
-
-
-_tables: dict[int, np.ndarray] = {}
+    order = np.argsort(place, kind="stable")
+    cuts = np.searchsorted(place[order], np.arange(1, len(langs)))
+    return ContextTrees(langs, classes, np.split(code[order], cuts), np.split(n[order].astype(np.float64), cuts))
+
+
+#: The last table of this worker.
+_tables: dict[tuple[int, int], np.ndarray] = {}
+
+
+def _table(known: ContextTrees, begin: int) -> np.ndarray:
+    key = (id(known), begin)
+    if key not in _tables:
+        _tables.clear()
+        _tables[key] = known.table(begin, begin + BLOCK_LANGS)
+    return _tables[key]
+
+
+def _code_lengths(texts: list[bytes], known: ContextTrees) -> np.ndarray:
+    """Bits of each text in each language, (text, language)."""
+    bits = np.zeros((len(texts), len(known.langs)))
+    begins = range(0, len(known.langs), BLOCK_LANGS)
+    # First the block whose table is there.
+    for begin in sorted(begins, key=lambda b: (id(known), b) not in _tables):
+        table = _table(known, begin)
+        for row, text in zip(bits, texts, strict=True):
+            for i in range(0, len(text), SLICE):
+                codes = _bytes_and_codes(text[max(0, i - ORDER) : i + SLICE], known.classes)[min(i, ORDER) :]
+                row[begin : begin + BLOCK_LANGS] += np.ones(len(codes), np.float32) @ table.take(codes, axis=0)
+    return bits
+
+
+def _groups(batches: Iterator[pa.RecordBatch], known: ContextTrees) -> Iterator[pa.RecordBatch]:
+    """The batches; with several tables, joined to groups of about ``GROUP_BYTES``, so that each table is made once a group."""
+    if len(known.langs) <= BLOCK_LANGS:
+        yield from batches
+        return
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes + 8 * batch.num_rows * len(known.langs)
+        if size >= GROUP_BYTES:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
 def predict(docs: DataFrame, trees: ContextTrees, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -134,27 +181,24 @@ def predict(docs: DataFrame, trees: ContextTrees, id_col: str = "doc_id", text_c
     probability of the text, and its code length.
 
     Texts that are null or have no letter are ``und`` with score 0 and no bits, as are all texts without a trained
-    language. Of equal code lengths the first language by name wins. Repeated rows are predicted each; an empty
+    language. Of equal code lengths the first language by name wins. Each table covers ``BLOCK_LANGS`` languages;
+    more languages take turns over groups of texts, so a worker holds one table at a time. Repeated rows are predicted each; an empty
     table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(trees)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        if id(known) not in _tables:
-            _tables.clear()
-            _tables[id(known)] = known.table()
-        table = _tables[id(known)]
-        for batch in batches:
+        for batch in _groups(batches, known):
+            texts = [text if lettered and known.langs else None
+                     for text, lettered in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            rows = iter(_code_lengths([t for t in texts if t is not None], known))
             langs, scores, lengths = [], [], []
-            for text, lettered in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                if not lettered or not known.langs:
+            for text in texts:
+                if text is None:
                     langs, scores, lengths = [*langs, UNKNOWN], [*scores, 0.0], [*lengths, None]
                     continue
-                bits = np.zeros(len(known.langs))
-                for i in range(0, len(text), SLICE):
-                    codes = _bytes_and_codes(text[max(0, i - ORDER) : i + SLICE], known.classes)[min(i, ORDER) :]
-                    bits += np.ones(len(codes), np.float32) @ table.take(codes, axis=0)
+                bits = next(rows)
                 best = int(bits.argmin())
                 langs.append(known.langs[best])
                 scores.append(float(1 / np.exp2(np.maximum(bits[best] - bits, -1000)).sum()))

@@ -42,6 +42,32 @@ def test_held_out_languages_are_never_learned(make_docs):
     assert trees.langs == ["de", "en", "fr"]
 
 
+def test_any_number_of_languages(make_docs, monkeypatch):
+    """Nineteen languages, with groups of few texts, and the same results with one table for all of them."""
+    rng, letters = random.Random(4), "abcdefghijklmnopqrst"
+    rows = [(i, " ".join(letters[i % 19] * 2 + letters[i % 19 + 1] + rng.choice(["e", "o", "u"]) for _ in range(12)), f"l{i % 19:02}") for i in range(380)]
+    docs = make_docs([*rows, (900, None, "l01"), (901, "12", None)])
+    trees = langid.train(docs)
+    assert len(trees.langs) == 19
+    got = {r["doc_id"]: r for r in langid.predict(docs, trees).collect()}
+    held = [r for r in rows if rest(r[0], 3) == 1]
+    assert len(held) > 80 and all(got[i]["lang_pred"] == lang for i, _, lang in held)
+    assert got[900]["lang_pred"] == got[901]["lang_pred"] == "und" and len(got) == len(rows) + 2
+    texts = [t.encode() for _, t, _ in rows]
+    blocks = langid._code_lengths(texts, trees)
+    monkeypatch.setattr(langid, "BLOCK_LANGS", 32)
+    langid._tables.clear()
+    whole = langid._code_lengths(texts, trees)
+    langid._tables.clear()
+    assert blocks == pytest.approx(whole, rel=1e-6)
+    monkeypatch.setattr(langid, "BLOCK_LANGS", 8)
+    monkeypatch.setattr(langid, "GROUP_BYTES", 500)
+    import pyarrow as pa
+    batches = [pa.RecordBatch.from_arrays([pa.array([i]), pa.array([t])], ["i", "t"]) for i, t in enumerate(texts)]
+    grouped = list(langid._groups(iter(batches), trees))
+    assert 1 < len(grouped) < len(batches) and [x for b in grouped for x in b.column(0).to_pylist()] == list(range(len(texts)))
+
+
 def test_code_length_by_hand(monkeypatch):
     """Method C by hand on the training text abab, order by order."""
     classes = np.full(256, langid.CLASSES - 1, np.int32)
