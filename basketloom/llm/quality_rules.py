@@ -35,7 +35,7 @@ class QualityParams:
     max_repeat_percent: int = 50
     max_class_distance: float = 0.125
     min_class_chars: int = 200
-    max_word_distance: float = 0.34
+    max_word_distance: float = 0.275
     min_histogram_words: int = 100
     max_reference_symbol_percent: int = 1
 

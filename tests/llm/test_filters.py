@@ -265,3 +265,18 @@ def test_window_cosines_by_hand():
         assert got[0] == pytest.approx(best)
         hits += best > 0
     assert 100 < hits < 600
+
+
+def plain(rng, n, common):
+    made = ["".join(rng.choice("bcdfglmnrst") + rng.choice("aeiou") for _ in range(rng.randint(2, 4))) for _ in range(400)]
+    return " ".join(rng.choice(quality_rules.COMMON_WORDS["en"]) if rng.random() < common else rng.choice(made) for _ in range(n))
+
+
+def test_texts_without_common_words_go(make_docs):
+    """About a sixth of the words of the clean texts are common ones, as in the given tables."""
+    rng = random.Random(21)
+    clean = [(i, plain(rng, 300, 0.16)) for i in range(60)]
+    bare = [(100 + i, plain(rng, n, 0)) for i, n in enumerate((100, 150, 400))]
+    got = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in quality_rules.quality_rules(make_docs([*clean, *bare])).collect()}
+    assert not any(failed for failed, _ in got.values())
+    assert all(got[i][1] for i, _ in clean) and not any(got[i][1] for i, _ in bare)
