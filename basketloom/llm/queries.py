@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketloom.llm import bpe, decontaminate, langid, lattice_lm, licenses, mil_quality, quality_rules, simhash, suffix_dedup, url_filter
+from basketloom.llm import bpe, decontaminate, langid, lattice_lm, licenses, mil_quality, quality_rules, runs, simhash, suffix_dedup, url_filter
 from basketloom.llm.columns import remainder
 
 #: Fixed values of the contract: verdict and host/path of each URL rule.
@@ -92,7 +92,19 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.word_runs(table(spark, folder, "documents"), change=runs.looped)
+    # Longest, then first, then of the smallest period.
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    lines = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.sha2(lines, 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256")).select(
+        "doc_id", "n_runs", (-F.col("best.s")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.p")).alias("period"),
+        F.expr("1000 * best.length div -best.p").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_simhash_near_dedup, op2_quality_rules, op3_suffix_dedup, op4_decontaminate, op5_license_scan,
-        op6_language_id, op7_lattice_lm, op8_mil_quality, op9_byte_bpe, op10_url_filter)}
+        op6_language_id, op7_lattice_lm, op8_mil_quality, op9_byte_bpe, op10_url_filter, op13_periodic_runs)}
