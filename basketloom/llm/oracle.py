@@ -42,7 +42,7 @@ def _distance(counts: str, reference: str) -> str:
 
 def _quality_rules() -> str:
     p = QualityParams()
-    white = "[\\x20\\x09-\\x0D]"
+    white = "[\x20\x09-\x0D]"
     blanks = " || ".join(f"chr({ord(c)})" for c in BLANKS)
     bins = ", ".join(f"len(list_filter(words, lambda w: w = '{c}'))" for c in BINS)
     other = f"len(list_filter(words, lambda w: w NOT IN ({', '.join(repr(c) for c in BINS)})))"
@@ -57,7 +57,7 @@ def _quality_rules() -> str:
 WITH texts AS (SELECT doc_id, lang, coalesce(text, '') AS text FROM documents),
 split AS (
   SELECT *, CASE WHEN trim(text, {blanks}) = '' THEN [] ELSE string_split_regex(trim(text, {blanks}), '{white}+') END AS words,
-         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM texts),
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM texts),
 windows AS (
   SELECT doc_id, p, words[p] || ' ' || words[p + 1] || ' ' || words[p + 2] AS k
   FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS p FROM split)),
@@ -90,5 +90,37 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND NOT odd_classes AND NOT odd_words AS kept FROM judged"""
 
 
+def _collocations() -> str:
+    return r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+cut AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+parts AS (
+  SELECT lang, m, unnest([array_to_string(ws[i : i + m - 1], ' ') FOR i IN range(1, len(ws) - m + 2)]) AS phrase
+  FROM cut, range(1, 5) AS sizes(m) WHERE len(ws) >= m),
+counted AS (SELECT lang, phrase, any_value(m) AS m, count(*) AS f FROM parts GROUP BY lang, phrase),
+often AS (SELECT lang, phrase, m, f, string_split(phrase, ' ') AS ws FROM counted WHERE f >= 30),
+sides AS (
+  SELECT lang, phrase, f AS a, k, array_to_string(ws[1 : k], ' ') AS before, array_to_string(ws[k + 1 :], ' ') AS after
+  FROM often, range(1, 4) AS places(k) WHERE m > k),
+cuts AS (
+  SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, 2000000::HUGEINT * a // (x.f + y.f) AS score
+  FROM sides c JOIN often x ON x.lang = c.lang AND x.phrase = before JOIN often y ON y.lang = c.lang AND y.phrase = after),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT o.lang, array_to_string(o.ws[i : i + s - 1], ' ') AS phrase, max(o.f) AS longer
+  FROM often o, range(2, 4) AS sizes(s), range(1, 4) AS places(i)
+  WHERE s < o.m AND i + s - 1 <= o.m GROUP BY ALL),
+sizes AS (SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE m = 1 GROUP BY lang),
+ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+  FROM scored s LEFT JOIN inside i ON i.lang = s.lang AND i.phrase = s.phrase
+  WHERE i.longer IS NULL OR 100::HUGEINT * i.longer < 80::HUGEINT * a)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op2_quality_rules": _quality_rules(), "op10_url_filter": _url_filter()}
+    return {"op2_quality_rules": _quality_rules(), "op10_url_filter": _url_filter(), "op11_collocations": _collocations()}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketloom.llm import bpe, decontaminate, fast_minhash, langid, lattice_lm, licenses, mil_quality, quality_rules, runs, simhash, suffix_dedup, url_filter
+from basketloom.llm import bpe, collocations, decontaminate, fast_minhash, langid, lattice_lm, licenses, mil_quality, quality_rules, runs, simhash, suffix_dedup, url_filter
 from basketloom.llm.columns import remainder
 
 #: Fixed values of the contract: verdict and host/path of each URL rule.
@@ -92,6 +92,10 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"), least=30, longest=4, top=2000)
+
+
 def op12_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return fast_minhash.near_duplicates(table(spark, folder, "documents"), shingle=4, percent=80)
 
@@ -111,4 +115,4 @@ def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_simhash_near_dedup, op2_quality_rules, op3_suffix_dedup, op4_decontaminate, op5_license_scan,
-        op6_language_id, op7_lattice_lm, op8_mil_quality, op9_byte_bpe, op10_url_filter, op12_minhash_near_dedup, op13_periodic_runs)}
+        op6_language_id, op7_lattice_lm, op8_mil_quality, op9_byte_bpe, op10_url_filter, op11_collocations, op12_minhash_near_dedup, op13_periodic_runs)}
