@@ -33,8 +33,8 @@ SIZE = 512
 #: The first coordinates make the bands. A pair at a similarity of 0.8 shares no bucket with probability (1 - 0.8^4)^32, 5 in 100 million.
 ROWS, BANDS = 4, 32
 #: Standard deviations below the mean of the equal coordinates of a pair at the threshold from which pairs are not
-#: compared by their full sets; so few are equal once in 10^9 such pairs.
-DEVIATIONS = 6
+#: compared by their full sets; so few are equal in 3 of 10 million such pairs.
+DEVIATIONS = 5
 #: Members of a block in the comparison of sketches.
 BLOCK = 512
 #: Words whose hashes a worker remembers.
