@@ -9,8 +9,9 @@ of a text is the sum of its entries.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,8 @@ class ContextTrees:
     classes: np.ndarray
     codes: list[np.ndarray]
     counts: list[np.ndarray]
+    #: Tells the tables of several models in one worker apart.
+    name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def table(self, begin: int = 0, end: int | None = None) -> np.ndarray:
         """Bits of each byte class after each context, (context and byte, language), of the languages from ``begin`` to ``end``."""
@@ -134,11 +137,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 
 #: The last table of this worker.
-_tables: dict[tuple[int, int], np.ndarray] = {}
+_tables: dict[tuple[str, int], np.ndarray] = {}
 
 
 def _table(known: ContextTrees, begin: int) -> np.ndarray:
-    key = (id(known), begin)
+    key = (known.name, begin)
     if key not in _tables:
         _tables.clear()
         _tables[key] = known.table(begin, begin + BLOCK_LANGS)
@@ -150,7 +153,7 @@ def _code_lengths(texts: list[bytes], known: ContextTrees) -> np.ndarray:
     bits = np.zeros((len(texts), len(known.langs)))
     begins = range(0, len(known.langs), BLOCK_LANGS)
     # First the block whose table is there.
-    for begin in sorted(begins, key=lambda b: (id(known), b) not in _tables):
+    for begin in sorted(begins, key=lambda b: (known.name, b) not in _tables):
         table = _table(known, begin)
         for row, text in zip(bits, texts, strict=True):
             for i in range(0, len(text), SLICE):

@@ -22,7 +22,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, distance=3)
+    found = simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, distance=3)
+    return found.select("doc_id", "fingerprint", "component_id")
 
 
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:

@@ -49,15 +49,15 @@ def text_fingerprint(text: bytes | None, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) with the fingerprint's 64 bits as a long."""
+    """(doc_id, fp, text_hash) with the fingerprint's 64 bits as a long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([text_fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64)), batch.column(2)], ["doc_id", "fp", "text_hash"])
 
-    rows = id_and_bytes(docs)
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
+    rows = id_and_bytes(docs).withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(b""))))
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long, text_hash long")
 
 
 def _bucket_rows(prints: DataFrame, radius: int) -> DataFrame:
@@ -169,16 +169,19 @@ def links(prints: DataFrame, distance: int = 3, leaf: int = LEAF) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, leaf: int = LEAF) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every document.
+    """(doc_id, fingerprint, component_id, text_hash, group) for every row.
 
-    ``fingerprint``: 16 lowercase hex digits; ``component_id``: the smallest doc_id reachable over links.
-    A null or wordless text has fingerprint zero and is linked like any other. Fewer words than ``shingle`` make
-    one shingle. Repeated ids give repeated rows; rows without an id are left out; an empty table gives no
+    ``fingerprint``: 16 lowercase hex digits; ``component_id``: the smallest doc_id reachable over links; ``text_hash``: xxhash64 of
+    the text, an empty one for null; ``group``: a number of the component. A null or wordless text has fingerprint zero and is
+    linked like any other. Fewer words than ``shingle`` make one shingle. Rows of one id are linked each by its own text;
+    rows without an id are linked, too, and a component of such rows only has a null component_id; an empty table gives no
     rows. Exact copies and equal fingerprints meet in one row before any pair is formed.
     """
-    each = written(fingerprints(docs.where(docs["doc_id"].isNotNull()), shingle))
-    distinct = written(each.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    found = components(links(distinct, distance, leaf))
-    named = distinct.join(found, distinct["rep"] == found["id"], "left").select(
-        "fp", F.coalesce("component", "rep").alias("component_id"))
-    return each.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    each = written(fingerprints(docs, shingle))
+    # Fingerprints are the vertices, so that rows of one id are linked by their own texts only.
+    distinct = written(each.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    found = components(links(distinct.select("fp", F.col("fp").alias("rep")), distance, leaf))
+    named = distinct.join(found, distinct["fp"] == found["id"], "left").select("fp", "least", F.coalesce("component", "fp").alias("group"))
+    smallest = named.groupBy("group").agg(F.min("least").alias("component_id"))
+    named = written(named.join(smallest, "group").select("fp", "group", "component_id"))
+    return each.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "text_hash", "group")

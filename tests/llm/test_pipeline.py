@@ -31,7 +31,7 @@ def test_pipeline_against_its_parts_by_brute_force(spark, make_docs, messy_rows,
     left = {r[0]: r[1] for r in rows if r[0] in kept and r[0] is not None}
     groups = brute_components({i: brute_fingerprint(t) for i, t in left.items()}, 3)
     left = {i: t for i, t in left.items() if groups[i] == i}
-    left = dict(zip(left, (k.decode() for k, _ in brute(list(left.values()), 400)), strict=True))
+    left = dict(zip(left, (k.decode() for k, _ in brute(list(left.values()), corpus_pipeline.REPEAT)), strict=True))
     normal = {i: decontaminate.normal(t.encode()) for i, t in left.items()}
     left = {i: t for i, t in left.items() if decontaminate.normal(item.encode())[:96] not in normal[i]}
     tokens = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -50,3 +50,16 @@ def test_stages_keep_the_columns(spark, make_docs, messy_rows, tmp_path):
         out = stage(spark, docs, str(tmp_path))
         assert out.dtypes == docs.dtypes, name
         assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0, name
+
+
+def test_near_dedup_keeps_distinct_texts_whatever_their_ids(spark, make_docs):
+    rows = [(1, prose(1)), (1, prose(2)), (1, prose(2)), (None, prose(3)), (None, prose(3)), (2, prose(4)), (3, prose(4)), (None, prose(4))]
+    docs = make_docs(rows).select("doc_id", "text", "lang", "source", "n_chars")
+    got = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.near_dedup(spark, docs, "").collect()), key=repr)
+    assert got == sorted([(1, prose(1)), (1, prose(2)), (None, prose(3)), (2, prose(4))], key=repr)
+
+
+def test_passages_of_over_fifty_words_go(spark, make_docs):
+    shared = prose(901, 55)
+    docs = make_docs([(i, f"{prose(i, 60)} {shared} {prose(i + 50, 60)}") for i in range(3)]).select("doc_id", "text", "lang", "source", "n_chars")
+    assert not any(shared[5:-5] in r["text"] for r in corpus_pipeline.long_repeats(spark, docs, "").collect())

@@ -191,3 +191,13 @@ def test_quality_is_learned_from_documents(spark, make_docs, messy_rows):
     assert mil_quality.score(docs.limit(0), model).count() == 0
     assert mil_quality.train(docs, known.limit(0)) is None
     assert {r["score"] for r in mil_quality.score(docs, None).collect()} == {0.5}
+
+
+def test_models_of_one_session_are_told_apart(spark, make_docs):
+    """Twelve models with labels of their own; a worker that keeps a table must not use it for another model."""
+    kinds = ["aa bb aab abba", "xy yx xxy yyx", "mn nm mmn nnm", "pq qp ppq qqp"]
+    for turn in range(12):
+        rows = [(i, f"{kinds[i % 4]} {kinds[i % 4]} {i}", f"l{(i + turn) % 4}") for i in range(80)]
+        docs = make_docs(rows)
+        got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(docs, langid.train(docs)).collect()}
+        assert got == {i: lang for i, _, lang in rows}, turn

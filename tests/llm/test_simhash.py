@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from basketloom.llm import simhash
+from tests.llm.conftest import prose
 
 
 def brute_fingerprint(text, size=3):
@@ -33,16 +34,22 @@ def brute_components(prints, distance):
 
 
 def test_whole_operator_against_brute_force(make_docs, messy_rows):
-    got = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in simhash.near_duplicates(make_docs(messy_rows)).collect()}
-    prints = {r[0]: brute_fingerprint(r[1]) for r in messy_rows if r[0] is not None}
-    groups = brute_components(prints, 3)
-    assert got == {i: (f"{p:016x}", groups[i]) for i, p in prints.items()}
-    assert got[1] == got[2] == got[3] == ("0" * 16, 1) and got[5] == got[6]
+    rows = [*messy_rows, (8, prose(77)), (None, prose(78)), (None, messy_rows[4][1])]
+    got = sorted((tuple(r)[:3] for r in simhash.near_duplicates(make_docs(rows)).collect()), key=repr)
+    prints = [brute_fingerprint(r[1]) for r in rows]
+    groups = brute_components(dict(enumerate(prints)), 3)
+    least = {}
+    for i, r in enumerate(rows):
+        if r[0] is not None:
+            least[groups[i]] = min(r[0], least.get(groups[i], r[0]))
+    want = [(r[0], f"{p:016x}", least.get(groups[i])) for i, (r, p) in enumerate(zip(rows, prints, strict=True))]
+    assert got == sorted(want, key=repr) and got.count((1, "0" * 16, 1)) == 1
+    assert (None, f"{prints[-2]:016x}", None) in got and (None, f"{prints[4]:016x}", 5) in got
 
 
 def test_repeated_rows_stay_rows_and_empty_tables_are_empty(make_docs, messy_rows):
     out = simhash.near_duplicates(make_docs(messy_rows))
-    assert out.where("doc_id = 8").count() == 2 and out.where("doc_id is null").count() == 0
+    assert out.where("doc_id = 8").count() == 2 and out.count() == len(messy_rows)
     assert simhash.near_duplicates(make_docs(messy_rows).limit(0)).count() == 0
 
 
