@@ -23,17 +23,25 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group, that with the smallest id; rows without an id go."""
+    """One document of each SimHash group, that with the smallest id; a row without an id stays only where no row of its group has one."""
     groups = simhash.near_duplicates(docs, shingle=3, distance=3)
-    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_first"))
-    repeated = not first.groupBy("_first").count().where("count > 1").isEmpty()
-    one = docs.join(first, docs["doc_id"] == first["_first"], "left_semi")
-    return one.dropDuplicates(["doc_id"]) if repeated else one
+    own = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    first = written(groups.groupBy("group").agg(F.min(own).alias("own")).select(F.col("own.doc_id").alias("_id"), F.col("own.text_hash").alias("_hash")))
+    text_hash = F.xxhash64(F.coalesce(docs["text"].cast("binary"), F.lit(b"")))
+    one = docs.join(first, docs["doc_id"].eqNullSafe(first["_id"]) & (text_hash == first["_hash"]), "left_semi")
+    # Rows equal in id and text can't be told apart by the join; texts are only moved where there are such rows.
+    if groups.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
+        return one
+    return one.withColumn("_hash", F.xxhash64(F.coalesce(F.col("text").cast("binary"), F.lit(b"")))).dropDuplicates(["doc_id", "_hash"]).drop("_hash")
+
+
+#: Shortest repeat in bytes that goes; 51 words of the given tables span 285 bytes and more.
+REPEAT = 250
 
 
 def long_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the bytes that are part of a long repeat; a character that is cut through becomes U+FFFD."""
-    cut = suffix_dedup.remove_repeats(docs, length=400, carry=("lang", "source"))
+    cut = suffix_dedup.remove_repeats(docs, length=REPEAT, carry=("lang", "source"))
     text = F.make_valid_utf8(F.col("kept").cast("string"))
     return cut.select("doc_id", text.alias("text"), "lang", "source").withColumn("n_chars", F.length("text").cast("long")).select(
         "doc_id", "text", "lang", "source", "n_chars")
