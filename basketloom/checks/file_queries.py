@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import uuid
+from datetime import timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketloom.checks.stages import Stages
+from basketloom.checks.stages import LABEL_DAYS, MIN_COOC, Stages
 from basketloom.functions.durable import shared_folder
+from basketloom.functions.times import instant, micros
 from basketloom.operators import lookup as lk
+from basketloom.operators import running as rn
 from basketloom.sources import files
 from basketloom.streaming.ingest import answer_stream, ingest_orders_incremental
+from basketloom.streaming.label_pairs import close_days, stream_label_pairs, streamed_pairs
 
 
 def _fresh(s: Stages, name: str) -> str:
@@ -78,7 +82,35 @@ def _streamed(s: Stages) -> DataFrame:
     return s.spark.read.parquet(answers).drop("recommendation_date")
 
 
+def _streamed_pairs(s: Stages) -> DataFrame:
+    """Label pairs of the test lines as a stream: six spans of time, each two swapped, then the first once more, all late."""
+    folder, out, mark = _fresh(s, "lines"), _fresh(s, "day-pairs"), _fresh(s, "mark")
+    lines = files.materialize(s.test.select("kiosk_id", "product_id", "order_dt"))
+    ends = lines.agg(F.min("order_dt").alias("low"), F.max("order_dt").alias("high")).first()
+    span = int((ends["high"] - ends["low"]).total_seconds()) // 6 + 1
+    part = F.floor((micros(F.col("order_dt")) - micros(instant(ends["low"]))) / (span * 1_000_000))
+    for number in (1, 0, 3, 2, 5, 4, 0):
+        lines.where(part == number).coalesce(1).write.mode("append").parquet(folder)
+    close_days(s.spark, folder, ends["high"] + timedelta(seconds=4 * span + 30 * 86_400))
+    late = stream_label_pairs(s.spark, folder, out, mark, window_days=LABEL_DAYS, delay=f"{2 * span} seconds", files_per_batch=1)
+    return streamed_pairs(s.spark, out).withColumn("late_lines", F.lit(late).cast("bigint"))
+
+
+def _running_candidates(s: Stages) -> DataFrame:
+    """All days but the last are counted and stored; then the window moves on by one day."""
+    path = _fresh(s, "day-counts")
+    ends = s.orders.agg(F.min("order_dt").alias("low"), F.max("order_dt").alias("high")).first()
+    first, last, day = ends["low"].date(), ends["high"].date(), timedelta(days=1)
+    rn.store_days(s.orders.where(F.col("order_dt") < F.lit(str(last)).cast("timestamp_ntz")), path)
+    before = files.materialize(rn.window_counts(s.spark, path, first, last - day))
+    rn.append_days(s.orders.where(F.col("order_dt") >= F.lit(str(last)).cast("timestamp_ntz")), path)
+    counts = files.materialize(rn.moved_counts(s.spark, before, path, (first, last - day), (first + day, last)))
+    return rn.candidates_of_counts(counts, MIN_COOC)
+
+
 BUILDERS = {
+    "label_pairs_stream": _streamed_pairs,
+    "running_candidates": _running_candidates,
     "sample_orders_head": lambda s: _sampled(s, "head"),
     "sample_orders_tail": lambda s: _sampled(s, "tail"),
     "read_products": _products_csv,

@@ -416,6 +416,29 @@ QUERIES: dict[str, str] = {
         FROM test_lines a JOIN test_lines c
           ON a.kiosk_id = c.kiosk_id AND a.order_id = c.order_id AND a.product_id <> c.product_id GROUP BY ALL""",
     "label_pairs_window_busy": "SELECT * FROM pairs",
+    "label_pairs_stream": """
+        SELECT pairs.*, (SELECT count(*) FROM test, (
+            SELECT min(order_dt) AS low, CAST(floor(epoch(max(order_dt)) - epoch(min(order_dt))) AS BIGINT) // 6 + 1 AS width FROM test)
+            WHERE epoch(order_dt) - epoch(low) < width) AS late_lines FROM pairs""",
+    "running_candidates": """
+        SELECT * FROM (
+            WITH later AS (
+                SELECT * FROM history WHERE CAST(order_dt AS DATE) > (SELECT min(CAST(order_dt AS DATE)) FROM history)),
+            day_lines AS (SELECT DISTINCT CAST(order_dt AS DATE) AS day, kiosk_id, order_id, product_id FROM later),
+            day_baskets AS (
+                SELECT day, kiosk_id, order_id FROM day_lines GROUP BY ALL HAVING count(*) BETWEEN 2 AND 200),
+            kept AS (SELECT day_lines.* FROM day_lines JOIN day_baskets USING (day, kiosk_id, order_id)),
+            often AS (SELECT product_id, count(*) AS times FROM kept GROUP BY ALL HAVING count(*) >= 2),
+            met AS (
+                SELECT a.product_id AS anchor_product_id, c.product_id AS candidate_product_id, count(*) AS cooc_count
+                FROM kept a JOIN kept c ON a.day = c.day AND a.order_id = c.order_id AND a.product_id <> c.product_id
+                GROUP BY ALL HAVING count(*) >= 2),
+            size AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM day_baskets)
+            SELECT anchor_product_id, candidate_product_id, cooc_count, a.times AS anchor_count, c.times AS candidate_count,
+                   round(cooc_count / n, 9) AS support, round(CAST(cooc_count AS DOUBLE) / a.times, 9) AS confidence,
+                   round((cooc_count / n) / ((a.times / n) * (c.times / n)), 9) AS lift,
+                   round(cooc_count / sqrt(CAST(a.times * c.times AS DOUBLE)), 9) AS cooc_cosine_sim
+            FROM met JOIN often a ON a.product_id = anchor_product_id JOIN often c ON c.product_id = candidate_product_id, size)""",
     "build_label_pairs": """
         SELECT a.kiosk_id, a.product_id AS anchor_product_id, c.product_id AS candidate_product_id,
                count(*) AS cooc_count

@@ -124,7 +124,7 @@ BUILDERS: dict[str, Callable[[Stages], DataFrame]] = {
     "blocked_product_ids": lambda s: cl.blocked_product_ids(s.tables.all_products()),
     "filter_blocked_products": lambda s: s.kept_orders,
     "inference_window": lambda s: cl.inference_window(s.orders, 90),
-    "orders_profile": lambda s: cl.orders_profile({"all": s.orders, **s.split.named()}),
+    "orders_profile": lambda s: cl.orders_profile(s.orders, s.split.part),
     # splits
     "split_orders_by_time": lambda s: s.split.tagged(),
     "split_orders_by_rows": _row_split,
@@ -235,7 +235,8 @@ BUILDERS: dict[str, Callable[[Stages], DataFrame]] = {
     "avg_pop_store": lambda s: rounded(nv.avg_pop_store(s.scored, REPORT_K)),
     "mixed_queries": lambda s: nv.mixed_queries(s.scored, REPORT_K),
     "mixed_query_examples": lambda s: nv.mixed_query_examples(s.scored, s.products, REPORT_K),
-    **file_queries.BUILDERS,
+    **{name: (lambda s, build=build: rounded(build(s), 9)) if name == "running_candidates" else build
+       for name, build in file_queries.BUILDERS.items()},
     **model_queries.BUILDERS,
 }
 

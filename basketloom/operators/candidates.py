@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketloom.functions.durable import materialize
@@ -47,12 +47,16 @@ def generate_candidates(baskets: DataFrame, min_cooc: int = 2) -> DataFrame:
     """
     counts = materialize(product_basket_counts(explode_baskets(baskets)).filter(F.col("product_count") >= min_cooc))
     total = baskets.agg(F.count("*").cast("double").alias("n")).scalar()
+    return with_measures(pair_cooccurrence(baskets, min_cooc), counts, total)
+
+
+def with_measures(cooccurring: DataFrame, counts: DataFrame, total: Column) -> DataFrame:
+    """Ordered pairs (anchor, candidate, cooc_count) with their measures, from basket counts per product and in all."""
     anchors = counts.select(F.col("product_id").alias("anchor_product_id"),
                             F.col("product_count").alias("anchor_count"))
     others = counts.select(F.col("product_id").alias("candidate_product_id"),
                            F.col("product_count").alias("candidate_count"))
-    pairs = (pair_cooccurrence(baskets, min_cooc)
-             .join(anchors, "anchor_product_id").join(others, "candidate_product_id"))
+    pairs = cooccurring.join(anchors, "anchor_product_id").join(others, "candidate_product_id")
     both, anchor, other = F.col("cooc_count"), F.col("anchor_count"), F.col("candidate_count")
     return pairs.select(
         *PAIR_KEYS, "cooc_count", "anchor_count", "candidate_count",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketloom.schema import ORDER_KEY_COLUMNS, RAW_ORDER_COLUMNS, require_columns
@@ -92,15 +92,13 @@ def inference_window(orders: DataFrame, last_n_days: int = 90, max_rows: int = 0
     return recent
 
 
-def orders_profile(named: dict[str, DataFrame]) -> DataFrame:
-    """One row per named set: lines, stores and time range."""
-    rows = [
-        df.agg(F.count("*").alias("n_rows"), F.count_distinct("kiosk_id").alias("n_kiosks"),
-               F.min("order_dt").alias("min_dt"), F.max("order_dt").alias("max_dt"))
-        .select(F.lit(name).alias("split"), "*")
-        for name, df in named.items()
-    ]
-    out = rows[0]
-    for row in rows[1:]:
-        out = out.unionByName(row)
-    return out
+def orders_profile(orders: DataFrame, part: Column, whole: str = "all") -> DataFrame:
+    """One row per part and one for all orders: lines, stores and time range, from one scan with grouping sets.
+
+    ``part`` names the part of a line; lines that it leaves without one count in the whole only.
+    """
+    rolled = orders.withColumn("split", part).rollup("split").agg(
+        F.grouping("split").alias("_whole"), F.count("*").alias("n_rows"), F.count_distinct("kiosk_id").alias("n_kiosks"),
+        F.min("order_dt").alias("min_dt"), F.max("order_dt").alias("max_dt"))
+    name = F.when(F.col("_whole") == 1, F.lit(whole)).otherwise(F.col("split"))
+    return rolled.withColumn("split", name).where("split IS NOT NULL").drop("_whole")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketloom.functions.ranking import locate
@@ -16,9 +16,12 @@ from basketloom.sources.files import cut_orders
 
 @dataclass(frozen=True)
 class OrderSplit:
+    """The parts; ``part``: the name of a line's part as an expression over the split orders, where there is one."""
+
     train: DataFrame
     val: DataFrame
     test: DataFrame
+    part: Column | None = None
 
     def named(self) -> dict[str, DataFrame]:
         return {"train": self.train, "val": self.val, "test": self.test}
@@ -75,7 +78,8 @@ def split_orders_by_time(orders: DataFrame, *, train_ratio: float, val_ratio: fl
     if by_rows:
         return split_orders_by_rows(orders, train_ratio=train_ratio, val_ratio=val_ratio,
                                     test_ratio=test_ratio, leaf_rows=leaf_rows)
-    return OrderSplit(*[orders.filter(test) for test in tests])
+    part = F.when(tests[0], "train").when(tests[1], "val").when(tests[2], "test")
+    return OrderSplit(*[orders.filter(test) for test in tests], part)
 
 
 def split_feature_label(train: DataFrame, train_label_ratio: float = 0.3) -> tuple[DataFrame, DataFrame]:

@@ -14,7 +14,7 @@ SOME = ["sample_orders_head", "sample_orders_tail", "last_orders", "read_product
         "add_all_features", "feature_rows", "label_pairs_window", "label_pairs_window_busy", "label_pairs_same_order_large",
         "pair_cooccurrence_shared", "shuffle_within_query", "sample_negatives", "metrics_table", "quantity_captured_at_k",
         "predict_scores", "ranker_save_load",
-        "fixed_score_stats", "lambda_gradients", "anchor_fallback", "recommend_with_fallback", "baseline_overlap"]
+        "fixed_score_stats", "lambda_gradients", "label_pairs_stream", "running_candidates", "orders_profile", "generate_candidates", "anchor_fallback", "recommend_with_fallback", "baseline_overlap"]
 ORACLES = entry_points.oracle_sql()
 
 
