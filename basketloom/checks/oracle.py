@@ -157,6 +157,33 @@ STEPS: dict[str, str] = {
                row_number() OVER (PARTITION BY anchor_product_id, kiosk_id
                                   ORDER BY score DESC, candidate_product_id) AS position
         FROM catalog""",
+    "other_catalog": """
+        SELECT kiosk_id, anchor_product_id, candidate_product_id, round(cooc_cosine_sim, 9) AS score FROM popular
+        QUALIFY row_number() OVER (PARTITION BY kiosk_id, anchor_product_id
+                                   ORDER BY round(cooc_cosine_sim, 9) DESC, candidate_product_id) <= 20""",
+    "ranks_of_two": """
+        SELECT kiosk_id, anchor_product_id, candidate_product_id, old_rank, new_rank,
+               CASE WHEN old_rank IS NULL THEN 'entered' WHEN new_rank IS NULL THEN 'left' WHEN old_rank > new_rank THEN 'up'
+                    WHEN old_rank < new_rank THEN 'down' ELSE 'same' END AS change, old_rank - new_rank AS moved_up
+        FROM (SELECT kiosk_id, anchor_product_id, candidate_product_id, row_number() OVER (
+                  PARTITION BY kiosk_id, anchor_product_id ORDER BY score DESC, candidate_product_id) AS old_rank FROM catalog)
+        FULL JOIN (SELECT kiosk_id, anchor_product_id, candidate_product_id, row_number() OVER (
+                  PARTITION BY kiosk_id, anchor_product_id ORDER BY score DESC, candidate_product_id) AS new_rank FROM other_catalog)
+        USING (kiosk_id, anchor_product_id, candidate_product_id)""",
+    "bought": """
+        SELECT kiosk_id, product_id, CAST(order_dt AS DATE) AS day, count(*) AS lines, sum(quantity) AS quantity FROM history GROUP BY ALL""",
+    "gapped": """
+        SELECT *, CAST(day - lag(day) OVER (PARTITION BY kiosk_id, product_id ORDER BY day) AS INTEGER) AS gap_days,
+               CAST(lead(day) OVER (PARTITION BY kiosk_id, product_id ORDER BY day) - day AS INTEGER) AS next_gap_days,
+               CAST(sum(lines) OVER (PARTITION BY kiosk_id, product_id ORDER BY day
+                                     RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW) AS BIGINT) AS recent_lines
+        FROM bought""",
+    "zoned": """
+        SELECT history.*, CASE region WHEN 'AFRICA' THEN 'Africa/Lagos' WHEN 'AMERICA' THEN 'America/New_York' WHEN 'ASIA' THEN 'Asia/Tokyo'
+                                      WHEN 'EUROPE' THEN 'Europe/Berlin' ELSE 'UTC' END AS zone
+        FROM history LEFT JOIN commerces ON userid = kiosk_id""",
+    "local_lines": """
+        SELECT *, CAST(timezone(zone, timezone('UTC', CAST(order_dt AS TIMESTAMP))) AS DATE) AS day FROM zoned""",
     "requests": """
         SELECT DISTINCT product_id AS anchor_id, kiosk_id,
                CASE WHEN kiosk_id LIKE '%7' THEN 3 ELSE 20 END AS "limit"
@@ -318,6 +345,42 @@ QUERIES: dict[str, str] = {
         SELECT split, count(*) AS n_rows, count(DISTINCT kiosk_id) AS n_kiosks, min(order_dt) AS min_dt,
                max(order_dt) AS max_dt
         FROM (SELECT * FROM parts UNION ALL SELECT *, 'all' AS split FROM history) GROUP BY split""",
+    "orders_profile_sketched": """
+        SELECT split, count(*) AS n_rows, min(order_dt) AS min_dt, max(order_dt) AS max_dt, count(DISTINCT kiosk_id) AS n_kiosks,
+               true AS kiosks_ok, count(DISTINCT product_id) AS n_products, true AS products_ok FROM parts GROUP BY split""",
+    "basket_sizes_sketched": """
+        SELECT CAST(year AS INTEGER) AS year, count(*) AS n_baskets, round(avg(n), 6) AS mean_size, true AS median_size_ok,
+               true AS p95_size_ok, true AS p99_size_ok
+        FROM (SELECT kiosk_id, order_id, any_value(year(order_dt)) AS year, count(DISTINCT product_id) AS n FROM history GROUP BY ALL)
+        GROUP BY ALL""",
+    "catalog_changes": """
+        SELECT * REPLACE (coalesce(old_rank, -1000000) AS old_rank, coalesce(new_rank, -1000000) AS new_rank,
+                          coalesce(moved_up, -1000000) AS moved_up) FROM ranks_of_two""",
+    "catalog_change_summary": """
+        SELECT kiosk_id, anchor_product_id, count(*) FILTER (change = 'entered') AS n_entered, count(*) FILTER (change = 'left') AS n_left,
+               count(*) FILTER (change IN ('up', 'down')) AS n_moved, count(*) FILTER (change = 'same') AS n_same,
+               CAST(coalesce(sum(abs(moved_up)), 0) AS BIGINT) AS places_moved
+        FROM ranks_of_two GROUP BY ALL""",
+    "catalog_rows_in_one": """
+        SELECT kiosk_id, anchor_product_id, candidate_product_id, CASE change WHEN 'left' THEN 'before' ELSE 'after' END AS catalog
+        FROM ranks_of_two WHERE change IN ('left', 'entered')""",
+    "repurchase_gaps": """
+        SELECT * REPLACE (CAST(day AS VARCHAR) AS day, coalesce(gap_days, -1000000) AS gap_days,
+                          coalesce(next_gap_days, -1000000) AS next_gap_days) FROM gapped""",
+    "repurchase_summary": """
+        SELECT kiosk_id, product_id, count(*) AS n_days, coalesce(min(gap_days), -1000000) AS min_gap,
+               coalesce(round(avg(gap_days), 6), -1000000) AS mean_gap, coalesce(max(gap_days), -1000000) AS max_gap,
+               CAST(max(day) AS VARCHAR) AS last_day FROM gapped GROUP BY ALL""",
+    "local_daily_totals": """
+        SELECT kiosk_id, zone, CAST(day AS VARCHAR) AS day, count(*) AS lines, sum(quantity) AS quantity,
+               CAST((epoch(timezone(zone, CAST(day + 1 AS TIMESTAMP))) - epoch(timezone(zone, CAST(day AS TIMESTAMP)))) / 3600 AS DOUBLE) AS hours
+        FROM local_lines GROUP BY local_lines.kiosk_id, local_lines.zone, local_lines.day""",
+    "inference_window_local": """
+        SELECT * EXCLUDE (day) FROM local_lines
+        WHERE day > (SELECT CAST(timezone(zone, timezone('UTC', CAST(max(order_dt) AS TIMESTAMP))) AS DATE) - 90 FROM history)""",
+    "split_by_local_day": """
+        SELECT * EXCLUDE (day), CASE WHEN day < DATE '1997-03-30' THEN 'train' WHEN day < DATE '1998-01-01' THEN 'val' ELSE 'test' END AS split
+        FROM local_lines""",
     "split_orders_by_time": "SELECT * FROM parts",
     "split_orders_by_rows": f"""
         SELECT * EXCLUDE (rn, n), CASE WHEN rn <= CAST(floor(n * CAST(0.8 AS DOUBLE)) AS BIGINT) THEN 'train'
@@ -645,6 +708,7 @@ QUERIES: dict[str, str] = {
 }
 
 
+QUERIES["recommend_requests_bucketed"] = QUERIES["recommend_requests"]
 QUERIES["recommend_requests_stream"] = QUERIES["recommend_requests"]
 
 

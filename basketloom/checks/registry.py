@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,10 +11,13 @@ from pyspark.sql import functions as F
 from basketloom.checks import file_queries, model_queries
 from basketloom.checks.file_queries import requests
 from basketloom.checks.stages import CATALOG_K, LABEL_DAYS, MIN_COOC, REPORT_K, Stages
+from basketloom.functions.durable import shared_folder
 from basketloom.functions.scaling import minmax_scale_to_range, value_range
 from basketloom.operators import baskets as bk
+from basketloom.operators import calendar as cal
 from basketloom.operators import candidates as cd
 from basketloom.operators import catalog as ct
+from basketloom.operators import changes as ch
 from basketloom.operators import cleaning as cl
 from basketloom.operators import features as ft
 from basketloom.operators import labels as lb
@@ -21,6 +25,8 @@ from basketloom.operators import lookup as lk
 from basketloom.operators import metrics as mt
 from basketloom.operators import novelty as nv
 from basketloom.operators import personalization as pz
+from basketloom.operators import repurchase as rp
+from basketloom.operators import sketches as sk
 from basketloom.operators import splits as sp
 from basketloom.operators import training_set as ts
 from basketloom.plans.training import TrainingParams, build_labeled_split
@@ -44,6 +50,12 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*out)
 
 
+def plain(df: DataFrame) -> DataFrame:
+    """Dates as text and -1000000 for missing numbers, for comparison between engines."""
+    return df.select(*[F.col(n).cast("string").alias(n) if kind == "date" else F.coalesce(n, F.lit(-1_000_000).cast(kind)).alias(n)
+                       if kind in ("int", "bigint", "double") else F.col(n) for n, kind in df.dtypes])
+
+
 def joined(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.array_join(name, ","))
 
@@ -84,6 +96,13 @@ def _fallback_answers(s: Stages) -> DataFrame:
         ct.global_fallback(s.orders, s.info, SCORE_RANGE, CATALOG_K), ct.product_info(s.all_products))
 
 
+def _bucketed_answers(s: Stages) -> DataFrame:
+    """Requests answered from a catalog table that is laid out by their key."""
+    name = f"lookup_{uuid.uuid4().hex}"
+    table = lk.write_lookup(lk.build_lookup(s.catalog), name, f"{shared_folder(s.spark)}/basketloom/{name}", 8)
+    return lk.recommend_requests(lk.valid_limits(requests(s)), table).drop("recommendation_date")
+
+
 def _labeled_part(s: Stages) -> DataFrame:
     """Labels first, features last, for the queries with positives of the test period."""
     return build_labeled_split(
@@ -96,6 +115,47 @@ def _incomplete(s: Stages) -> DataFrame:
     return s.features.withColumn("channel", F.when(F.col("channel") != "BUILDING", F.col("channel")))
 
 
+#: Zones of the regions of the given tables.
+ZONES = {"AFRICA": "Africa/Lagos", "AMERICA": "America/New_York", "ASIA": "Asia/Tokyo", "EUROPE": "Europe/Berlin"}
+SHARES = {"median_size": 0.5, "p95_size": 0.95, "p99_size": 0.99}
+
+
+def _zones(s: Stages) -> DataFrame:
+    """Stores with their zones; those of other regions aren't listed."""
+    zone = F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair])[F.col("region")]
+    return s.commerces.select(F.col("userid").alias("kiosk_id"), zone.alias("zone")).where("zone IS NOT NULL")
+
+
+def _other_catalog(s: Stages) -> DataFrame:
+    """A second run's catalog, scored without popularity."""
+    return ct.predictions_catalog(s.scored.withColumn("score", F.round("cooc_cosine_sim", 9)), s.info, CATALOG_K)
+
+
+def _profile_errors(s: Stages) -> DataFrame:
+    """The sketched profile of each split beside the exact one: exact counts, and whether the estimates are within their error."""
+    sketches = files.materialize(sk.day_sketches(s.orders, s.split.part))
+    exact = s.orders.withColumn("split", s.split.part).groupBy("split").agg(
+        F.count_distinct("kiosk_id").alias("k"), F.count_distinct("product_id").alias("p"))
+    both = sk.sketched_profile(sketches, "split").join(exact, "split")
+
+    def near(estimate: str, exactly: str):
+        return F.abs(F.col(estimate) - F.col(exactly)) <= F.lit(sk.HLL_ERROR) * F.col(exactly)
+    return both.select("split", "n_rows", "min_dt", "max_dt", F.col("k").alias("n_kiosks"), near("n_kiosks", "k").alias("kiosks_ok"),
+                       F.col("p").alias("n_products"), near("n_products", "p").alias("products_ok"))
+
+
+def _size_errors(s: Stages) -> DataFrame:
+    """Per year: exact count and mean of basket sizes, and whether the rank of each sketched quantile is within twice its error."""
+    years = s.orders.select("kiosk_id", "order_id", F.year("order_dt").alias("year")).distinct()
+    sized = files.materialize(bk.build_baskets(s.orders, 1, None).join(years, ["kiosk_id", "order_id"]))
+    found = sk.sketched_sizes(files.materialize(sk.size_sketches(sized, "year")), SHARES, "year")
+    ranks = sized.select("year", F.size("products").alias("n")).join(found.select("year", *SHARES), "year").groupBy("year").agg(
+        *[(F.avg((F.col("n") < F.col(q)).cast("int")) <= share + 2 * sk.KLL_ERROR).alias(f"{q}_low") for q, share in SHARES.items()],
+        *[(F.avg((F.col("n") <= F.col(q)).cast("int")) >= share - 2 * sk.KLL_ERROR).alias(f"{q}_high") for q, share in SHARES.items()])
+    return rounded(found.join(ranks, "year").select("year", "n_baskets", "mean_size", *[
+        (F.col(f"{q}_low") & F.col(f"{q}_high")).alias(f"{q}_ok") for q in SHARES]))
+
+
 NUMBERS = ["cand_is_new", "cooc_cosine_sim", "kiosk_product_cnt", "pop_global", "pop_store", "same_category"]
 KINDS = ["channel", "region"]
 
@@ -108,6 +168,17 @@ def _with_category(s: Stages) -> DataFrame:
 
 
 BUILDERS: dict[str, Callable[[Stages], DataFrame]] = {
+    # beside the operators: sketches, catalog changes, repurchase, calendars
+    "orders_profile_sketched": lambda s: _profile_errors(s),
+    "basket_sizes_sketched": lambda s: _size_errors(s),
+    "catalog_changes": lambda s: plain(ch.catalog_changes(s.catalog, _other_catalog(s))),
+    "catalog_change_summary": lambda s: ch.change_summary(ch.catalog_changes(s.catalog, _other_catalog(s))),
+    "catalog_rows_in_one": lambda s: ch.rows_in_one(s.catalog.select(*ROW_KEYS), _other_catalog(s).select(*ROW_KEYS)),
+    "repurchase_gaps": lambda s: plain(rp.repurchase_gaps(rp.purchase_days(s.orders))),
+    "repurchase_summary": lambda s: plain(rounded(rp.repurchase_summary(rp.repurchase_gaps(rp.purchase_days(s.orders))))),
+    "local_daily_totals": lambda s: plain(cal.local_daily_totals(s.orders, _zones(s))),
+    "inference_window_local": lambda s: cal.inference_window_local(s.orders, _zones(s), 90),
+    "split_by_local_day": lambda s: cal.split_by_local_day(s.orders, _zones(s), "1997-03-30", "1998-01-01"),
     # sources
     "first_orders": lambda s: files.first_orders(s.raw, 1000),
     "last_orders": lambda s: files.last_orders(s.raw, 1000),
@@ -212,6 +283,7 @@ BUILDERS: dict[str, Callable[[Stages], DataFrame]] = {
     "build_lookup": lambda s: joined(lk.build_lookup(s.catalog), "recs"),
     "recommend_requests": lambda s: lk.recommend_requests(
         lk.valid_limits(requests(s)), lk.build_lookup(s.catalog)).drop("recommendation_date"),
+    "recommend_requests_bucketed": lambda s: _bucketed_answers(s),
     "recommend_multi": lambda s: joined(
         lk.recommend_multi(requests(s), lk.build_lookup(s.catalog)).drop("recommendation_date"), "recs"),
     "recommend_with_fallback": _fallback_answers,

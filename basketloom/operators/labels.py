@@ -91,13 +91,19 @@ def _tree_pairs(events: DataFrame, width: int, products_per_cell: int = 1_000) -
     where = ["kiosk_id", "frame", "level", "node"]
     anchors = side(True).withColumnRenamed("product_id", "anchor_product_id").withColumnRenamed("n", "n1")
     others = side(False).withColumnRenamed("product_id", "candidate_product_id").withColumnRenamed("n", "n2")
-    # A node with many products is cut into cells by candidate, each joined apart.
-    cells = others.groupBy(*where).agg(
-        F.ceil(F.count("*") / products_per_cell).cast("int").alias("cells"))
-    others = spread_join(others, cells, where, "candidate_product_id").withColumn(
-        "cell", F.pmod(F.xxhash64("candidate_product_id"), F.col("cells")).cast("int")).drop("cells")
-    anchors = spread_join(anchors, cells, where, "anchor_product_id").withColumn(
-        "cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))).drop("cells")
+    # A node with many products is cut into cells by candidate, each joined apart; all others are one cell as they are.
+    # Written, so that the few large nodes, mostly none, meet the sides as a small table.
+    large = materialize(others.groupBy(*where).agg(F.ceil(F.count("*") / products_per_cell).cast("int").alias("cells")).where("cells > 1"))
+    one = F.lit(0)
+    if large.isEmpty():
+        anchors, others = anchors.withColumn("cell", one), others.withColumn("cell", one)
+    else:
+        many_others = spread_join(others, large, where, "candidate_product_id").withColumn(
+            "cell", F.pmod(F.xxhash64("candidate_product_id"), F.col("cells")).cast("int")).drop("cells")
+        many_anchors = spread_join(anchors, large, where, "anchor_product_id").withColumn(
+            "cell", F.explode(F.sequence(one, F.col("cells") - 1))).drop("cells")
+        others = others.join(large, where, "left_anti").withColumn("cell", one).unionByName(many_others)
+        anchors = anchors.join(large, where, "left_anti").withColumn("cell", one).unionByName(many_anchors)
     return (anchors.join(others, [*where, "cell"])
             .filter(F.col("anchor_product_id") != F.col("candidate_product_id"))
             .select(*ROW_KEYS, (F.col("n1") * F.col("n2")).alias("pairs")))

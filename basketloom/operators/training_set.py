@@ -55,14 +55,15 @@ def label_stats(df: DataFrame) -> DataFrame:
 
 
 def split_summary(named: dict[str, DataFrame]) -> DataFrame:
-    """One row per labelled split."""
-    out = None
+    """One row per labelled split, also of an empty one, from one aggregation over all of them."""
+    tagged = None
     for name, df in named.items():
-        rows, positives, queries = _counts()
-        row = df.agg(rows.alias("n_rows"), positives.alias("pos"), (rows - positives).alias("neg"),
-                     F.coalesce(F.try_divide(100.0 * positives, rows), F.lit(0.0)).alias("pos_pct"),
-                     queries.alias("queries"),
-                     F.coalesce(F.try_divide(rows, queries), F.lit(0.0)).alias("avg_group")
-                     ).select(F.lit(name).alias("split"), "*")
-        out = row if out is None else out.unionByName(row)
-    return out
+        part = df.select(F.lit(name).alias("split"), *QUERY_KEYS, "label")
+        tagged = part if tagged is None else tagged.unionByName(part)
+    rows, positives, queries = _counts()
+    counted = tagged.groupBy("split").agg(rows.alias("n_rows"), positives.alias("pos"), queries.alias("queries"))
+    names = tagged.sparkSession.createDataFrame([(name,) for name in named], "split string")
+    filled = names.join(counted, "split", "left").select("split", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_rows", "pos", "queries")])
+    return filled.select("split", "n_rows", "pos", (F.col("n_rows") - F.col("pos")).alias("neg"),
+                         F.coalesce(F.try_divide(100.0 * F.col("pos"), F.col("n_rows")), F.lit(0.0)).alias("pos_pct"), "queries",
+                         F.coalesce(F.try_divide("n_rows", "queries"), F.lit(0.0)).alias("avg_group"))
