@@ -8,7 +8,8 @@ with probability s, and the count of agreements is concentrated as if coordinate
 
 BANDS bands of ROWS coordinates name the buckets. Sets that meet in a bucket are compared by their full shingle sets, first
 each with the member that it meets most often, then, between groups that are not linked yet, all that could
-reach the threshold by their sketches, block against block, the likely ones first. Only texts of such pairs travel.
+reach the threshold by their sketches, block against block, the likely ones first. Only sets that have such a pair travel,
+once for each cell of blocks; the pairs themselves are never rows.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ ROWS, BANDS = 4, 32
 DEVIATIONS = 5
 #: Members of a block in the comparison of sketches.
 BLOCK = 512
+#: Shingles of a block, 2 MB of hashes; a longer text is a block of few.
+BLOCK_SHINGLES = 1 << 18
 #: Words whose hashes a worker remembers.
 MEMO = 1 << 19
 #: Hashed shingles of texts that are sketched at once.
@@ -184,43 +187,124 @@ def _first_edges(buckets: DataFrame) -> DataFrame:
     return written(best.select("a", (-F.col("best.b")).alias("b")))
 
 
-def _open_edges(buckets: DataFrame, sets: DataFrame, groups: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
-    """(a, b, equal): pairs of a bucket from different groups that could be linked by their sizes and sketches, but for
-    those in ``tried``; ``equal`` coordinates.
-
-    A bucket of several groups is cut into blocks; each block meets each in a task of its own.
-    """
+def _cells(buckets: DataFrame, groups: DataFrame) -> DataFrame:
+    """(bucket, low, high, block, grp, vertex): members of buckets of several groups, cut into blocks; each block meets each in a cell of its own."""
     named = buckets.join(groups, "vertex")
-    mixed = named.groupBy("bucket").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
-    blocks = mixed.select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    mixed = named.groupBy("bucket").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi"), F.count("*").alias("n"), F.sum("n_shingles").alias("size"))
+    blocks = mixed.where("lo <> hi").select("bucket", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     members = written(named.join(blocks, "bucket").withColumn("block", F.pmod(F.xxhash64("vertex"), F.col("blocks")).cast("int")))
     around = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = around.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "grp", "vertex")
-    cells = cells.join(sets.select("vertex", "n_shingles", "bytes"), "vertex")
-    cells = cells.groupBy("bucket", "low", "high").agg(F.collect_list(F.struct("block", "grp", "vertex", "n_shingles", "bytes")).alias("m"))
-
-    fewest = fewest_equal(percent)
+    return around.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "grp", "vertex")
+
+
+def _together(cells: DataFrame) -> DataFrame:
+    """Rows of a cell one after the other in one partition."""
+    return cells.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "vertex")
+
+
+def _each_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+    """Columns of one cell at a time; a cell may go on over batches."""
+    rest: dict[str, np.ndarray] = {}
+    for batch in batches:
+        new = {}
+        for name, column in zip(batch.schema.names, batch.columns, strict=True):
+            if name == "bytes":
+                new[name] = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SIZE)
+            elif name == "bands":
+                new[name] = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS)
+            else:
+                new[name] = column.to_numpy(zero_copy_only=False)
+        if rest:
+            new = {name: np.concatenate((rest[name], new[name])) for name in new}
+        keys = [new[name] for name in ("bucket", "low", "high")]
+        starts = np.flatnonzero(np.r_[True, np.any([k[1:] != k[:-1] for k in keys], axis=0)]) if len(keys[0]) else np.zeros(1, np.int64)
+        for begin, end in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+            yield {name: values[begin:end] for name, values in new.items()}
+        rest = {name: values[starts[-1] :] for name, values in new.items()}
+    if rest and len(rest["bucket"]):
+        yield rest
+
+
+def _open_pairs(cell: dict[str, np.ndarray], grp: np.ndarray, least: int, most: int, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each member with those of other groups that sizes and sketches (least <= equal coordinates < most) leave open.
+
+    A pair belongs to the first bucket that it shares, so that no other cell has it. ``grp`` may change between the members.
+    """
+    low, high, bucket = cell["low"][0], cell["high"][0], cell["bucket"][0]
+    vertex, n, sketch, bands = cell["vertex"], cell["n_shingles"], cell["bytes"], cell["bands"]
+    two = np.flatnonzero(cell["block"] == high)
+    for i in np.flatnonzero(cell["block"] == low).tolist():
+        js = two[(grp[two] != grp[i]) & ((vertex[two] > vertex[i]) | (low != high))]
+        js = js[100 * np.minimum(n[js], n[i]) >= percent * np.maximum(n[js], n[i])]
+        if len(js):
+            equal = np.count_nonzero(sketch[js] == sketch[i], axis=1)
+            js = js[(equal >= least) & (equal < most)]
+            js = js[bands[i][(bands[js] == bands[i]).argmax(axis=1)] == bucket]
+        if len(js):
+            yield i, js
+
+
+def shared_counts(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Size of the intersection of a sorted set with each of the others; none is empty."""
+    flat = np.concatenate(others)
+    at = np.minimum(np.searchsorted(one, flat), len(one) - 1)
+    return np.add.reduceat((one[at] == flat).astype(np.int64), np.cumsum([0, *map(len, others[:-1])]))
+
+
+def _links(buckets: DataFrame, sets: DataFrame, groups: DataFrame, rows: DataFrame, shingle: int, percent: int, least: int, most: int) -> DataFrame:
+    """(a, b): links between groups among the pairs of a bucket with ``least`` to ``most`` - 1 equal coordinates, by full sets.
+
+    Enough of them to connect all that are linked. Pairs are never rows: a first pass over sketches names the members of
+    each cell that have an open pair, a second one has their full sets beside them and gives links only.
+    """
+    sketched = sets.select("vertex", "n_shingles", "bytes", "bands")
+
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in _each_cell(batches):
+            found = [np.append(js, i) for i, js in _open_pairs(cell, cell["grp"], least, most, percent)]
+            if found:
+                at = np.unique(np.concatenate(found))
+                yield pa.RecordBatch.from_arrays([pa.array(cell[name][at]) for name in names], names)
+
+    names = ["bucket", "low", "high", "block", "grp", "vertex"]
+    wanted = written(_together(_cells(buckets, groups).join(sketched, "vertex")).select(*names, "n_shingles", "bytes", "bands").mapInArrow(
+        members, "bucket long, low int, high int, block int, grp long, vertex long"))
+    full = _full_sets(wanted.select("vertex").distinct(), sets, rows, shingle)
+
+    def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in _each_cell(batches):
+            grp, a, b = cell["grp"].copy(), [], []
+            each = [np.frombuffer(s, np.uint64) for s in cell["hashes"]]
+            for i, js in _open_pairs(cell, grp, least, most, percent):
+                both = shared_counts(each[i], [each[j] for j in js])
+                for j in js[100 * both >= percent * (len(each[i]) + cell["n_shingles"][js] - both)].tolist():
+                    # What a link of this cell has brought together needs no other link.
+                    if grp[j] != grp[i]:
+                        grp[grp == grp[j]] = grp[i]
+                        a.append(max(cell["vertex"][i], cell["vertex"][j]))
+                        b.append(min(cell["vertex"][i], cell["vertex"][j]))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    cells = _together(wanted.join(sketched, "vertex").join(full, "vertex"))
+    out = written(cells.select(*names, "n_shingles", "bytes", "bands", "hashes").mapInArrow(confirmed, "a long, b long"))
+    dropped(wanted)
+    dropped(full)
+    return out
+
+
+def _full_sets(ends: DataFrame, sets: DataFrame, rows: DataFrame, shingle: int) -> DataFrame:
+    """(vertex, hashes): the sorted shingle hashes of the wanted sets."""
+    wanted = written(sets.join(ends, "vertex", "left_semi").select(
+        "vertex", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
         for batch in batches:
-            a, b, alike = ([np.zeros(0, np.int64)] for _ in range(3))
-            for low, high, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                fields = found.values
-                block, grp, vertex, n = (fields.field(i).to_numpy(zero_copy_only=False) for i in range(4))
-                bytes_ = np.frombuffer(b"".join(fields.field(4).to_pylist()), np.uint8).reshape(-1, SIZE)
-                one, two = np.flatnonzero(block == low), np.flatnonzero(block == high)
-                for i in one.tolist():
-                    js = two[(grp[two] != grp[i]) & ((vertex[two] > vertex[i]) | (low != high))]
-                    js = js[100 * np.minimum(n[js], n[i]) >= percent * np.maximum(n[js], n[i])]
-                    equal = np.count_nonzero(bytes_[js] == bytes_[i], axis=1)
-                    js, equal = js[equal >= fewest], equal[equal >= fewest]
-                    alike.append(equal)
-                    a.append(np.maximum(vertex[js], vertex[i]))
-                    b.append(np.minimum(vertex[js], vertex[i]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (a, b, alike)], ["a", "b", "equal"])
-
-    pairs = cells.select("low", "high", "m").mapInArrow(run, "a long, b long, equal long").distinct()
-    return written(pairs.join(tried, ["a", "b"], "left_anti"))
+            made = pa.array([shingle_set(t.as_py(), hashes, shingle).tobytes() for t in batch.column(1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), made], ["vertex", "hashes"])
+
+    found = rows.join(wanted, (rows["text_hash"] == wanted["_hash"]) & rows["doc_id"].eqNullSafe(wanted["_id"])).select("vertex", "text")
+    return written(found.mapInArrow(run, "vertex long, hashes binary").dropDuplicates(["vertex"]))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -242,17 +326,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
                                        F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("bytes").alias("bytes"))
     sets = written(sets.select(F.monotonically_increasing_id().alias("vertex"), "set_key", "own.doc_id", "own.text_hash", "least",
                                "n_shingles", "bands", "bytes"))
-    buckets = written(sets.select("vertex", F.explode("bands").alias("bucket")))
-    tried = _first_edges(buckets)
-    linked = _confirmed(tried, sets, rows, shingle, percent)
+    buckets = written(sets.select("vertex", "n_shingles", F.explode("bands").alias("bucket")))
+    linked = _confirmed(_first_edges(buckets), sets, rows, shingle, percent)
     groups = _groups(sets, linked)
-    more = _open_edges(buckets, sets, groups, tried, percent)
     # Pairs that are likely links come first; most of the others lie inside the groups that these make.
-    likely = F.col("equal") >= SIZE * percent // 100
-    for chosen in (likely, ~likely):
-        part = _between(more.where(chosen).select("a", "b"), groups)
-        if not part.isEmpty():
-            linked = linked.union(_confirmed(part, sets, rows, shingle, percent))
+    likely = SIZE * percent // 100
+    for least, most in ((likely, SIZE + 1), (fewest_equal(percent), likely)):
+        more = _links(buckets, sets, groups, rows, shingle, percent, least, most)
+        if not more.isEmpty():
+            linked = linked.union(more)
             groups = _groups(sets, linked)
     dropped(buckets)
     smallest = groups.join(sets.select("vertex", "least"), "vertex")
@@ -264,13 +346,6 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     return out.withColumn("kept", F.col("component_id").eqNullSafe(F.col("doc_id")))
 
 
-def _between(edges: DataFrame, groups: DataFrame) -> DataFrame:
-    """The edges whose ends are in different groups."""
-    for end in ("a", "b"):
-        edges = edges.join(groups.select(F.col("vertex").alias(end), F.col("grp").alias(f"of_{end}")), end)
-    return written(edges.where("of_a <> of_b").select("a", "b"))
-
-
 def _groups(sets: DataFrame, linked: DataFrame) -> DataFrame:
     """(vertex, grp): the smallest vertex reachable."""
     found = components(linked)

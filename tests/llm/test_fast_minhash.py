@@ -52,6 +52,7 @@ def variants(seed, count, changes):
 @pytest.mark.parametrize("block", [3, 512])
 def test_whole_operator_against_brute_force(make_docs, messy_rows, monkeypatch, block):
     monkeypatch.setattr(mh, "BLOCK", block)
+    monkeypatch.setattr(mh, "BLOCK_SHINGLES", 80 * block)
     texts = [t for seed in (61, 62) for t in variants(seed, 25, 4)] + ["A b  c", "a B c", "a b c d", "a b c d e", "a b c d e f g h", "a b c d e f g h i"]
     rows = [*messy_rows, *((400 + i, t) for i, t in enumerate(texts)), (None, prose(8)), (None, "alone without an id is what this row has to be")]
     got = [tuple(r) for r in mh.near_duplicates(make_docs(rows)).collect()]
