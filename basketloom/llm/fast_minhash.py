@@ -176,15 +176,43 @@ def _confirmed(edges: DataFrame, sets: DataFrame, rows: DataFrame, shingle: int,
 
     first = edges.join(texts.select(F.col("vertex").alias("a"), F.col("text").alias("text_a")), "a")
     both = first.join(texts.select(F.col("vertex").alias("b"), F.col("text").alias("text_b")), "b")
-    return written(both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"))
+    out = written(both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"))
+    dropped(wanted)
+    dropped(texts)
+    return out
+
+
+def _shared_buckets(sets: DataFrame) -> DataFrame:
+    """(bucket, vertex, n_shingles) of the buckets with more than one member; the others, nearly all, link nothing."""
+    every = sets.select("vertex", "n_shingles", F.explode("bands").alias("bucket"))
+    shared = every.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    return written(every.join(shared, "bucket", "left_semi"))
+
 
+def _first_edges(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Each member of a bucket with the bucket's smallest member; of several, the one that it meets most often.
 
-def _first_edges(buckets: DataFrame) -> DataFrame:
-    """Each member of a bucket with the bucket's smallest member; of several, the one that it meets most often."""
-    centres = buckets.groupBy("bucket").agg(F.min("vertex").alias("b"), F.count("*").alias("n")).where("n > 1").select("bucket", "b")
+    Pairs whose sketches exclude a link are left out.
+    """
+    centres = buckets.groupBy("bucket").agg(F.min("vertex").alias("b"))
     met = buckets.join(centres, "bucket").where("vertex <> b").groupBy(F.col("vertex").alias("a"), "b").agg(F.count("*").alias("n"))
     best = met.groupBy("a").agg(F.max(F.struct("n", (-F.col("b")).alias("b"))).alias("best"))
-    return written(best.select("a", (-F.col("best.b")).alias("b")))
+    edges = written(best.select("a", (-F.col("best.b")).alias("b")))
+    ends = written(edges.select(F.col("a").alias("vertex")).union(edges.select("b")).distinct())
+    sketched = written(sets.join(ends, "vertex", "left_semi").select("vertex", "bytes"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, SIZE) for i in (2, 3))
+            open_ = np.count_nonzero(one == two, axis=1) >= fewest
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(open_))
+
+    fewest = fewest_equal(percent)
+    both = edges.join(sketched.toDF("a", "bytes_a"), "a").join(sketched.toDF("b", "bytes_b"), "b")
+    out = written(both.select("a", "b", "bytes_a", "bytes_b").mapInArrow(run, "a long, b long"))
+    for table in (edges, ends, sketched):
+        dropped(table)
+    return out
 
 
 def _cells(buckets: DataFrame, groups: DataFrame) -> DataFrame:
@@ -326,8 +354,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
                                        F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("bytes").alias("bytes"))
     sets = written(sets.select(F.monotonically_increasing_id().alias("vertex"), "set_key", "own.doc_id", "own.text_hash", "least",
                                "n_shingles", "bands", "bytes"))
-    buckets = written(sets.select("vertex", "n_shingles", F.explode("bands").alias("bucket")))
-    linked = _confirmed(_first_edges(buckets), sets, rows, shingle, percent)
+    buckets = _shared_buckets(sets)
+    linked = _confirmed(_first_edges(buckets, sets, percent), sets, rows, shingle, percent)
     groups = _groups(sets, linked)
     # Pairs that are likely links come first; most of the others lie inside the groups that these make.
     likely = SIZE * percent // 100
