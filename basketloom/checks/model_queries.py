@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from basketloom.checks.stages import LABEL_DAYS, MIN_COOC, MIN_LIFT, TOP_K, Stages
 from basketloom.functions.durable import shared_folder
 from basketloom.operators import catalog as ct
-from basketloom.operators.ranker import Ranker, RankerParams, lambda_gradients, predict_scores
+from basketloom.operators.ranker import Ranker, RankerParams, lambda_gradients, predict_scores, train_ranker
 from basketloom.plans.scoring import ScoringParams, build_catalog
 from basketloom.plans.training import TrainingParams, labeled_splits, train_and_evaluate
 from basketloom.schema import ROW_KEYS
@@ -78,6 +78,20 @@ def _fixed_reloaded(s: Stages) -> DataFrame:
     return _fixed_scores(s, Ranker.load(s.spark, path))
 
 
+STUMP = RankerParams(learning_rate=1.0, max_depth=1, min_data_in_leaf=1, feature_fraction=1.0, bagging_fraction=1.0, num_boost_round=1, eval_ks=(5, 10))
+_stumps: dict[tuple[str, str], Ranker] = {}
+
+
+def _stump(s: Stages) -> Ranker:
+    """One boosting round on the labelled test rows with a feature of two values, so that SQL can state the tree."""
+    key = (s.spark.sparkContext.applicationId, s.tables.directory)
+    if key not in _stumps:
+        anchor, candidate = (F.substring_index(name, "-", 1) for name in ("anchor_product_id", "candidate_product_id"))
+        rows = s.labeled.select(*ROW_KEYS, "label", (anchor == candidate).cast("double").alias("same_brand"))
+        _stumps[key] = train_ranker(rows, rows, STUMP)
+    return _stumps[key]
+
+
 def _model_catalog(s: Stages) -> DataFrame:
     tables = build_catalog(s.clean, s.all_products, s.commerces, _ranker(s),
                            ScoringParams(last_n_days=0, min_cooc=MIN_COOC, min_lift=1.0, catalog_top_k=20))
@@ -92,6 +106,9 @@ BUILDERS = {
     "predict_scores": lambda s: _fixed_scores(s, fixed_ranker()),
     "ranker_save_load": _fixed_reloaded,
     "fixed_score_stats": lambda s: _six_digits(ct.score_stats(_fixed_scores(s, fixed_ranker()))),
+    "stump_nodes": lambda s: _six_digits(_stump(s).node_table(s.spark)),
+    "stump_importance": lambda s: _six_digits(_stump(s).feature_importance(s.spark)),
+    "stump_eval_curve": lambda s: _six_digits(_stump(s).eval_curve(s.spark)),
     "lambda_gradients": lambda s: _six_digits(lambda_gradients(s.labeled)),
     "trained_scores": _scored,
     "trained_save_load": _reloaded,

@@ -708,6 +708,39 @@ QUERIES: dict[str, str] = {
 }
 
 
+def _stump(result: str) -> str:
+    """One boosting round with learning rate 1, L2 1 and the split of ``same_brand`` at 0.5."""
+    return f"""
+        SELECT * FROM (WITH placed AS (
+            SELECT kiosk_id, anchor_product_id, candidate_product_id, label, 
+                   CAST(split_part(anchor_product_id, '-', 1) = split_part(candidate_product_id, '-', 1) AS INTEGER) AS same_brand,
+                   row_number() OVER (PARTITION BY kiosk_id, anchor_product_id ORDER BY candidate_product_id) AS place,
+                   count(*) FILTER (label = 1) OVER (PARTITION BY kiosk_id, anchor_product_id) AS n_pos FROM labeled),
+        pushed AS (
+            SELECT a.same_brand, CASE WHEN a.label = 1 THEN 1 ELSE -1 END * abs(1 / log2(a.place + 1) - 1 / log2(b.place + 1))
+                       / list_sum(list_transform(range(1, a.n_pos + 1), lambda i: 1 / log2(i + 1))) AS swap
+            FROM placed a JOIN placed b
+              ON a.kiosk_id = b.kiosk_id AND a.anchor_product_id = b.anchor_product_id AND a.label <> b.label),
+        leaves AS (
+            SELECT same_brand, sum(swap / 2) AS push, sum(abs(swap) / 4) AS curve, push / (curve + 1) AS value FROM pushed GROUP BY same_brand),
+        gains AS (
+            SELECT sum(push * push / curve) - sum(push) * sum(push) / sum(curve) AS gain FROM leaves),
+        ranked AS (
+            SELECT p.*, row_number() OVER (PARTITION BY kiosk_id, anchor_product_id ORDER BY value DESC, candidate_product_id) AS spot
+            FROM placed p JOIN leaves USING (same_brand) WHERE n_pos > 0),
+        graded AS (
+            SELECT k, coalesce(sum(1 / log2(spot + 1)) FILTER (label = 1 AND spot <= k), 0)
+                   / list_sum(list_transform(range(1, least(k, any_value(n_pos)) + 1), lambda i: 1 / log2(i + 1))) AS ndcg
+            FROM ranked, (VALUES (5), (10)) AS cuts(k) GROUP BY k, kiosk_id, anchor_product_id)
+        {result})"""
+
+
+QUERIES["stump_nodes"] = _stump("""SELECT 1 AS tree, 0 AS node, 0 AS feature, 0.5::DOUBLE AS threshold, 1 AS low, 2 AS high, 0.0::DOUBLE AS value,
+               round(gain, 6) AS gain FROM gains
+        UNION ALL SELECT 1, 1 + same_brand, -1, 0.0, 0, 0, round(value, 6), 0.0 FROM leaves""")
+QUERIES["stump_importance"] = _stump("SELECT 'same_brand' AS feature, round(gain, 6) AS gain FROM gains")
+QUERIES["stump_eval_curve"] = _stump("""SELECT 1 AS iteration, dataset, 'ndcg@' || k AS metric, round(avg(ndcg), 6) AS value
+        FROM graded, (VALUES ('train'), ('valid')) AS parts(dataset) GROUP BY k, dataset""")
 QUERIES["recommend_requests_bucketed"] = QUERIES["recommend_requests"]
 QUERIES["recommend_requests_stream"] = QUERIES["recommend_requests"]
 

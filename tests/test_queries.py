@@ -14,7 +14,7 @@ SOME = ["sample_orders_head", "sample_orders_tail", "last_orders", "read_product
         "add_all_features", "feature_rows", "label_pairs_window", "label_pairs_window_busy", "label_pairs_same_order_large",
         "pair_cooccurrence_shared", "shuffle_within_query", "sample_negatives", "metrics_table", "quantity_captured_at_k",
         "predict_scores", "ranker_save_load",
-        "fixed_score_stats", "lambda_gradients", "label_pairs_stream", "running_candidates", "orders_profile_sketched", "basket_sizes_sketched", "catalog_changes",
+        "fixed_score_stats", "lambda_gradients", "stump_nodes", "stump_importance", "stump_eval_curve", "label_pairs_stream", "running_candidates", "orders_profile_sketched", "basket_sizes_sketched", "catalog_changes",
         "catalog_change_summary", "catalog_rows_in_one", "repurchase_gaps", "repurchase_summary", "local_daily_totals",
         "inference_window_local", "split_by_local_day", "recommend_requests_bucketed", "split_summary", "orders_profile", "generate_candidates", "anchor_fallback", "recommend_with_fallback", "baseline_overlap"]
 ORACLES = entry_points.oracle_sql()
