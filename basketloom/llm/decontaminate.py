@@ -23,8 +23,10 @@ WINDOW = 96
 STEP = 32
 #: One edit is allowed for so many characters of a window.
 CHARS_PER_EDIT = 19
-#: Shorter items are no passages.
-MIN_CHARS = 24
+#: Shorter items have no q-gram and are no passages.
+MIN_CHARS = Q
+#: Items of fewer characters are looked for word for word, without edits.
+EXACT_BELOW = 24
 #: Windows that are searched for at once: the index of a block takes about 30 MB in each worker.
 BLOCK_WINDOWS = 50_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -40,7 +42,13 @@ def normal(text: bytes | None) -> str:
 
 
 def edit_budget(size: int) -> int:
-    return size // CHARS_PER_EDIT
+    return size // CHARS_PER_EDIT if size >= EXACT_BELOW else 0
+
+
+def _between_words(text: str, begin: int, end: int) -> bool:
+    """Whether the part neither begins nor ends inside a word."""
+    return not (text[max(0, begin - 1) : begin].isalnum() and text[begin].isalnum()) and not (
+        text[end : end + 1].isalnum() and text[end - 1].isalnum())
 
 
 def needed(size: int) -> int:
@@ -155,7 +163,13 @@ class WindowIndex:
                 first = b * 2 * half - self.longest - shift
                 limit, pattern = edit_budget(len(self.points[w])), self.points[w]
                 begin, end = max(0, first - limit), first + 2 * half + len(pattern) + limit
-                if (at := text.find(self.windows[w][-1], begin, end)) >= 0:
+                if len(pattern) < EXACT_BELOW:
+                    at = text.find(self.windows[w][-1], begin, end)
+                    while at >= 0:
+                        if _between_words(text, at, at + len(pattern)):
+                            found[w, at] = (at, at + len(pattern), 0)
+                        at = text.find(self.windows[w][-1], at + 1, end)
+                elif (at := text.find(self.windows[w][-1], begin, end)) >= 0:
                     found[w, at] = (at, at + len(pattern), 0)
                 elif near := banded_distance(pattern, points[begin:end], limit):
                     found[w, begin + near[1]] = (begin + near[1], begin + near[2], near[0])
@@ -218,8 +232,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """(doc_id, item_id, n_windows, begin, end, edits) for each pair of a document and an item that it has a passage of.
 
     ``n_windows``: windows of the item that were found; ``begin`` and ``end``: the first and last character of found
-    regions in the lower-cased text with single blanks; ``edits``: the fewest of a window. Null and empty texts and
-    items below MIN_CHARS characters have no passages; equal ids are reported as one; an empty table gives no rows.
+    regions in the lower-cased text with single blanks; ``edits``: the fewest of a window. Items below EXACT_BELOW
+    characters are found as whole words without edits. Null and empty texts and items below MIN_CHARS characters have no passages; equal ids are reported as one; an empty table gives no rows.
     The benchmark is the query set: it is searched for in blocks of bounded size, whatever its own size.
     """
     windows = written(benchmark_windows(benchmark, item_col, item_text_col))
