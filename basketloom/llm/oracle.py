@@ -78,9 +78,13 @@ refs AS (
   SELECT [{class_sums}] AS c, [{word_sums}] AS w FROM features
   WHERE lang IN ({', '.join(repr(x) for x in COMMON_WORDS)}) AND 100 * n_symbols <= {p.max_reference_symbol_percent} * n_words
   GROUP BY lang),
+known AS (
+  SELECT *, coalesce(lang IN ({', '.join(repr(x) for x in COMMON_WORDS)}), TRUE) AS listed,
+         CASE WHEN listed THEN classes ELSE list_append(classes[1:{len(CLASSES) - 1}], 0) END AS script_free FROM features),
 nearest AS (
-  SELECT f.doc_id, min({_distance('classes', 'c')}) AS class_distance, min({_distance('commons', 'w')}) AS word_distance
-  FROM features f, refs GROUP BY f.doc_id),
+  SELECT f.doc_id, min({_distance('script_free', 'c')}) AS class_distance,
+         min(CASE WHEN listed THEN {_distance('commons', 'w')} END) AS word_distance
+  FROM known f, refs GROUP BY f.doc_id),
 judged AS (
   SELECT f.*, n_words < {p.min_words} OR 100 * n_repeat_words > {p.max_repeat_percent} * n_words AS base_failed,
          coalesce(n_chars >= {p.min_class_chars} AND class_distance > {p.max_class_distance}, FALSE) AS odd_classes,

@@ -128,11 +128,13 @@ def js_distance(counts: Column, reference: list[int]) -> Column:
 def judge(features: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
     """Adds class_distance, word_distance (to the nearest reference), base_failed and kept to ``features``."""
     found = references(features, params.max_reference_symbol_percent)
-    nearest = {}
-    for i, column in enumerate(("classes", "commons")):
-        distances = [js_distance(F.col(column), pair[i]) for pair in found]
-        nearest[column] = F.array_min(F.array(*distances)) if distances else F.lit(None).cast("double")
-    rows = features.withColumns({"class_distance": nearest["classes"], "word_distance": nearest["commons"]})
+    foreign = ~F.coalesce(F.col("lang").isin(list(COMMON_WORDS)), F.lit(True))
+    script_free = F.concat(F.slice("classes", 1, len(CLASSES) - 1), F.array(F.lit(0).cast("long")))
+    nearest = []
+    for i, counts in enumerate((F.when(foreign, script_free).otherwise(F.col("classes")), F.col("commons"))):
+        distances = [js_distance(counts, pair[i]) for pair in found]
+        nearest.append(F.array_min(F.array(*distances)) if distances else F.lit(None).cast("double"))
+    rows = features.withColumns({"class_distance": nearest[0], "word_distance": F.when(~foreign, nearest[1])})
     failed = (F.col("n_words") < params.min_words) | (
         100 * F.col("n_repeat_words") > params.max_repeat_percent * F.col("n_words"))
     odd_classes = (F.col("n_chars") >= params.min_class_chars) & (F.col("class_distance") > params.max_class_distance)
@@ -144,8 +146,9 @@ def judge(features: DataFrame, params: QualityParams = QualityParams()) -> DataF
 def quality_rules(docs: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
     """One row per row of ``docs``: text_hash, the base counts, both distances, base_failed and kept.
 
-    Null and empty texts have no words and fail the base rules. Rows whose language has no word list (or none)
-    are judged by the nearest of all references, but add to none. With no reference the base rules decide alone.
+    Null and empty texts have no words and fail the base rules. Rows whose language has no word list (or is null)
+    add to no reference. Texts of a named language without a list have no word distance, and their classes are compared without
+    the bytes of their script; texts without a language are judged by the nearest of all references. With no reference the base rules decide alone.
     Repeated rows are judged each; an empty table gives no rows. Counts are written once, without the texts.
     """
     return judge(written(base_features(docs)), params)

@@ -280,3 +280,31 @@ def test_texts_without_common_words_go(make_docs):
     got = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in quality_rules.quality_rules(make_docs([*clean, *bare])).collect()}
     assert not any(failed for failed, _ in got.values())
     assert all(got[i][1] for i, _ in clean) and not any(got[i][1] for i, _ in bare)
+
+
+RUSSIAN = "в этом городе жили люди, которые каждый день ходили на работу через старый мост и говорили о погоде.".split()
+POLISH = "w tym mieście mieszkali ludzie, którzy codziennie chodzili do pracy przez stary most i rozmawiali o pogodzie.".split()
+
+
+def test_languages_without_a_word_list_are_kept_and_their_symbols_are_not(make_docs):
+    rng = random.Random(22)
+    clean = [(i, plain(rng, 300, 0.16)) for i in range(20)]
+
+    def mixed(words):
+        return " ".join(rng.choice(words) for _ in range(300))
+
+    other = [(100, mixed(RUSSIAN), "ru"), (101, mixed(POLISH), "pl")]
+    odd = [(110, mixed(RUSSIAN).replace(" ", "|#| "), "ru"), (111, mixed(POLISH).upper(), "pl")]
+    rows = quality_rules.quality_rules(make_docs([*clean, *other, *odd])).where("doc_id >= 100").collect()
+    assert {r["doc_id"]: r["kept"] for r in rows if not r["base_failed"]} == {100: True, 101: True, 110: False, 111: False}
+    assert all(r["word_distance"] is None for r in rows)
+
+
+@pytest.mark.parametrize("block_windows", [1, 50_000])
+def test_short_items_are_found_as_whole_words(spark, make_docs, block_windows):
+    benchmark = spark.createDataFrame([(1, "What is  two plus two?"), (2, "red green sun"), (3, "too short"), (4, prose(7, 45))], "item_id long, text string")
+    rows = [(10, "He asked: WHAT is two\nplus two? Nobody knew."), (11, "what is two plus three?"), (12, "a red green sunday, a red green sun"),
+            (13, "a bored green sun"), (14, "a red green sunday"), (15, "too short"), (16, "red green sun")]
+    got = decontaminate.contaminated(make_docs(rows), benchmark, block_windows=block_windows).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["begin"], r["end"], r["edits"]) for r in got) == [
+        (10, 1, 10, 31, 0), (12, 2, 22, 35, 0), (16, 2, 0, 13, 0)]
