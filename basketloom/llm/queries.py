@@ -32,10 +32,11 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The columns of the contract, then what was removed (``spans``, byte ranges) and the ``text`` that stays."""
     cut = suffix_dedup.remove_repeats(table(spark, folder, "documents"), length=400)
     removed = F.col("n_bytes") - F.octet_length("kept")
     return cut.select("doc_id", "n_bytes", removed.cast("long").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
-                      F.sha2("kept", 256).alias("kept_sha256"))
+                      F.sha2("kept", 256).alias("kept_sha256"), "spans", F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
 
 
 def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
