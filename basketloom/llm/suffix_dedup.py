@@ -28,6 +28,8 @@ LENGTH = 400
 GRAM = 101
 #: Windows of a part of a block.
 GRID = 32
+#: Slices of the hulls of a core, so that a core with a large part of all hulls is not one task.
+SLICES = 8
 #: Windows of a text that are hashed at once.
 CHUNK = 1 << 19
 #: Batches of one run; a stored index gets a batch for each delivery.
@@ -181,8 +183,9 @@ def _judged(pieces: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Repeated (core, hull), and one piece of each hull of those cores that have an unsettled hull beside others."""
     classes = written(pieces.groupBy("core", "hull").agg(F.count("*").alias("n"), F.min("piece").alias("piece")))
     mixed = classes.groupBy("core").agg(F.count("*").alias("hulls"), F.min("n").alias("least"))
-    mixed = mixed.where("hulls > 1 and least = 1").select("core")
-    return classes.where("n > 1").select("core", "hull"), classes.join(mixed, "core", "left_semi").select("piece.*")
+    mixed = mixed.where("hulls > 1 and least = 1").select("core", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))).alias("slice"))
+    sliced = classes.withColumn("slice", F.pmod(F.xxhash64("hull"), F.lit(SLICES)).cast("int"))
+    return classes.where("n > 1").select("core", "hull"), sliced.join(mixed, ["core", "slice"], "left_semi").select("piece.*")
 
 
 def _regions(rows: DataFrame, chosen: DataFrame, length: int) -> DataFrame:
