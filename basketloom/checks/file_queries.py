@@ -8,11 +8,13 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketloom.checks.stages import LABEL_DAYS, MIN_COOC, Stages
+from basketloom.checks.model_queries import fixed_ranker
+from basketloom.checks.stages import LABEL_DAYS, MIN_COOC, MIN_LIFT, REPORT_K, TOP_K, Stages
 from basketloom.functions.durable import shared_folder
 from basketloom.functions.times import instant, micros
 from basketloom.operators import lookup as lk
 from basketloom.operators import running as rn
+from basketloom.plans.analysis import ReportParams, reports_from_files
 from basketloom.sources import files
 from basketloom.streaming.ingest import answer_stream, ingest_orders_incremental
 from basketloom.streaming.label_pairs import close_days, stream_label_pairs, streamed_pairs
@@ -43,16 +45,34 @@ def _sampled(s: Stages, position: str) -> DataFrame:
     return files.sample_orders_csv(s.spark, _yearly_files(s), 1000, position)
 
 
-def _products_csv(s: Stages) -> DataFrame:
+def _product_files(s: Stages) -> str:
     path = _fresh(s, "products")
     s.tables.all_products().write.option("header", True).option("sep", ";").csv(path)
-    return files.read_products(s.spark, path).withColumn("blocked", F.col("blocked").cast("boolean"))
+    return path
 
 
-def _commerces_csv(s: Stages) -> DataFrame:
+def _commerce_files(s: Stages) -> str:
     path = _fresh(s, "commerces")
     s.tables.commerces().write.option("header", True).option("sep", ";").csv(path)
-    return files.read_commerces(s.spark, path)
+    return path
+
+
+def _products_csv(s: Stages) -> DataFrame:
+    return files.read_products(s.spark, _product_files(s)).withColumn("blocked", F.col("blocked").cast("boolean"))
+
+
+def _commerces_csv(s: Stages) -> DataFrame:
+    return files.read_commerces(s.spark, _commerce_files(s))
+
+
+def _report(s: Stages, report: str, table: str) -> DataFrame:
+    """A report table on all stores, from files of orders, products, stores and the fixed model."""
+    model, params = _fresh(s, "model"), ReportParams(REPORT_K, 0, 0.8, 0.1, 0.1, MIN_COOC, MIN_LIFT, TOP_K, drop_blocked=True)
+    fixed_ranker().save(s.spark, model)
+    return reports_from_files(
+        s.spark, raw_paths=[_order_files(s)], interim_path=_fresh(s, "clean"), products_path=_product_files(s),
+        commerces_path=_commerce_files(s), model_path=model, out_folder=_fresh(s, "reports"), reports=[report],
+        params=params)[f"{report}/{table}"]
 
 
 def _ingested(s: Stages) -> DataFrame:
@@ -111,6 +131,8 @@ def _running_candidates(s: Stages) -> DataFrame:
 BUILDERS = {
     "label_pairs_stream": _streamed_pairs,
     "running_candidates": _running_candidates,
+    "personalization_report_files": lambda s: _report(s, "personalization", "kiosk_products"),
+    "novelty_report_files": lambda s: _report(s, "novelty", "by_position").withColumn("new_pct", F.round("new_pct", 6)),
     "sample_orders_head": lambda s: _sampled(s, "head"),
     "sample_orders_tail": lambda s: _sampled(s, "tail"),
     "read_products": _products_csv,

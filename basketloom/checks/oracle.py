@@ -298,6 +298,11 @@ ORDER_RANK = f"row_number() OVER (ORDER BY order_dt, {_draw(0, 'order_id', 'prod
 # The two trees of the fixed model.
 FIXED_SCORE = """(CASE WHEN cooc_cosine_sim <= 0.05 THEN -1.0 WHEN pop_store <= 2 THEN 0.25 ELSE 1.5 END
             + CASE WHEN cand_is_new <= 0 THEN 0.5 WHEN cooc_cosine_sim <= 0.1 THEN -0.125 ELSE 2.0 END)::DOUBLE"""
+# Its lists, for the reports made from files.
+STEPS["fixed_top"] = f"""
+        SELECT * EXCLUDE (score), row_number() OVER (PARTITION BY kiosk_id, anchor_product_id
+                                                     ORDER BY {FIXED_SCORE} DESC, candidate_product_id) AS rank
+        FROM scored QUALIFY rank <= 5"""
 
 
 def _yearly(way: str) -> str:
@@ -741,6 +746,8 @@ QUERIES["stump_nodes"] = _stump("""SELECT 1 AS tree, 0 AS node, 0 AS feature, 0.
 QUERIES["stump_importance"] = _stump("SELECT 'same_brand' AS feature, round(gain, 6) AS gain FROM gains")
 QUERIES["stump_eval_curve"] = _stump("""SELECT 1 AS iteration, dataset, 'ndcg@' || k AS metric, round(avg(ndcg), 6) AS value
         FROM graded, (VALUES ('train'), ('valid')) AS parts(dataset) GROUP BY k, dataset""")
+QUERIES["personalization_report_files"] = QUERIES["kiosk_rec_sets"].replace("FROM top", "FROM fixed_top")
+QUERIES["novelty_report_files"] = QUERIES["new_share_by_position"].replace("FROM top_at", "FROM fixed_top")
 QUERIES["recommend_requests_bucketed"] = QUERIES["recommend_requests"]
 QUERIES["recommend_requests_stream"] = QUERIES["recommend_requests"]
 

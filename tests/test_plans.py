@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketloom.operators.ranker import Ranker, RankerParams
-from basketloom.plans.analysis import novelty_report, personalization_report, score_test_period
+from basketloom.plans.analysis import ReportParams, novelty_report, personalization_report, reports_from_files, score_test_period
 from basketloom.plans.scoring import ScoringParams, generate_predictions
 from basketloom.plans.training import TrainingParams, run_training
 from basketloom.sources.star import StarTables
@@ -74,3 +74,19 @@ def test_reports_on_scored_stores(spark, result, data_dir, folder):
     for name, table in {**personalization_report(scored, tables.products()),
                         **novelty_report(scored, tables.products())}.items():
         assert not table.isEmpty(), name
+
+
+def test_reports_from_files(spark, result, data_dir, folder):
+    """The written tables are those of the same plan on tables; nothing else is left in the scratch folder."""
+    paths = {"raw_paths": [str(folder / "orders")], "interim_path": str(folder / "again"), "products_path": str(folder / "products"),
+             "commerces_path": str(folder / "commerces"), "model_path": str(folder / "model"), "out_folder": str(folder / "reports")}
+    tables = reports_from_files(spark, **paths, params=ReportParams(n_kiosks=30, min_lift=1.0))
+    assert {name.split("/")[0] for name in tables} == {"personalization", "novelty"} and len(tables) == 13
+    star = StarTables(spark, data_dir)
+    scored = score_test_period(spark.read.parquet(str(folder / "interim")), star.products(), star.commerces(),
+                               Ranker.load(spark, str(folder / "model")), n_kiosks=30, min_lift=1.0)
+    want = novelty_report(scored, star.products())
+    for name in ("totals", "by_position", "pool"):
+        assert sorted(map(tuple, tables[f"novelty/{name}"].collect())) == sorted(map(tuple, want[name].collect())), name
+    with pytest.raises(ValueError, match="no such report: sales"):
+        reports_from_files(spark, **paths, reports=["sales"])

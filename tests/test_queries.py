@@ -16,7 +16,8 @@ SOME = ["sample_orders_head", "sample_orders_tail", "last_orders", "read_product
         "predict_scores", "ranker_save_load",
         "fixed_score_stats", "lambda_gradients", "stump_nodes", "stump_importance", "stump_eval_curve", "label_pairs_stream", "running_candidates", "orders_profile_sketched", "basket_sizes_sketched", "catalog_changes",
         "catalog_change_summary", "catalog_rows_in_one", "repurchase_gaps", "repurchase_summary", "local_daily_totals",
-        "inference_window_local", "split_by_local_day", "recommend_requests_bucketed", "split_summary", "orders_profile", "generate_candidates", "anchor_fallback", "recommend_with_fallback", "baseline_overlap"]
+        "inference_window_local", "split_by_local_day", "recommend_requests_bucketed", "split_summary", "orders_profile", "generate_candidates", "anchor_fallback", "recommend_with_fallback", "baseline_overlap",
+        "personalization_report_files", "novelty_report_files"]
 ORACLES = entry_points.oracle_sql()
 
 
