@@ -215,9 +215,11 @@ def _found(docs: DataFrame, block: list[tuple], item_type: str) -> DataFrame:
             for first, texts in _slices(batch.column(1).to_pylist()):
                 starts = np.cumsum([0] + [len(t) + len(BETWEEN) for t in texts])
                 for w, begin, end, edits in index.search(BETWEEN.join(texts)):
-                    i = int(np.searchsorted(starts, begin, "right")) - 1
+                    # Edits at an end of a text may reach into what stands between two texts; the middle of a region never does.
+                    i = int(np.searchsorted(starts, (begin + end) // 2, "right")) - 1
                     at.append(first + i)
-                    out.append((*index.windows[w][:2], begin - int(starts[i]), end - int(starts[i]), edits))
+                    begin, end = max(0, begin - int(starts[i])), min(len(texts[i]), end - int(starts[i]))
+                    out.append((*index.windows[w][:2], begin, end, edits))
             columns = [pa.array(c, t) for c, t in zip(list(zip(*out, strict=True)) or [[]] * 5, types, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *columns],
                                              ["doc_id", "item_id", "at", "begin", "end", "edits"])

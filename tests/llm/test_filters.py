@@ -308,3 +308,42 @@ def test_short_items_are_found_as_whole_words(spark, make_docs, block_windows):
     got = decontaminate.contaminated(make_docs(rows), benchmark, block_windows=block_windows).collect()
     assert sorted((r["doc_id"], r["item_id"], r["begin"], r["end"], r["edits"]) for r in got) == [
         (10, 1, 10, 31, 0), (12, 2, 22, 35, 0), (16, 2, 0, 13, 0)]
+
+
+def test_whole_operator_against_all_windows_by_brute_force(spark, make_docs):
+    """Every window of every item aligned with every whole text by the full table: the same pairs, counts and fewest edits."""
+    rng = random.Random(31)
+    items = [(i, prose(700 + i, 9 + 6 * i)) for i in range(4)] + [(9, prose(700, 9) + " and " + prose(720, 12))]
+    rows = [(100, prose(800, 30)), (101, ""), (102, None)]
+    for i, edits in enumerate((0, 1, 2, 5, 9)):
+        item = items[i % 4][1]
+        rows.append((110 + i, f"{prose(810 + i, 8)} {changed(item, rng, edits)} {prose(820 + i, 8)}"))
+        rows.append((120 + i, f"{item[len(item) // 4 :]}\n{changed(items[4][1], rng, i)}"))
+    want = {}
+    for doc, text in rows:
+        text = decontaminate.normal((text or "").encode())
+        for item, passage in items:
+            passage = decontaminate.normal(passage.encode())
+            last = max(0, len(passage) - decontaminate.WINDOW)
+            best = []
+            for at in {*range(0, last, decontaminate.STEP), last}:
+                window = passage[at : at + decontaminate.WINDOW]
+                assert len(window) >= decontaminate.EXACT_BELOW
+                edits = edit_distance_inside(window, text)
+                best += [edits] if edits <= decontaminate.edit_budget(len(window)) else []
+            if best:
+                want[doc, item] = (len(best), min(best))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    for block_windows in (2, 50_000):
+        found = decontaminate.contaminated(make_docs(rows), benchmark, block_windows=block_windows).collect()
+        assert {(r["doc_id"], r["item_id"]): (r["n_windows"], r["edits"]) for r in found} == want
+    assert len(want) > 8 and {0, 1} <= {edits for _, edits in want.values()}
+
+
+def test_a_text_that_begins_inside_an_item_is_not_its_neighbours_leak(spark, make_docs):
+    """The window's first letters are missing; the edits stand before the text, where the text before it ends."""
+    item = decontaminate.normal(prose(740, 40)[:90].encode())
+    docs = make_docs([(1, prose(830, 30)), (2, item[3:] + " " + prose(831, 20)), (3, prose(832, 30)), (4, prose(833, 20) + " " + item[:-3]), (5, prose(834, 30))])
+    found = decontaminate.contaminated(docs.coalesce(1), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["begin"]) for r in found)[0] == (2, 0) and all(3 <= r["edits"] <= 4 for r in found) and {r["doc_id"] for r in found} == {2, 4}
+    assert next(r for r in found if r["doc_id"] == 4)["end"] == len(decontaminate.normal((prose(833, 20) + " " + item[:-3]).encode()))

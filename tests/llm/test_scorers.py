@@ -201,3 +201,41 @@ def test_models_of_one_session_are_told_apart(spark, make_docs):
         docs = make_docs(rows)
         got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(docs, langid.train(docs)).collect()}
         assert got == {i: lang for i, _, lang in rows}, turn
+
+
+def test_quality_scores_against_a_plain_forward_pass(make_docs, messy_rows):
+    """Features counted pair by pair, layers neuron by neuron, for every row."""
+    rng, size, groups = random.Random(12), mil_quality.PASSAGE, mil_quality.N_GROUPS
+    rows = [*messy_rows, *((300 + i, "\n".join(rng.choice(["ab c.", "Zeile 9", "same", "é ü"]) for _ in range(60 * i))) for i in range(5))]
+    model = mil_quality.AttentionModel.new(np.concatenate([mil_quality.passages((r[1] or "").encode()) for r in rows[:8]]), 5, 3, 2)
+    w = {k: v.astype(float).tolist() for k, v in model.weights.items()}
+
+    def layer(x, matrix, bias=None):
+        return [sum(a * row[j] for a, row in zip(x, matrix, strict=True)) + (bias[j] if bias else 0) for j in range(len(matrix[0]))]
+
+    def plain(text):
+        again, seen = [], set()
+        for line in text.split(b"\n"):
+            again += [line in seen and line != b""] * (len(line) + 1)
+            seen.add(line)
+        values, weights = [], []
+        for at in range(0, max(1, len(text)), size):
+            part = text[at : at + size]
+            x = [0.0] * mil_quality.N_FEATURES
+            # The pair that leads into a passage is its own.
+            for a, b in zip(text[max(0, at - 1) : at] + part[: len(part) - (at == 0)], part[at == 0 :]):
+                x[int(mil_quality._GROUP_OF[a]) * groups + int(mil_quality._GROUP_OF[b])] += 1
+            if part:
+                x = [math.sqrt(v / len(part)) for v in x]
+                x[-2:] = [sum(again[at : at + len(part)]) / len(part), len(part) / size]
+            x = [min(8.0, max(-8.0, (v - m) / s)) for v, m, s in zip(x, model.mean.tolist(), model.scale.tolist(), strict=True)]
+            h = [math.tanh(v) for v in layer(x, w["enc"], w["enc0"])]
+            gated = [math.tanh(a) / (1 + math.exp(-b)) for a, b in zip(layer(h, w["tan"]), layer(h, w["sig"]), strict=True)]
+            values.append(h)
+            weights.append(math.exp(layer(gated, w["att"])[0]))
+        z = [sum(a * h[j] for a, h in zip(weights, values, strict=True)) / sum(weights) for j in range(len(values[0]))]
+        return 1 / (1 + math.exp(-layer(z, w["out"], w["out0"])[0]))
+
+    short = [r for r in rows if len(r[1] or "") < 50_000]
+    got = sorted(r["score"] for r in mil_quality.score(make_docs(short), model).collect())
+    assert got == pytest.approx(sorted(plain((r[1] or "").encode()) for r in short), abs=1e-4) and len(short) >= 10
