@@ -20,7 +20,8 @@ PARAMS = TrainingParams(
     eval_ks=[5, 10, 20],
     ranker=RankerParams(learning_rate=0.3, max_depth=4, min_data_in_leaf=20, num_boost_round=200, early_stopping_rounds=3))
 
-# One trained model per application and directory: the queries below share it.
+# One trained model per application and directory: the queries below share it. On a large history of independent products
+# no pair reaches MIN_LIFT, so that there is nothing to learn from: the model has no trees then.
 _trained: dict[tuple[str, str], tuple] = {}
 
 
@@ -28,7 +29,7 @@ def trained(s: Stages):
     key = (s.spark.sparkContext.applicationId, s.tables.directory)
     if key not in _trained:
         splits = labeled_splits(s.orders, s.products, s.active[1], PARAMS)
-        _trained[key] = (splits, train_and_evaluate(splits, PARAMS))
+        _trained[key] = (splits, train_and_evaluate(splits, PARAMS, may_be_empty=True))
     return _trained[key]
 
 
@@ -88,7 +89,7 @@ def _stump(s: Stages) -> Ranker:
     if key not in _stumps:
         anchor, candidate = (F.substring_index(name, "-", 1) for name in ("anchor_product_id", "candidate_product_id"))
         rows = s.labeled.select(*ROW_KEYS, "label", (anchor == candidate).cast("double").alias("same_brand"))
-        _stumps[key] = train_ranker(rows, rows, STUMP)
+        _stumps[key] = train_ranker(rows, rows, STUMP, may_be_empty=True)
     return _stumps[key]
 
 

@@ -242,9 +242,12 @@ def _walk(java_node, places: list[int], values: list[float], nodes: list[tuple],
     visit(java_node)
 
 
-def train_ranker(train: DataFrame, val: DataFrame, params: RankerParams = RankerParams()) -> Ranker:
+def train_ranker(train: DataFrame, val: DataFrame, params: RankerParams = RankerParams(), *, may_be_empty: bool = False) -> Ranker:
     """Boost trees on lambda gradients until validation NDCG stops rising.
 
+    With nothing to learn from (no training or validation rows, or no training query with both kinds of candidates)
+    this is an error, or with ``may_be_empty`` a model without trees, which scores every row 0.
+
     Rows are packed to one row per query, so that a round shuffles nothing but the tree's own statistics; it
     collects its leaf sums (at most ``2 ** max_depth`` rows) and the mean metrics. Training stops when NDCG at any
     of ``eval_ks`` hasn't risen for ``early_stopping_rounds``; the trees up to that metric's best round stay.
@@ -252,6 +255,8 @@ def train_ranker(train: DataFrame, val: DataFrame, params: RankerParams = Ranker
     numeric, categorical = feature_columns(train)
     features = numeric + categorical
     if train.isEmpty() or val.isEmpty():
+        if may_be_empty:
+            return Ranker(features, categorical)
         raise ValueError("no training or validation rows: change the split ratios or add data")
     inputs = encode_features(features, categorical)
     packed = materialize(packed_queries(train, "train", inputs).union(packed_queries(val, "valid", inputs)))
@@ -261,6 +266,13 @@ def train_ranker(train: DataFrame, val: DataFrame, params: RankerParams = Ranker
     best = {k: (-1.0, 0) for k in params.eval_ks}
     unwritten: list[tuple] = []
     state = graded_queries(packed, [], params.eval_ks).persist()
+    teaching = gradient_rows(state.filter("part = 'train'")).limit(100).count()
+    if not teaching:
+        state.unpersist()
+        forget(packed)
+        if may_be_empty:
+            return ranker
+        raise ValueError("no training query has positives and negatives: change the label window or add data")
 
     for turn in range(1, params.num_boost_round + 1):
         places = sorted(int(i) for i in draw.choice(len(features), wanted, replace=False))
@@ -268,11 +280,14 @@ def train_ranker(train: DataFrame, val: DataFrame, params: RankerParams = Ranker
             "query", "candidates", array_to_vector("x").alias("x"), "push", "curve", (F.col("push") / F.col("curve")).alias("target"))
         rows = VectorSlicer(inputCol="x", outputCol="some", indices=places).transform(rows)
         bag = F.pmod(F.xxhash64(F.lit(params.seed * 1000 + turn), "query", "candidates"), F.lit(10_000))
+        bagged = rows.filter(bag < int(10_000 * params.bagging_fraction))
+        if teaching < 100 and bagged.isEmpty():
+            bagged = rows       # a bag of so few rows may come out empty
         tree = DecisionTreeRegressor(
             featuresCol="some", labelCol="target", weightCol="curve", leafCol="leaf", maxDepth=params.max_depth,
             minInstancesPerNode=params.min_data_in_leaf, minInfoGain=params.min_gain, maxBins=params.max_bins,
             seed=params.seed + turn,
-        ).fit(rows.filter(bag < int(10_000 * params.bagging_fraction)))
+        ).fit(bagged)
         sums = (tree.transform(rows).groupBy(F.col("leaf").cast("int").alias("leaf"))
                 .agg(F.sum("push").alias("push"), F.sum("curve").alias("curve")).collect())
         steps = {row["leaf"]: params.learning_rate * row["push"] / (row["curve"] + params.lambda_l2) for row in sums}

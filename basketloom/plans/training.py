@@ -130,11 +130,15 @@ class TrainingResult:
 
 
 def train_and_evaluate(splits: LabeledSplits, params: TrainingParams = TrainingParams(),
-                       model_path: str | None = None) -> TrainingResult:
-    """Train on the labelled splits, save the model, then measure it on the test rows."""
+                       model_path: str | None = None, may_be_empty: bool = False) -> TrainingResult:
+    """Train on the labelled splits, save the model, then measure it on the test rows.
+
+    ``may_be_empty``: a history without anything to learn from gives a model without trees instead of an error.
+    """
     spark = splits.train.sparkSession
     # The metrics of the final table are those that training watches.
-    ranker = train_ranker(splits.train, splits.val, replace(params.ranker, eval_ks=tuple(sorted(params.eval_ks))))
+    ranker = train_ranker(splits.train, splits.val, replace(params.ranker, eval_ks=tuple(sorted(params.eval_ks))),
+                          may_be_empty=may_be_empty)
     if model_path:
         ranker.save(spark, model_path)
     scored = materialize(predict_scores(splits.test, ranker).select(*ROW_KEYS, "label", "score"))

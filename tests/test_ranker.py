@@ -78,6 +78,29 @@ def test_empty_training_data_is_an_error(planted):
         train_ranker(planted[0].limit(0), planted[1], PARAMS)
 
 
+def test_nothing_to_learn_from(spark, planted, tmp_path):
+    """No rows, or no query with both kinds: an error, or on request a model without trees that scores, saves and loads."""
+    train, val = planted
+    alike = train.withColumn("label", F.lit(0).cast("tinyint"))
+    for rows, judged in ((train.limit(0), val), (train, val.limit(0)), (alike, val)):
+        with pytest.raises(ValueError):
+            train_ranker(rows, judged, PARAMS)
+        bare = train_ranker(rows, judged, PARAMS, may_be_empty=True)
+        assert (bare.nodes, bare.curve, bare.best_iteration) == ([], [], 0)
+        assert predict_scores(val, bare).filter("score = 0").count() == val.count()
+    bare.save(spark, str(tmp_path / "bare"))
+    again = Ranker.load(spark, str(tmp_path / "bare"))
+    assert (again.features, again.nodes, again.best_iteration) == (bare.features, [], 0)
+    assert {r["gain"] for r in again.feature_importance(spark).collect()} == {0.0}
+
+
+def test_few_rows_and_an_empty_bag(planted):
+    train, val = (df.filter("kiosk_id in ('3', '150') and candidate_product_id in ('1', '2', '3', '4', '5', '6')").withColumn(
+        "label", (F.col("candidate_product_id") == "2").cast("tinyint")) for df in planted)
+    few = train_ranker(train, val, RankerParams(**{**PARAMS.__dict__, "bagging_fraction": 0.0001, "num_boost_round": 1, "min_data_in_leaf": 1}))
+    assert few.nodes and len(few.curve) == 2
+
+
 def test_gain_of_kept_trees_only(spark, planted):
     """Weighted variance gain, read from the nodes: trees after the best round don't count."""
     hand = Ranker(["a", "b"], [], [(1, 0, 1, 0.5, 1, 2, 0.0, 3.0), (1, 1, -1, 0.0, 0, 0, 1.0, 0.0), (1, 2, 0, 0.5, 3, 4, 0.0, 1.5),
