@@ -104,7 +104,8 @@ def _tree_pairs(events: DataFrame, width: int, products_per_cell: int = 1_000) -
             "cell", F.explode(F.sequence(one, F.col("cells") - 1))).drop("cells")
         others = others.join(large, where, "left_anti").withColumn("cell", one).unionByName(many_others)
         anchors = anchors.join(large, where, "left_anti").withColumn("cell", one).unionByName(many_anchors)
-    return (anchors.join(others, [*where, "cell"])
+    # The planner takes the sides, unfolded over all levels, for as small as the points they come from, and would broadcast one.
+    return (anchors.join(others.hint("merge"), [*where, "cell"])
             .filter(F.col("anchor_product_id") != F.col("candidate_product_id"))
             .select(*ROW_KEYS, (F.col("n1") * F.col("n2")).alias("pairs")))
 

@@ -122,3 +122,10 @@ def test_candidate_recall(spark):
     assert (out["total_pos"], out["hits"], out["recall"]) == (2, 1, 0.5)
     none = lb.candidate_recall(rows.select("kiosk_id", "anchor_product_id"), rows, pairs.limit(0)).first()
     assert none["recall"] is None
+
+
+def test_unfolded_sides_of_busy_stores_are_not_broadcast(order_lines, capsys):
+    """Their size is a multiple of the points' that the planner can't see."""
+    lb.label_pairs_window(order_lines(random_rows(7)), window_days=7, busy_bucket=0).explain()
+    met = [line for line in capsys.readouterr().out.splitlines() if "Join" in line and "frame" in line]
+    assert met and all("SortMergeJoin" in line for line in met)
