@@ -146,6 +146,66 @@ def test_document_scores_against_brute_force(make_docs, messy_rows, hot):
     assert [r["score"] for r in got] == pytest.approx([w[6] for w in want])
 
 
+def all_counts(word, weights, byte, share, used, out):
+    """Adds to ``out`` the pieces of every segmentation, each by the weight of the whole segmentation."""
+    if not word:
+        for piece in used:
+            out[piece] += share
+    for n in range(1, len(word) + 1):
+        if word[:n] in weights:
+            all_counts(word[n:], weights, byte, share * math.exp(weights[word[:n]]), [*used, word[:n]], out)
+    if word and word[0] not in weights:
+        width = len(word[0].encode())
+        all_counts(word[1:], weights, byte, share * math.exp(width * byte), [*used, *[None] * width], out)
+
+
+def test_expected_counts_against_all_segmentations():
+    pieces = lattice_lm.pieces_from_scores(SCORES)
+    words, want = ["", "a", "abc", "abab", "cabc", "zé", "日b", "abc" * 3], Counter()
+    for word in words:
+        one = Counter()
+        all_counts(lattice_lm.SPACE + word, pieces.weights, pieces.byte, 1.0, [], one)
+        for piece, n in one.items():
+            want[piece] += n / all_cuts(lattice_lm.SPACE + word, pieces.weights, pieces.byte)
+    got = lattice_lm.Lattice(pieces).expected_counts([*words, "a" * 90])
+    assert got.tolist() == pytest.approx([want[p] for p in [*pieces.weights, None]])
+    fitted = lattice_lm.pieces_from_counts(list(pieces.weights), got)
+    assert sum(map(math.exp, fitted.weights.values())) + 256 * math.exp(fitted.byte) == pytest.approx(1)
+
+
+def test_learned_scores_against_brute_force(make_docs, messy_rows):
+    """Weights fitted to the distinct training words, whole words by discounted counts; known texts come near the base score."""
+    rows = [*messy_rows, *((i, "ab abc cab ab new" + str(i)) for i in range(20, 60))]
+    got = sorted(lattice_lm.lattice_scores(make_docs(rows), SCORES, rounds=2, fit_words=10**9).collect(), key=lambda r: repr((r["doc_id"], r["n_tokens"])))
+    tokens = {k: (r[1] or "").encode().lower().split() for k, r in enumerate(rows)}
+    training = [k for k, r in enumerate(rows) if r[0] is not None and rest(r[0], 10) != 0]
+    counts = Counter(w for k in training for w in tokens[k])
+    n, end = counts.total(), len(training) / (counts.total() + len(training))
+    pieces = lattice_lm.pieces_from_scores(SCORES)
+    for _ in range(2):
+        learned = lattice_lm.Lattice(pieces).expected_counts([w.decode() for w in counts if len(w) <= 64])
+        pieces = lattice_lm.pieces_from_counts(list(pieces.weights), learned)
+    times = Counter(counts.values())
+    taken = min(0.9, max(0.1, times[1] / (times[1] + 2 * times[2])))
+    want = []
+    for k, r in enumerate(rows):
+        logs = [max(counts[w] - taken, 0) / n + taken * len(counts) / n * math.exp(lattice_lm.word_log(w.decode(), pieces)) for w in tokens[k]]
+        want.append((r[0], len(tokens[k]) + 1, math.log10(end) + sum(math.log10(p * (1 - end)) for p in logs)))
+    want.sort(key=lambda r: repr((r[0], r[1])))
+    assert [r["score"] for r in got] == pytest.approx([w[2] for w in want])
+    plain = lattice_lm.lattice_scores(make_docs(rows), SCORES).where("held_out").selectExpr("sum(score)", "sum(base_score)").first()
+    held = sum(r["score"] for r in got if r["held_out"])
+    assert plain[0] < held and held > plain[1] - 0.25 * abs(plain[1])
+
+
+def test_learned_likelihood_of_nothing_and_of_unseen_words(make_docs):
+    assert lattice_lm.lattice_scores(make_docs([]), SCORES, rounds=2).count() == 0
+    held, kept = (next(i for i in range(100) if (rest(i, 10) == 0) == out) for out in (True, False))
+    for rows in ([(held, "ab")], [(held, "ab zz"), (kept, "")], [(held, "ab zz " + "q" * 300), (kept, "ab ab c c")], [(held, None), (None, "x")]):
+        for row in lattice_lm.lattice_scores(make_docs(rows), SCORES, rounds=2).collect():
+            assert math.isfinite(row["score"]) and row["score"] <= 0, (rows, row)
+
+
 def test_likelihood_of_nothing(make_docs):
     assert lattice_lm.lattice_scores(make_docs([]), SCORES).count() == 0
     held = next(i for i in range(100) if rest(i, 10) == 0)
