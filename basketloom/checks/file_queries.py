@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import timedelta
 
 from pyspark.sql import DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from basketloom.checks.model_queries import fixed_ranker
 from basketloom.checks.stages import LABEL_DAYS, MIN_COOC, MIN_LIFT, REPORT_K, TOP_K, Stages
-from basketloom.functions.durable import shared_folder
+from basketloom.functions.durable import delete, shared_folder
 from basketloom.functions.times import instant, micros
 from basketloom.operators import lookup as lk
 from basketloom.operators import running as rn
@@ -36,8 +37,22 @@ def _yearly_files(s: Stages) -> str:
     path = _fresh(s, "yearly")
     order = ["orderdt", "orderid", "productid", "quantity", "documenttype", "userid"]
     years = s.raw.withColumn("orderdt", F.col("orderdt").cast("string")).withColumn("year", F.substring("orderdt", 1, 4))
-    (years.repartition("year").sortWithinPartitions("year", *order)
-     .write.option("header", True).partitionBy("year").csv(path))
+    # Ranges of the order are sorted apart, one file for each range and year; a year's file is then written from its ranges
+    # one after another, so that no task sorts a year.
+    sorted_path = _fresh(s, "ranges")
+    (years.repartitionByRange("year", *order).sortWithinPartitions("year", *order)
+     .write.partitionBy("year").parquet(sorted_path))
+    folders: dict[str, list[str]] = {}
+    for file in sorted(s.spark.read.parquet(sorted_path).inputFiles()):
+        folders.setdefault(file.rpartition("/")[0], []).append(file)
+
+    def write(folder: str) -> None:
+        ranges = [s.spark.read.schema(years.drop("year").schema).parquet(file) for file in folders[folder]]
+        files.union_by_name(ranges).coalesce(1).write.option("header", True).csv(f"{path}/{folder.rpartition('/')[2]}")
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(write, folders))
+    delete(s.spark, sorted_path)
     return path
 
 

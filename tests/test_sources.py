@@ -90,3 +90,31 @@ def test_streamed_requests(spark, tmp_path):
     stream = spark.readStream.schema("anchor_id string, kiosk_id string, limit int").parquet(asked)
     answer_stream(stream, lookup, str(tmp_path / "answers"), str(tmp_path / "mark")).awaitTermination()
     assert [(r["anchor_id"], r["product_id"]) for r in spark.read.parquet(str(tmp_path / "answers")).collect()] == [("a", "y")]
+
+
+def test_yearly_files_are_sorted_in_ranges(spark, monkeypatch):
+    """One file a year in the order of all columns, put together from ranges that are sorted apart; equal and missing values stay."""
+    from types import SimpleNamespace
+
+    from basketloom.checks import file_queries
+
+    rows = [("order", str(i % 90), str(i % 7), f"p{i % 5}", f"199{i % 3}-0{1 + i % 9}-01 00:00:00" if i % 10 else None, float(i % 4)) for i in range(600)]
+    raw = spark.createDataFrame(rows, "documenttype string, orderid string, userid string, productid string, orderdt string, quantity double")
+    seen, union = [], file_queries.files.union_by_name
+    monkeypatch.setattr(file_queries.files, "union_by_name", lambda parts: seen.append(len(parts)) or union(parts))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = file_queries._yearly_files(SimpleNamespace(spark=spark, raw=raw))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(seen) == 4 and max(seen) > 1
+    by_year = {}
+    for row in rows:
+        by_year.setdefault((row[4] or "none")[:4], []).append(row)
+    got = {}
+    for file in spark.read.text(path).inputFiles():
+        lines = [tuple(r) for r in spark.read.option("header", True).csv(file).select("orderdt", "orderid", "productid", "quantity", "documenttype", "userid").collect()]
+        assert lines == sorted(lines, key=lambda line: [v or "" for v in line])
+        got[(lines[0][0] or "none")[:4]] = lines
+    assert {y: sorted(map(repr, v)) for y, v in got.items()} == {
+        y: sorted(repr((r[4], r[1], r[3], str(r[5]), r[0], r[2])) for r in v) for y, v in by_year.items()}
