@@ -124,8 +124,14 @@ def _streamed_pairs(s: Stages) -> DataFrame:
     ends = lines.agg(F.min("order_dt").alias("low"), F.max("order_dt").alias("high")).first()
     span = int((ends["high"] - ends["low"]).total_seconds()) // 6 + 1
     part = F.floor((micros(F.col("order_dt")) - micros(instant(ends["low"]))) / (span * 1_000_000))
+    # The spans are parted once, by all tasks; the one task that writes a span's file reads no other lines.
+    spans = _fresh(s, "spans")
+    tagged = lines.withColumn("part", part.cast("int"))
+    tagged.write.partitionBy("part").parquet(spans)
+    parted = s.spark.read.schema(tagged.schema).parquet(spans)
     for number in (1, 0, 3, 2, 5, 4, 0):
-        lines.where(part == number).coalesce(1).write.mode("append").parquet(folder)
+        parted.where(F.col("part") == number).drop("part").coalesce(1).write.mode("append").parquet(folder)
+    delete(s.spark, spans)
     close_days(s.spark, folder, ends["high"] + timedelta(seconds=4 * span + 30 * 86_400))
     late = stream_label_pairs(s.spark, folder, out, mark, window_days=LABEL_DAYS, delay=f"{2 * span} seconds", files_per_batch=1)
     return streamed_pairs(s.spark, out).withColumn("late_lines", F.lit(late).cast("bigint"))

@@ -38,6 +38,15 @@ def matched_lines(spark: SparkSession, folder: str, *, window_days: int, delay:
         F.col("c.product_id").alias("candidate_product_id"), F.col("c.at").alias("at"))
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """Two for each core, at most what the session asks for.
+
+    Every partition of the state has five stores that are committed in every batch, whether lines came or not, and
+    adaptive execution doesn't merge them.
+    """
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+
+
 def stream_label_pairs(spark: SparkSession, folder: str, out_path: str, checkpoint_path: str, *, window_days: int = 7,
                        delay: str = "1 day", files_per_batch: int = 1000) -> int:
     """Takes all new files of ``folder`` (parquet lines of store, product and ``order_dt``), appends partial counts to ``out_path`` and
@@ -45,12 +54,19 @@ def stream_label_pairs(spark: SparkSession, folder: str, out_path: str, checkpoi
 
     Late lines are in no pair. Lines of unknown store, product or time are in none either. The checkpoint holds the waiting
     lines and the days that are still open, so a call after a failure or for new files goes on where the last one ended.
+    The first call fixes the number of state partitions, see ``state_partitions``.
     """
     pairs = matched_lines(spark, folder, window_days=window_days, delay=delay, files_per_batch=files_per_batch)
     days = pairs.groupBy(F.window("at", "1 day").alias("day"), *ROW_KEYS).agg(F.count("*").alias("n"))
     out = days.select(F.col("day.start").cast("date").alias("day"), *ROW_KEYS, "n")
-    query = (out.writeStream.format("parquet").outputMode("append").option("path", out_path)
-             .option("checkpointLocation", checkpoint_path).trigger(availableNow=True).start())
+    asked = spark.conf.get("spark.sql.shuffle.partitions")
+    # The stream keeps the settings that it starts with; the session gets its own back.
+    spark.conf.set("spark.sql.shuffle.partitions", state_partitions(spark))
+    try:
+        query = (out.writeStream.format("parquet").outputMode("append").option("path", out_path)
+                 .option("checkpointLocation", checkpoint_path).trigger(availableNow=True).start())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", asked)
     dropped: dict[int, int] = {}
     ended = False
     while not ended:

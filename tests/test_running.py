@@ -1,3 +1,4 @@
+import os
 import random
 from datetime import date, datetime, timedelta
 
@@ -98,3 +99,21 @@ def test_streamed_pairs_over_shuffled_files(spark, tmp_path):
     batch = spark.createDataFrame([("o", *x) for x in lines], "order_id string, " + lp.LINES)
     want = rows_of(label_pairs_window(batch, window_days=7))
     assert rows_of(lp.streamed_pairs(spark, out)) == want and before < sum(w[3] for w in want)
+
+
+def test_few_state_partitions(spark, tmp_path):
+    """The state has two partitions for each core, whatever the session asks for, and the session keeps its own number."""
+    folder, out, mark = (str(tmp_path / name) for name in ("in", "out", "mark"))
+    rows = [("k1", "p1", datetime(2020, 1, 1)), ("k1", "p2", datetime(2020, 1, 2))]
+    spark.createDataFrame(rows, lp.LINES).coalesce(1).write.parquet(folder)
+    asked = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "37")
+    try:
+        lp.close_days(spark, folder, datetime(2020, 3, 1))
+        lp.stream_label_pairs(spark, folder, out, mark)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "37"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", asked)
+    assert rows_of(lp.streamed_pairs(spark, out)) == [("k1", "p1", "p2", 1)]
+    parts = [name for name in os.listdir(f"{mark}/state/0") if name.isdigit()]
+    assert len(parts) == min(37, 2 * spark.sparkContext.defaultParallelism)
