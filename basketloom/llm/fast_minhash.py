@@ -27,6 +27,7 @@ from xxhash import xxh64_intdigest
 
 from basketloom.llm.columns import dropped, written
 from basketloom.llm.components import components
+from basketloom.llm.url_filter import possibly_listed
 
 SHINGLE = 4
 PERCENT = 80
@@ -150,14 +151,25 @@ def _signed(batch: pa.RecordBatch, sets: list[np.ndarray]) -> pa.RecordBatch:
         ["doc_id", "text_hash", "n_shingles", "set_key", "bands", "bytes"])
 
 
+def _possible_rows(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose text has a wanted hash, and few others: a Bloom filter goes to the texts, so that no other text is shuffled."""
+    keys = wanted.select(F.col("_hash").alias("text_hash"))
+    return possibly_listed(rows, "text_hash", keys).where("possible").drop("possible")
+
+
+def _wanted_texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(vertex, text) of the wanted rows (vertex, _id, _hash)."""
+    near = _possible_rows(rows, wanted)
+    return near.join(wanted, (near["text_hash"] == wanted["_hash"]) & near["doc_id"].eqNullSafe(wanted["_id"])).select("vertex", "text")
+
+
 def _confirmed(edges: DataFrame, sets: DataFrame, rows: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Those of the edges (a, b) whose full sets are similar enough."""
     ends = edges.select(F.col("a").alias("v")).union(edges.select("b")).distinct()
     wanted = written(sets.join(ends, sets["vertex"] == ends["v"], "left_semi").select(
         "vertex", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")))
     # A set stands for one of its texts; rows of the same id and text are one.
-    texts = written(rows.join(wanted, (rows["text_hash"] == wanted["_hash"]) & rows["doc_id"].eqNullSafe(wanted["_id"])).select(
-        "vertex", "text").dropDuplicates(["vertex"]))
+    texts = written(_wanted_texts(rows, wanted).dropDuplicates(["vertex"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, recent = WordHashes(), OrderedDict()
@@ -331,8 +343,7 @@ def _full_sets(ends: DataFrame, sets: DataFrame, rows: DataFrame, shingle: int)
             made = pa.array([shingle_set(t.as_py(), hashes, shingle).tobytes() for t in batch.column(1)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), made], ["vertex", "hashes"])
 
-    found = rows.join(wanted, (rows["text_hash"] == wanted["_hash"]) & rows["doc_id"].eqNullSafe(wanted["_id"])).select("vertex", "text")
-    return written(found.mapInArrow(run, "vertex long, hashes binary").dropDuplicates(["vertex"]))
+    return written(_wanted_texts(rows, wanted).mapInArrow(run, "vertex long, hashes binary").dropDuplicates(["vertex"]))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

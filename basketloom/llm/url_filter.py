@@ -45,19 +45,24 @@ def blocked_bloom(listed: DataFrame, key: str, blocks: int) -> DataFrame:
     return rows.groupBy("block").agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(WORDS)])
 
 
-def listed_urls(rows: DataFrame, key: str, listed: DataFrame, max_blocks: int = MAX_BLOCKS) -> DataFrame:
-    """``rows`` with a boolean ``listed``: whether ``key`` is a value of the column of the same name in ``listed``.
-
-    Rows that the filter turns away are never shuffled. Null keys are not listed.
-    """
-    keys = written(listed.where(F.col(key).isNotNull()).select(key).distinct())
+def possibly_listed(rows: DataFrame, key: str, keys: DataFrame, max_blocks: int = MAX_BLOCKS) -> DataFrame:
+    """``rows`` with a boolean ``possible``: true for every row whose ``key`` is one of ``keys``, and for few others."""
     blocks = min(max_blocks, 1 << max(4, (keys.count() // KEYS_PER_BLOCK).bit_length()))
     bloom = blocked_bloom(keys, key, blocks)
     tested = rows.withColumn("block", _block(F.col(key), blocks)).join(F.broadcast(bloom), "block", "left")
     hit = F.lit(True)
     for i in range(WORDS):
         hit = hit & (F.coalesce(F.col(f"w{i}"), F.lit(0)).bitwiseAND(_bit(F.col(key), i)) != 0)
-    tested = tested.withColumn("possible", hit & F.col(key).isNotNull()).drop("block", *[f"w{i}" for i in range(WORDS)])
+    return tested.withColumn("possible", hit & F.col(key).isNotNull()).drop("block", *[f"w{i}" for i in range(WORDS)])
+
+
+def listed_urls(rows: DataFrame, key: str, listed: DataFrame, max_blocks: int = MAX_BLOCKS) -> DataFrame:
+    """``rows`` with a boolean ``listed``: whether ``key`` is a value of the column of the same name in ``listed``.
+
+    Rows that the filter turns away are never shuffled. Null keys are not listed.
+    """
+    keys = written(listed.where(F.col(key).isNotNull()).select(key).distinct())
+    tested = possibly_listed(rows, key, keys, max_blocks)
     turned_away = tested.where(~F.col("possible")).withColumn("listed", F.lit(False))
     exact = tested.where("possible").join(keys.select(F.col(key).alias("_key")), F.col(key) == F.col("_key"), "left")
     return turned_away.union(exact.withColumn("listed", F.col("_key").isNotNull()).drop("_key")).drop("possible")

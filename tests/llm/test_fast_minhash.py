@@ -93,3 +93,12 @@ def test_empty_table_and_low_threshold(make_docs, messy_rows):
     assert mh.near_duplicates(make_docs(messy_rows).limit(0)).count() == 0
     with pytest.raises(ValueError):
         mh.near_duplicates(make_docs(messy_rows), percent=20)
+
+
+def test_few_texts_are_shuffled(spark):
+    """All rows with a wanted text, and hardly any other, come to the join that fetches texts."""
+    rows = mh._documents(spark.range(3000).selectExpr("id doc_id", "concat('text ', id % 1500) text"), "doc_id", "text")
+    wanted = rows.where("doc_id < 5").selectExpr("doc_id vertex", "doc_id _id", "text_hash _hash")
+    near = [r["doc_id"] for r in mh._possible_rows(rows, wanted).collect()]
+    assert {*range(5), *range(1500, 1505)} <= set(near) and len(near) < 60
+    assert sorted(tuple(r) for r in mh._wanted_texts(rows, wanted).collect()) == [(i, f"text {i}".encode()) for i in range(5)]
