@@ -83,10 +83,13 @@ def _commerces_csv(s: Stages) -> DataFrame:
 def _report(s: Stages, report: str, table: str) -> DataFrame:
     """A report table on all stores, from files of orders, products, stores and the fixed model."""
     model, params = _fresh(s, "model"), ReportParams(REPORT_K, 0, 0.8, 0.1, 0.1, MIN_COOC, MIN_LIFT, TOP_K, drop_blocked=True)
-    fixed_ranker().save(s.spark, model)
+    with ThreadPoolExecutor(4) as pool:
+        written = [pool.submit(write, s) for write in (_order_files, _product_files, _commerce_files)]
+        pool.submit(fixed_ranker().save, s.spark, model).result()
+        orders, products, commerces = [path.result() for path in written]
     return reports_from_files(
-        s.spark, raw_paths=[_order_files(s)], interim_path=_fresh(s, "clean"), products_path=_product_files(s),
-        commerces_path=_commerce_files(s), model_path=model, out_folder=_fresh(s, "reports"), reports=[report],
+        s.spark, raw_paths=[orders], interim_path=_fresh(s, "clean"), products_path=products,
+        commerces_path=commerces, model_path=model, out_folder=_fresh(s, "reports"), reports=[report],
         params=params)[f"{report}/{table}"]
 
 

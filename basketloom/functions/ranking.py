@@ -21,6 +21,17 @@ def top_rows(df: DataFrame, by: list[str], order: list[Column], n: int,
     return kept if rank_col else kept.drop(name)
 
 
+def top_lists(df: DataFrame, by: list[str], order: list[Column], n: int, item: str, name: str) -> DataFrame:
+    """One row per group: ``item`` of its first ``n`` rows as an array ``name``, in their order.
+
+    A second window gathers the rows as the first has sorted them; ``collect_list`` by group would sort all of them
+    twice more, as it keeps few groups in memory at a time.
+    """
+    whole = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    gathered = top_rows(df, by, order, n, "_rank").withColumn(name, F.collect_list(item).over(whole))
+    return gathered.filter(F.col("_rank") == 1).select(*by, name)
+
+
 def hash_ranked(df: DataFrame, by: list[str], key: Column, ties: list[str], rank_col: str) -> DataFrame:
     """Exact 1-based rank by a uniform hex ``key`` inside each group.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketloom.functions.ranking import top_rows
+from basketloom.functions.ranking import top_lists
 from basketloom.schema import require_columns
 
 BASKET_KEYS = ["kiosk_id", "order_id"]
@@ -28,11 +28,11 @@ def build_baskets(orders: DataFrame, min_items: int = 2, max_items: int | None =
     enough to drop an oversized order, so no array grows beyond that.
     """
     lines = _basket_lines(orders)
-    if max_items is not None:
-        lines = top_rows(lines, BASKET_KEYS, [F.col("product_id")], max_items + 1)
-    return (lines.groupBy(*BASKET_KEYS)
-            .agg(F.sort_array(F.collect_list("product_id")).alias("products"))
-            .filter(_in_range(F.size("products"), min_items, max_items)))
+    if max_items is None:
+        baskets = lines.groupBy(*BASKET_KEYS).agg(F.sort_array(F.collect_list("product_id")).alias("products"))
+    else:
+        baskets = top_lists(lines, BASKET_KEYS, [F.col("product_id")], max_items + 1, "product_id", "products")
+    return baskets.filter(_in_range(F.size("products"), min_items, max_items))
 
 
 def basket_filter_counts(orders: DataFrame, min_items: int = 2, max_items: int | None = 200) -> DataFrame:

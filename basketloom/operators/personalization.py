@@ -8,13 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketloom.functions.hashing import draw_key
-from basketloom.functions.ranking import top_rows
+from basketloom.functions.ranking import top_lists, top_rows
 from basketloom.operators.catalog import product_info
 from basketloom.schema import PAIR_KEYS, QUERY_KEYS
 
 
+def _by_score() -> list[Column]:
+    return [F.desc("score"), F.asc("candidate_product_id")]
+
+
 def top_k_per_query(scored: DataFrame, k: int = 5, rank_col: str | None = None) -> DataFrame:
-    return top_rows(scored, QUERY_KEYS, [F.desc("score"), F.asc("candidate_product_id")], k, rank_col)
+    return top_rows(scored, QUERY_KEYS, _by_score(), k, rank_col)
 
 
 def personalization_totals(top: DataFrame) -> DataFrame:
@@ -30,8 +34,8 @@ def kiosk_rec_sets(top: DataFrame) -> DataFrame:
 
 def _query_lists(top: DataFrame, k: int) -> DataFrame:
     """Sorted list of at most k products per query."""
-    return (top_k_per_query(top, k).groupBy(*QUERY_KEYS)
-            .agg(F.sort_array(F.collect_list("candidate_product_id")).alias("recs")))
+    return (top_lists(top, QUERY_KEYS, _by_score(), k, "candidate_product_id", "recs")
+            .withColumn("recs", F.sort_array("recs")))
 
 
 def anchor_list_diversity(top: DataFrame, k: int = 5) -> DataFrame:

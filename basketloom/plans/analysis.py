@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,18 +33,22 @@ def score_test_period(orders: DataFrame, products: DataFrame, commerces: DataFra
     orders, commerces = filter_active_kiosks(orders, commerces)
     split = split_orders_by_time(materialize(orders), train_ratio=train_ratio, val_ratio=val_ratio,
                                  test_ratio=test_ratio)
-    candidates = generate_candidates(materialize(build_baskets(split.train)), min_cooc)
-    topk = materialize(select_top_k_candidates(candidates, top_k, min_lift))
+    # Neither candidates nor facts need the other, so the last tasks of one leave cores to the other.
+    with ThreadPoolExecutor(1) as pool:
+        known = pool.submit(feature_facts, split.train, products, commerces, durable=True)
+        candidates = generate_candidates(materialize(build_baskets(split.train)), min_cooc)
+        topk = materialize(select_top_k_candidates(candidates, top_k, min_lift))
+        facts = known.result()
     queries = kiosk_anchor_queries(build_baskets(split.test))
     if n_kiosks > 0:
         queries = sample_kiosks(materialize(queries), n_kiosks)
-    rows = feature_rows(queries, topk, feature_facts(split.train, products, commerces, durable=True))
+    rows = feature_rows(queries, topk, facts)
     return materialize(predict_scores(rows, ranker).select(*ROW_KEYS, "cand_is_new", "pop_store", "score"))
 
 
 def personalization_report(scored: DataFrame, products: DataFrame | None = None, k: int = 5) -> dict[str, DataFrame]:
     top = materialize(pz.top_k_per_query(scored.select(*ROW_KEYS, "score"), k))
-    diversity = pz.anchor_list_diversity(top, k)
+    diversity = materialize(pz.anchor_list_diversity(top, k))
     return {"totals": pz.personalization_totals(top), "kiosk_products": pz.kiosk_rec_sets(top),
             "top_anchors": pz.top_anchors(diversity), "diversity": pz.anchor_diversity_summary(diversity),
             "baseline_overlap": pz.baseline_overlap(top, k), "jaccard": pz.pairwise_jaccard(top, k),
@@ -71,6 +76,9 @@ class ReportParams:
     drop_blocked: bool = False
 
 
+#: Tables of a report written side by side: they are short, and the planning and last tasks of one leave cores to another.
+WRITERS = 4
+
 REPORTS = {"personalization": personalization_report, "novelty": novelty_report}
 
 
@@ -97,7 +105,8 @@ def reports_from_files(spark: SparkSession, *, raw_paths: list[str], interim_pat
             n_kiosks=params.n_kiosks, train_ratio=params.train_ratio, val_ratio=params.val_ratio,
             test_ratio=params.test_ratio, min_cooc=params.min_cooc, min_lift=params.min_lift, top_k=params.top_k)
         for report in reports:
-            for name, table in REPORTS[report](scored, products, params.k).items():
-                write_parquet(table, f"{out_folder}/{report}/{name}")
-                written.append(f"{report}/{name}")
+            tables = {f"{report}/{name}": table for name, table in REPORTS[report](scored, products, params.k).items()}
+            with ThreadPoolExecutor(WRITERS) as pool:
+                list(pool.map(lambda item: write_parquet(item[1], f"{out_folder}/{item[0]}"), tables.items()))
+            written += tables
     return {name: spark.read.parquet(f"{out_folder}/{name}") for name in written}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,8 +53,12 @@ def read_orders_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def _order_parts(spark: SparkSession, paths: str | list[str]) -> list[DataFrame]:
     """One table for each header that occurs."""
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path in _files(spark, paths):
-        groups.setdefault(tuple(_header(spark, path, ",")), []).append(path)
+    found = _files(spark, paths)
+    # A job for each file, and files grow with the orders: a few side by side, as a job holds one core.
+    with ThreadPoolExecutor(8) as pool:
+        headers = pool.map(lambda path: tuple(_header(spark, path, ",")), found)
+        for path, header in zip(found, headers, strict=True):
+            groups.setdefault(header, []).append(path)
     if not groups:
         raise ValueError("no order files")
     numbers = dict.fromkeys(RAW_ORDER_NUMBERS, T.DoubleType())

@@ -27,6 +27,14 @@ def test_basket_size_bounds(order_lines):
         "total_before": 4, "too_small": 1, "too_large": 0, "kept": 3}
 
 
+def test_baskets_are_gathered_in_the_order_of_the_cut(order_lines):
+    """Windows gather the products, missing ids included; no aggregation sorts the lines a second time."""
+    lines = [(k, o, p, DAY) for k in ("k", None) for o in ("o1", "o2", None) for p in ("c", "a", None, "b", "a")]
+    baskets = bk.build_baskets(order_lines([*lines, ("k", "o3", "a", DAY), ("k", "o4", None, DAY)]))
+    assert rows_of(baskets) == sorted(((k, o, ["a", "b", "c"]) for k in ("k", None) for o in ("o1", "o2", None)), key=repr)
+    assert "ObjectHashAggregate" not in baskets._jdf.queryExecution().executedPlan().toString()
+
+
 def test_basket_size_stats(order_lines):
     orders = order_lines([("k", f"o{n}", f"p{i}", DAY) for n in (2, 3, 7) for i in range(n)])
     row = bk.basket_size_stats(bk.build_baskets(orders)).first()

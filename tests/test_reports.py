@@ -38,6 +38,12 @@ def test_personalization(scored, spark):
     assert {r["candidate_name"] for r in examples.filter("rank = 1").collect()} == {"X"}
 
 
+def test_query_lists_are_cut_by_score_and_sorted_by_product(scored):
+    lists = pz._query_lists(scored, 2)
+    assert rows_of(lists) == [("k1", "a", ["x", "y"]), ("k1", "b", ["x"]), ("k2", "a", ["x", "z"]), ("k3", "a", ["x", "y"])]
+    assert "ObjectHashAggregate" not in lists._jdf.queryExecution().executedPlan().toString()
+
+
 def test_novelty(scored, spark):
     totals = nv.new_vs_repeat_totals(scored, 2).first()
     assert (totals["total"], totals["n_new"], totals["n_repeat"]) == (7, 4, 3)
