@@ -198,6 +198,59 @@ def test_learned_scores_against_brute_force(make_docs, messy_rows):
     assert plain[0] < held and held > plain[1] - 0.25 * abs(plain[1])
 
 
+def slopes(words, pieces, step=1e-5):
+    """Expected counts as the slopes of the words' logs over the log weight of each piece and of a byte."""
+    def total(names, by):
+        moved = lattice_lm.Pieces({p: w + by * (p in names) for p, w in pieces.weights.items()}, pieces.byte + by * (None in names), pieces.longest)
+        return sum(lattice_lm.word_log(w, moved) for w in words)
+    return [(total([p], step) - total([p], -step)) / (2 * step) for p in [*pieces.weights, None]]
+
+
+@pytest.mark.parametrize("alone, longest, block", [(16, 64, 1 << 19), (0, 0, 1 << 19), (10**6, 0, 50)])
+def test_expected_counts_of_long_words(monkeypatch, alone, longest, block):
+    """Side by side or one by one, in one block or many, and in whatever order."""
+    for name, value in (("ALONE", alone), ("LONGEST", longest), ("BLOCK", block)):
+        monkeypatch.setattr(lattice_lm.Lattice, name, value)
+    pieces = lattice_lm.pieces_from_scores(SCORES)
+    words = ["abc" * 50, "", "ab", "日本ab" * 30, "abcab", "é" * 70, "abc" * 40 + "😀", "b\0c", "a", "cab" * 9, "x" * 900, "abd"]
+    lattice = lattice_lm.Lattice(pieces)
+    assert lattice.expected_counts(words, None).tolist() == pytest.approx(slopes(words, pieces), rel=1e-6, abs=1e-6)
+    assert lattice.logs(words) == pytest.approx([lattice_lm.word_log(w, pieces) for w in words])
+    bare = lattice_lm.Lattice(lattice_lm.pieces_from_scores({}))
+    assert bare.expected_counts(words, None) == pytest.approx([sum(len((lattice_lm.SPACE + w).encode()) for w in words)])
+    assert not lattice.expected_counts([], None).any() and not len(lattice.logs([]))
+
+
+def fitted_by_hand(words, rounds):
+    pieces = lattice_lm.pieces_from_scores(SCORES)
+    for _ in range(rounds):
+        pieces = lattice_lm.pieces_from_counts(list(pieces.weights), lattice_lm.Lattice(pieces).expected_counts(words, None))
+    return pieces
+
+
+def test_every_round_takes_all_training_words(spark):
+    """More words than 200,000, which the rounds before the last once drew."""
+    made = spark.range(230_000).selectExpr("encode(concat(if(id % 7 = 0, 'abc', 'ab'), id, if(id % 3 = 0, 'c', 'b')), 'utf-8') AS word", "1L AS n", "if(id % 10 = 0, 0L, 1L) AS c")
+    want = fitted_by_hand([bytes(r["word"]).decode() for r in made.where("c > 0").collect()], 3)
+    got = lattice_lm.fitted_pieces(made, lattice_lm.pieces_from_scores(SCORES), 3)
+    assert got.weights == pytest.approx(want.weights, rel=1e-9) and got.byte == pytest.approx(want.byte, rel=1e-9)
+
+
+def test_long_training_words_are_learned_from(make_docs, spark):
+    """Words of more than 64 bytes or characters, as in scripts without blanks, count in every round; held-out ones don't."""
+    words = ["ab", "cab", "abc" * 30, "日本" * 20, "é" * 33, "b" * 5000]
+    rows = [(w.encode(), 3, 1) for w in words] + [(b"cc" * 50, 2, 0)]
+    got = lattice_lm.fitted_pieces(spark.createDataFrame(rows, "word binary, n long, c long"), lattice_lm.pieces_from_scores(SCORES), 2)
+    want = fitted_by_hand(words, 2)
+    assert got.weights == pytest.approx(want.weights) and got.byte == pytest.approx(want.byte)
+    kept, held = ([i for i in range(200) if (rest(i, 10) == 0) == out] for out in (False, True))
+    docs = make_docs([*((i, f"{'日本' * 20}{i} " + "cab" * 30 + str(i)) for i in kept), (held[0], "cabcab")])
+    scored = lattice_lm.lattice_scores(docs, SCORES, rounds=2).where("held_out").first()
+    words = [w for i in kept for w in (f"{'日本' * 20}{i}", "cab" * 30 + str(i))]
+    end, new = len(kept) / (3 * len(kept)), lattice_lm.word_log("cabcab", fitted_by_hand(words, 2)) / math.log(10)
+    assert scored["score"] == pytest.approx(math.log10(end) + math.log10(1 - end) + math.log10(0.9) + new)
+
+
 def test_learned_likelihood_of_nothing_and_of_unseen_words(make_docs):
     assert lattice_lm.lattice_scores(make_docs([]), SCORES, rounds=2).count() == 0
     held, kept = (next(i for i in range(100) if (rest(i, 10) == 0) == out) for out in (True, False))
